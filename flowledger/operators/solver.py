@@ -51,14 +51,18 @@ PARAMETER_COUNT = {"exponential": 2, "hyperbolic": 3, "harmonic": 2}
 # Search layout of our own: coarse points per axis, zoom levels, points per side, shrink per level.
 COARSE_DI = {"exponential": 48, "hyperbolic": 24, "harmonic": 48}
 COARSE_B = 11
-LEVELS = {"exponential": 7, "hyperbolic": 14, "harmonic": 7}
+LEVELS = {"exponential": 6, "hyperbolic": 13, "harmonic": 6}
 REACH = {"exponential": 4, "hyperbolic": 2, "harmonic": 4}
 SHRINK = {"exponential": 4.0, "hyperbolic": 2.0, "harmonic": 4.0}
+# Half-width of the closing parabola step on log(di).
+POLISH = 1e-4
 # A wider box replaces a narrower one only for a gain above numeric noise.
 MIN_GAIN = 1e-9
 # Floor of the mean squared error, relative to mean(q^2), so a perfect fit has a finite AIC.
 MSE_FLOOR = 1e-12
 BLOCK = 512
+# Rows are padded to a multiple of this, so that a sum never depends on the longest row of its block.
+PAD = 32
 
 FIT_TYPE = (
     "exp_qi double, exp_di double, exp_r2 double, exp_aic double, exp_method string, "
@@ -76,15 +80,21 @@ def _shape(curve: str, years: np.ndarray, di: np.ndarray, b: np.ndarray | None)
     return np.exp(-np.log1p(b[:, None] * x) / b[:, None])
 
 
+def _dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Row-wise sum of products."""
+    return np.einsum("ij,ij->i", a, b)
+
+
 class _Series:
     """A block of zero-padded series with the sums every candidate needs."""
 
     def __init__(self, years, q, mask, estimate):
         self.years, self.q, self.mask, self.estimate = years, q, mask, estimate
-        self.n = mask.sum(axis=1)
-        self.sum_q2 = (q * q).sum(axis=1)
-        mean = q.sum(axis=1) / self.n
-        self.ss_total = (((q - mean[:, None]) * mask) ** 2).sum(axis=1)
+        self.n = _dot(mask, mask)
+        self.sum_q2 = _dot(q, q)
+        spread = (q - (_dot(q, mask) / self.n)[:, None]) * mask
+        self.ss_total = _dot(spread, spread)
+        self.middle = years.max(axis=1) / 2.0
 
     def take(self, rows):
         return _Series(self.years[rows], self.q[rows], self.mask[rows], self.estimate[rows])
@@ -92,15 +102,14 @@ class _Series:
     def profile(self, curve, box, di, b=None):
         """Best initial rate inside the box and its squared error, for one candidate per series."""
         f = _shape(curve, self.years, di, b) * self.mask
-        qf = np.einsum("ij,ij->i", self.q, f)
-        ff = np.einsum("ij,ij->i", f, f)
+        qf, ff = _dot(self.q, f), _dot(f, f)
         low = np.maximum(box.qi_scale[0] * self.estimate, box.qi_floor)
         qi = np.clip(qf / np.maximum(ff, 1e-300), low, box.qi_scale[1] * self.estimate)
         return qi, self.sum_q2 - 2.0 * qi * qf + qi * qi * ff
 
     def quality(self, curve, qi, di, b=None):
         residual = (self.q - qi[:, None] * _shape(curve, self.years, di, b)) * self.mask
-        ss = (residual * residual).sum(axis=1)
+        ss = _dot(residual, residual)
         total = np.where(self.ss_total > 0, self.ss_total, 1.0)
         r2 = np.where(self.ss_total > 0, 1.0 - ss / total, 0.0)
         mse = np.maximum(ss / self.n, MSE_FLOOR * self.sum_q2 / self.n)
@@ -108,7 +117,12 @@ class _Series:
 
 
 def _search(curve: str, s: _Series, box: Box) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Best (qi, di, b) of the box per series; di is searched on a log scale."""
+    """Best (qi, di, b) of the box per series; di is searched on a log scale.
+
+    While zooming on the hyperbolic curve, the step in b keeps the total decline up to mid-history,
+    ln(1 + b di y) / b, and the other step scales it: along these axes the error is nearly round,
+    where (di, b) form a long narrow valley.
+    """
     rows = len(s.estimate)
     u_low, u_high = np.log(box.di[0]), np.log(box.di[1])
     b_low, b_high = EXPONENT_RANGE
@@ -131,12 +145,25 @@ def _search(curve: str, s: _Series, box: Box) -> tuple[np.ndarray, np.ndarray, n
     for _ in range(LEVELS[curve]):
         u_step, b_step = u_step / SHRINK[curve], b_step / SHRINK[curve]
         u0, b0 = u.copy(), b.copy()
+        drop = np.log1p(b0 * np.exp(u0) * s.middle) / b0 if two_axes else None
         for j in reach if two_axes else (0,):
             cb = np.clip(b0 + j * b_step, b_low, b_high) if two_axes else b0
             for i in reach:
-                if i or j:
-                    offer(np.clip(u0 + i * u_step, u_low, u_high), cb)
-    return qi, np.exp(u), b
+                if two_axes:
+                    cu = np.log(np.expm1(cb * drop * np.exp(i * u_step)) / (cb * s.middle))
+                else:
+                    cu = u0 + i * u_step
+                offer(np.clip(cu, u_low, u_high), cb)
+
+    def error(cu):
+        return s.profile(curve, box, np.exp(cu), b if two_axes else None)
+
+    left, here, right = error(u - POLISH)[1], error(u)[1], error(u + POLISH)[1]
+    bend = left - 2.0 * here + right
+    step = 0.5 * POLISH * (left - right) / np.where(bend > 0, bend, np.inf)
+    inner = (u - POLISH >= u_low) & (u + POLISH <= u_high) & (np.abs(step) <= POLISH)
+    u = np.where(inner, u + step, u)
+    return error(u)[0], np.exp(u), b
 
 
 def _fit_curve(curve: str, s: _Series, start: dict[str, np.ndarray] | None) -> dict[str, np.ndarray]:
@@ -175,7 +202,7 @@ def _log_linear(s: _Series, slope: np.ndarray, intercept: np.ndarray) -> dict[st
 def fit_block(t: Sequence, q: Sequence, estimate, slope, intercept) -> pd.DataFrame:
     """Fit all three curves to a block of series given as arrays of day offsets and rates."""
     lengths = np.array([len(x) for x in t])
-    width = int(lengths.max())
+    width = -(-int(lengths.max()) // PAD) * PAD
     mask = (np.arange(width)[None, :] < lengths[:, None]).astype(float)
     years, rates = np.zeros(mask.shape), np.zeros(mask.shape)
     inside = mask.astype(bool)
