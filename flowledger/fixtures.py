@@ -18,15 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def well_id(number: str) -> Column:
+    return F.concat(F.lit("W"), F.lpad(F.col(number).cast("string"), 12, "0")).alias("WellID")
+
+
 def well_number() -> Column:
     return F.substring("WellID", 2, 12).cast("long")
 
 
-def well_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw rows, many per well-month, without the well's own attributes."""
+def _numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = F.col("l_quantity")
     return table(spark, sf_dir, "lineitem").select(
-        F.concat(F.lit("W"), F.lpad(F.col("l_suppkey").cast("string"), 12, "0")).alias("WellID"),
+        F.col("l_suppkey").alias("number"),
         F.trunc(F.col("l_shipdate").cast("date"), "month").alias("ProductionMonth"),
         F.col("l_returnflag").alias("Pool"), F.col("l_linestatus").alias("Area"),
         (q * 4).alias("Hours"), F.col("l_extendedprice").alias("GasProduction"), q.alias("OilProduction"),
@@ -38,6 +41,12 @@ def well_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def well_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows, many per well-month, without the well's own attributes."""
+    lines = _numbered_lines(spark, sf_dir)
+    return lines.select(well_id("number"), *[c for c in lines.columns if c != "number"])
+
+
 def well_line_injected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows with negative and zero hours set for some wells in one month each."""
     tens = F.pmod(well_number(), F.lit(10))
@@ -54,7 +63,7 @@ def well_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
         supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
-            F.concat(F.lit("W"), F.lpad(F.col("s_suppkey").cast("string"), 12, "0")).alias("WellID"),
+            well_id("s_suppkey"),
             F.concat(F.lit("F"), F.col("s_nationkey").cast("string")).alias("ReportingFacilityID"),
             F.col("s_name").alias("ReportingFacilityName"),
             F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("OperatorBAID"),
@@ -66,8 +75,9 @@ def well_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def well_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merged well-months with attributes; merging first keeps the join small and free of hot keys."""
-    merged = merge_duplicates(well_line(spark, sf_dir), ["WellID", "ProductionMonth"], EXACT_SCALE)
-    return merged.join(well_attributes(spark, sf_dir), "WellID")
+    merged = merge_duplicates(_numbered_lines(spark, sf_dir), ["number", "ProductionMonth"], EXACT_SCALE)
+    months = merged.select(well_id("number"), *[c for c in merged.columns if c != "number"])
+    return months.join(well_attributes(spark, sf_dir), "WellID")
 
 
 def well_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,13 +49,15 @@ EXPONENT_RANGE = (0.001, 0.999)
 PARAMETER_COUNT = {"exponential": 2, "hyperbolic": 3, "harmonic": 2}
 
 # Search layout of our own: coarse points per axis, zoom levels, points per side, shrink per level.
-COARSE_DI = {"exponential": 48, "hyperbolic": 24, "harmonic": 48}
-COARSE_B = 11
-LEVELS = {"exponential": 6, "hyperbolic": 13, "harmonic": 6}
-REACH = {"exponential": 4, "hyperbolic": 2, "harmonic": 4}
+COARSE_DI = {"exponential": 32, "hyperbolic": 20, "harmonic": 32}
+COARSE_B = 7
+LEVELS = {"exponential": 6, "hyperbolic": 14, "harmonic": 6}
+REACH = {"exponential": 4, "hyperbolic": 1, "harmonic": 4}
 SHRINK = {"exponential": 4.0, "hyperbolic": 2.0, "harmonic": 4.0}
 # Half-width of the closing parabola step on log(di).
 POLISH = 1e-4
+# Relative distance from a limit at which an optimum counts as inside the box.
+CLEARANCE = 1e-3
 # A wider box replaces a narrower one only for a gain above numeric noise.
 MIN_GAIN = 1e-9
 # Floor of the mean squared error, relative to mean(q^2), so a perfect fit has a finite AIC.
@@ -99,12 +101,20 @@ class _Series:
     def take(self, rows):
         return _Series(self.years[rows], self.q[rows], self.mask[rows], self.estimate[rows])
 
+    def rate_limits(self, box):
+        return np.maximum(box.qi_scale[0] * self.estimate, box.qi_floor), box.qi_scale[1] * self.estimate
+
+    def inside(self, box, qi, di):
+        """Whether the parameters keep clear of the limits that differ between boxes."""
+        low, high = self.rate_limits(box)
+        return ((qi > low * (1 + CLEARANCE)) & (qi < high * (1 - CLEARANCE))
+                & (di > box.di[0] * (1 + CLEARANCE)) & (di < box.di[1] * (1 - CLEARANCE)))
+
     def profile(self, curve, box, di, b=None):
         """Best initial rate inside the box and its squared error, for one candidate per series."""
         f = _shape(curve, self.years, di, b) * self.mask
         qf, ff = _dot(self.q, f), _dot(f, f)
-        low = np.maximum(box.qi_scale[0] * self.estimate, box.qi_floor)
-        qi = np.clip(qf / np.maximum(ff, 1e-300), low, box.qi_scale[1] * self.estimate)
+        qi = np.clip(qf / np.maximum(ff, 1e-300), *self.rate_limits(box))
         return qi, self.sum_q2 - 2.0 * qi * qf + qi * qi * ff
 
     def quality(self, curve, qi, di, b=None):
@@ -167,7 +177,11 @@ def _search(curve: str, s: _Series, box: Box) -> tuple[np.ndarray, np.ndarray, n
 
 
 def _fit_curve(curve: str, s: _Series, start: dict[str, np.ndarray] | None) -> dict[str, np.ndarray]:
-    """Try the boxes from narrow to wide; a series stops once an improving fit is good enough."""
+    """Try the boxes from narrow to wide.
+
+    A series stops once an improving fit is good enough, or once its optimum touches no limit of the
+    box: a wider box would only find it again.
+    """
     rows = len(s.estimate)
     fit = start or {"qi": np.full(rows, np.nan), "di": np.full(rows, np.nan), "b": np.zeros(rows),
                     "r2": np.full(rows, -np.inf), "aic": np.full(rows, np.inf),
@@ -184,7 +198,7 @@ def _fit_curve(curve: str, s: _Series, start: dict[str, np.ndarray] | None) -> d
         for name, values in (("qi", qi), ("di", di), ("b", b), ("r2", r2), ("aic", aic)):
             fit[name][target] = values[gain]
         fit["refined"][target] = True
-        active = active[~(gain & (r2 > GOOD_ENOUGH[curve]))]
+        active = active[~((gain & (r2 > GOOD_ENOUGH[curve])) | part.inside(box, qi, di))]
     return fit
 
 

@@ -200,15 +200,15 @@ CTES = {
   ('harmonic', 2, 0.0001e0, 5e0, 0.01e0, 20e0, 0e0), ('harmonic', 3, 0.00001e0, 10e0, 0e0, 100e0, 0.001e0),
   ('hyperbolic', 1, 0.001e0, 3e0, 0.1e0, 5e0, 0e0), ('hyperbolic', 2, 0.0001e0, 5e0, 0.01e0, 20e0, 0e0))
   v(curve, box, dlo, dhi, qlo, qhi, qfloor)""",
-    "grid": """SELECT curve, box, ln(dlo) + i * ((ln(dhi) - ln(dlo)) / (CASE curve WHEN 'hyperbolic' THEN 23 ELSE 47 END)) AS u,
-  CASE curve WHEN 'hyperbolic' THEN 0.001e0 + j * ((0.999e0 - 0.001e0) / 10) ELSE 0.5e0 END AS b
-  FROM job, generate_series(0, 47) gi(i), generate_series(0, 10) gj(j)
-  WHERE CASE curve WHEN 'hyperbolic' THEN i < 24 ELSE j = 0 END""",
-    "offsets": """SELECT 'hyperbolic' AS curve, i, j FROM generate_series(-2, 2) a(i), generate_series(-2, 2) c(j)
+    "grid": """SELECT curve, box, ln(dlo) + i * ((ln(dhi) - ln(dlo)) / (CASE curve WHEN 'hyperbolic' THEN 19 ELSE 31 END)) AS u,
+  CASE curve WHEN 'hyperbolic' THEN 0.001e0 + j * ((0.999e0 - 0.001e0) / 6) ELSE 0.5e0 END AS b
+  FROM job, generate_series(0, 31) gi(i), generate_series(0, 6) gj(j)
+  WHERE CASE curve WHEN 'hyperbolic' THEN i < 20 ELSE j = 0 END""",
+    "offsets": """SELECT 'hyperbolic' AS curve, i, j FROM generate_series(-1, 1) a(i), generate_series(-1, 1) c(j)
   UNION ALL SELECT k, i, 0 FROM (VALUES ('exponential'), ('harmonic')) v(k), generate_series(-4, 4) a(i)""",
     "limits": """SELECT WellID, ProductionType, curve, box, sum_q2, (SELECT max(y) / 2 FROM fit_points p
     WHERE p.WellID = series.WellID AND p.ProductionType = series.ProductionType) AS ym, greatest(qlo * qi_estimate, qfloor) AS qi_low,
-  qhi * qi_estimate AS qi_high, ln(dlo) AS ulo, ln(dhi) AS uhi FROM series, job WHERE rejected IS NULL""",
+  qhi * qi_estimate AS qi_high, dlo, dhi, ln(dlo) AS ulo, ln(dhi) AS uhi FROM series, job WHERE rejected IS NULL""",
 }
 
 
@@ -227,8 +227,8 @@ def _offer(candidates: str, level: str, u_step: str, b_step: str) -> str:
 
 CTES["zoom"] = (
     _offer("SELECT WellID, ProductionType, curve, box, u, b, 0 AS lvl, 0 AS hu, 0 AS hb FROM limits JOIN grid USING (curve, box)",
-           "0", "(SELECT (ln(dhi) - ln(dlo)) / CASE j.curve WHEN 'hyperbolic' THEN 23 ELSE 47 END FROM job j "
-                "WHERE j.curve = s.curve AND j.box = s.box)", "CASE curve WHEN 'hyperbolic' THEN (0.999e0 - 0.001e0) / 10 ELSE 0 END")
+           "0", "(SELECT (ln(dhi) - ln(dlo)) / CASE j.curve WHEN 'hyperbolic' THEN 19 ELSE 31 END FROM job j "
+                "WHERE j.curve = s.curve AND j.box = s.box)", "CASE curve WHEN 'hyperbolic' THEN (0.999e0 - 0.001e0) / 6 ELSE 0 END")
     .replace("GROUP BY WellID, ProductionType, curve, box)", "GROUP BY WellID, ProductionType, curve, box) s")
     + " UNION ALL "
     + _offer("""SELECT DISTINCT z.WellID, z.ProductionType, z.curve, z.box, z.lvl, z.hu, z.hb,
@@ -238,7 +238,7 @@ CTES["zoom"] = (
             CASE z.curve WHEN 'hyperbolic' THEN greatest(0.001e0, least(0.999e0, z.b + o.j * (z.hb / 2))) ELSE z.b END AS b
             FROM zoom z JOIN offsets o ON o.curve = z.curve JOIN limits l ON l.WellID = z.WellID
               AND l.ProductionType = z.ProductionType AND l.curve = z.curve AND l.box = z.box
-            WHERE z.lvl < CASE z.curve WHEN 'hyperbolic' THEN 13 ELSE 6 END""",
+            WHERE z.lvl < CASE z.curve WHEN 'hyperbolic' THEN 14 ELSE 6 END""",
              "lvl + 1", "hu / CASE curve WHEN 'hyperbolic' THEN 2 ELSE 4 END", "hb / 2")
 )
 CTES |= {
@@ -251,7 +251,7 @@ CTES |= {
       SELECT *, greatest(qi_low, least(qi_high, qf / greatest(ff, 1e-300))) AS qi FROM (
         SELECT WellID, ProductionType, curve, box, center, b, k, sum(q * f) AS qf, sum(f * f) AS ff FROM (
           SELECT c.*, p.q, {_SHAPE} AS f FROM (SELECT WellID, ProductionType, curve, box, u AS center, u + k * 1e-4 AS u, b, k
-            FROM zoom, (VALUES (-1), (0), (1)) v(k) WHERE lvl = CASE curve WHEN 'hyperbolic' THEN 13 ELSE 6 END) c
+            FROM zoom, (VALUES (-1), (0), (1)) v(k) WHERE lvl = CASE curve WHEN 'hyperbolic' THEN 14 ELSE 6 END) c
           JOIN fit_points p USING (WellID, ProductionType)) GROUP BY ALL)
       JOIN limits USING (WellID, ProductionType, curve, box)))
   GROUP BY WellID, ProductionType, curve, box, center, b)""",
@@ -271,14 +271,16 @@ CTES |= {
   FROM (SELECT c.*, p.q, {_SHAPE} AS f FROM solved c JOIN fit_points p USING (WellID, ProductionType))
   JOIN series USING (WellID, ProductionType) GROUP BY WellID, ProductionType, curve, box)""",
     "wide": """SELECT WellID, ProductionType, curve, CASE curve WHEN 'harmonic' THEN 0.7 ELSE 0.8 END AS good,
+  bool_or(box = 1 AND clear) AS in_1, bool_or(box = 2 AND clear) AS in_2,
   coalesce(max(CASE WHEN box = 0 THEN r2 END), -1e300) AS r_0, max(CASE WHEN box = 1 THEN r2 END) AS r_1,
   max(CASE WHEN box = 2 THEN r2 END) AS r_2, coalesce(max(CASE WHEN box = 3 THEN r2 END), -1e300) AS r_3
-  FROM judged GROUP BY ALL""",
+  FROM (SELECT j.*, coalesce(qi > qi_low * 1.001e0 AND qi < qi_high * 0.999e0 AND di > dlo * 1.001e0 AND di < dhi * 0.999e0, false) AS clear
+    FROM judged j LEFT JOIN limits USING (WellID, ProductionType, curve, box)) GROUP BY WellID, ProductionType, curve""",
     "boxed": """SELECT WellID, ProductionType, curve,
   CASE WHEN NOT stop2 AND r_3 > best2 + 1e-9 THEN 3 WHEN gain2 THEN 2 WHEN gain1 THEN 1 ELSE 0 END AS box FROM (
-  SELECT *, stop1 OR (gain2 AND r_2 > good) AS stop2, CASE WHEN gain2 THEN r_2 ELSE best1 END AS best2 FROM (
+  SELECT *, stop1 OR in_2 OR (gain2 AND r_2 > good) AS stop2, CASE WHEN gain2 THEN r_2 ELSE best1 END AS best2 FROM (
   SELECT *, NOT stop1 AND r_2 > best1 + 1e-9 AS gain2 FROM (
-  SELECT *, gain1 AND r_1 > good AS stop1, CASE WHEN gain1 THEN r_1 ELSE r_0 END AS best1 FROM (
+  SELECT *, in_1 OR (gain1 AND r_1 > good) AS stop1, CASE WHEN gain1 THEN r_1 ELSE r_0 END AS best1 FROM (
   SELECT *, r_1 > r_0 + 1e-9 AS gain1 FROM wide))))""",
     "curves": "SELECT * FROM judged JOIN boxed USING (WellID, ProductionType, curve, box)",
     "auto_choice": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY WellID, ProductionType ORDER BY

@@ -25,6 +25,7 @@ from ..operators import profile as R
 from ..operators import quality as Q
 from ..operators.periods import normalize_periods
 from ..schemas import MAIN_VOLUMES, PRODUCTION_COLUMNS
+from ..sources.staging import stage
 from ..sources.tables import loaded_months, missing_months, month_range
 from .forecasting import ForecastSettings, fit_table, forecast_input
 from .oracles import CTES, HALF, MAIN, MEASURES, PRODUCTION, rounded, sql
@@ -440,7 +441,7 @@ def forecast_summary(spark, sf):
 @register(_SUMMARY_SQL, points=CTES["normalized_points"])
 def normalized_forecast_summary(spark, sf):
     settings = ForecastSettings(horizon_months=MONTHS)
-    history, columns = forecast_input(_normalized(spark, sf), settings)
+    history, columns = forecast_input(stage(_normalized(spark, sf)), settings)
     return _summary_rounded(FC.forecast_summary(fit_table(history, columns, settings), AS_OF, MONTHS))
 
 
@@ -448,15 +449,15 @@ _ROW_TEXT = ["ReportingFacilityID", "ReportingFacilityName", "OperatorBAID", "Op
              "Field", "Pool", "Area"]
 
 
-def _forecast_rows(spark, sf) -> DataFrame:
-    return FC.forecast_rows(_fits(spark, sf), X.decline(spark, sf), MONTHS)
+def _forecast_rows(history: DataFrame) -> DataFrame:
+    return FC.forecast_rows(D.fit_series(D.stack_measures(history, PRODUCTION_COLUMNS)), history, MONTHS)
 
 
 @register(f"""SELECT ProductionType, CAST(Step AS INTEGER) AS Step, WellID, ProductionMonth, {rounded(PRODUCTION, 2)},
   {', '.join(_ROW_TEXT)}, Hours, 'Forecast' AS DataType, ForecastMethod, rnd(ForecastRSquared, 5) AS ForecastRSquared
   FROM forecasts""")
 def forecast_rows(spark, sf):
-    return _forecast_rows(spark, sf).select(
+    return _forecast_rows(stage(X.decline(spark, sf))).select(
         "ProductionType", "Step", "WellID", F.col("ProductionMonth").cast("date").alias("ProductionMonth"),
         *r(PRODUCTION, 2), *_ROW_TEXT, "Hours", "DataType", "ForecastMethod", *r(["ForecastRSquared"], 5))
 
@@ -465,17 +466,14 @@ _HISTORY_SQL = " UNION ALL ".join(
     f"SELECT '{m}' AS ProductionType, t.*, t.t AS DaysFromFirst FROM trended t" for m in PRODUCTION)
 
 
-def _combined(spark, sf) -> DataFrame:
-    return FC.combine(X.decline(spark, sf), _forecast_rows(spark, sf))
-
-
 @register(f"""SELECT ProductionType, WellID, ProductionMonth, {rounded(PRODUCTION, 2)}, OperatorName, Field, Hours,
   rnd(WaterProduction, 4) AS WaterProduction, DaysFromFirst, 'Historical' AS DataType, CAST(NULL AS VARCHAR) AS ForecastMethod
   FROM history
   UNION ALL SELECT ProductionType, WellID, ProductionMonth, {rounded(PRODUCTION, 2)}, OperatorName, Field, Hours,
   0e0, 0, 'Forecast', ForecastMethod FROM forecasts""", history=_HISTORY_SQL)
 def combined(spark, sf):
-    return _combined(spark, sf).select(
+    history = stage(X.decline(spark, sf))
+    return FC.combine(history, _forecast_rows(history)).select(
         "ProductionType", "WellID", F.col("ProductionMonth").cast("date").alias("ProductionMonth"),
         *r(PRODUCTION, 2), "OperatorName", "Field", "Hours", *r(["WaterProduction"]), "DaysFromFirst",
         "DataType", "ForecastMethod")
@@ -502,7 +500,7 @@ def fit_quality(spark, sf):
 @register("""SELECT CAST(CASE WHEN hi > lo THEN least(floor((RSquared - lo) / ((hi - lo) / 20)), 19) ELSE 10 END AS INTEGER) + 1 AS bin,
   count(*) AS wells FROM summary, (SELECT min(RSquared) AS lo, max(RSquared) AS hi FROM summary) GROUP BY ALL""")
 def r2_histogram(spark, sf):
-    return FC.r2_histogram(_summary(spark, sf))
+    return FC.r2_histogram(stage(_summary(spark, sf)))
 
 
 # ---- views ----------------------------------------------------------------------------------
@@ -525,7 +523,7 @@ _GAS_ONLY = "SELECT WellID, 'GasProduction' AS ProductionType, ProductionMonth,
   SELECT WellID, 'Historical' AS DataType, ProductionMonth, 0 AS Step, GasProduction AS q FROM trended
   UNION ALL SELECT WellID, 'Forecast', ProductionMonth, CAST(i + 1 AS INTEGER), Rate FROM ahead)""", points=_GAS_ONLY)
 def running_total(spark, sf):
-    history = X.decline(spark, sf)
+    history = stage(X.decline(spark, sf))
     fits = D.fit_series(D.stack_measures(history, ["GasProduction"]))
     ahead = FC.forecast_points(fits, MONTHS).select(
         "WellID", F.lit("Forecast").alias("DataType"), "ProductionMonth", "Step", F.col("Rate").alias("GasProduction"))
