@@ -48,12 +48,15 @@ GOOD_ENOUGH = {"exponential": 0.8, "hyperbolic": 0.8, "harmonic": 0.7}
 EXPONENT_RANGE = (0.001, 0.999)
 PARAMETER_COUNT = {"exponential": 2, "hyperbolic": 3, "harmonic": 2}
 
-# Search layout of our own: coarse points per axis, zoom levels, points per side, shrink per level.
-COARSE_DI = {"exponential": 32, "hyperbolic": 20, "harmonic": 32}
+# Search layout of our own: coarse points of log(di), then levels of a finer line search around the
+# best of them; for the hyperbolic curve this is done at COARSE_B exponents, and levels of a search
+# in both parameters follow. A level looks REACH points to each side at 1/SHRINK of the last spacing.
+COARSE_DI = 20
+LINE_LEVELS = {"exponential": 6, "hyperbolic": 2, "harmonic": 6}
+LINE_REACH, LINE_SHRINK = 4, 4.0
 COARSE_B = 7
-LEVELS = {"exponential": 6, "hyperbolic": 14, "harmonic": 6}
-REACH = {"exponential": 4, "hyperbolic": 1, "harmonic": 4}
-SHRINK = {"exponential": 4.0, "hyperbolic": 2.0, "harmonic": 4.0}
+PLANE_LEVELS = 14
+PLANE_REACH, PLANE_SHRINK = 2, 2.0
 # Half-width of the closing parabola step on log(di).
 POLISH = 1e-4
 # Relative distance from a limit at which an optimum counts as inside the box.
@@ -129,51 +132,60 @@ class _Series:
 def _search(curve: str, s: _Series, box: Box) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best (qi, di, b) of the box per series; di is searched on a log scale.
 
-    While zooming on the hyperbolic curve, the step in b keeps the total decline up to mid-history,
+    In the search of both parameters, the step in b keeps the total decline up to mid-history,
     ln(1 + b di y) / b, and the other step scales it: along these axes the error is nearly round,
     where (di, b) form a long narrow valley.
     """
     rows = len(s.estimate)
     u_low, u_high = np.log(box.di[0]), np.log(box.di[1])
     b_low, b_high = EXPONENT_RANGE
-    two_axes = curve == "hyperbolic"
-    u_step = (u_high - u_low) / (COARSE_DI[curve] - 1)
-    b_step = (b_high - b_low) / (COARSE_B - 1) if two_axes else 0.0
-    best = np.full(rows, np.inf)
-    u, b, qi = np.zeros(rows), np.full(rows, 0.5), np.zeros(rows)
-
-    def offer(cu, cb):
-        cq, sse = s.profile(curve, box, np.exp(cu), cb if two_axes else None)
-        better = sse < best
-        best[better], u[better], b[better], qi[better] = sse[better], cu[better], cb[better], cq[better]
-
-    for j in range(COARSE_B if two_axes else 1):
-        cb = np.full(rows, b_low + j * b_step if two_axes else 0.5)
-        for i in range(COARSE_DI[curve]):
-            offer(np.full(rows, u_low + i * u_step), cb)
-    reach = range(-REACH[curve], REACH[curve] + 1)
-    for _ in range(LEVELS[curve]):
-        u_step, b_step = u_step / SHRINK[curve], b_step / SHRINK[curve]
-        u0, b0 = u.copy(), b.copy()
-        drop = np.log1p(b0 * np.exp(u0) * s.middle) / b0 if two_axes else None
-        for j in reach if two_axes else (0,):
-            cb = np.clip(b0 + j * b_step, b_low, b_high) if two_axes else b0
-            for i in reach:
-                if two_axes:
-                    cu = np.log(np.expm1(cb * drop * np.exp(i * u_step)) / (cb * s.middle))
-                else:
-                    cu = u0 + i * u_step
-                offer(np.clip(cu, u_low, u_high), cb)
-
-    def error(cu):
-        return s.profile(curve, box, np.exp(cu), b if two_axes else None)
-
-    left, here, right = error(u - POLISH)[1], error(u)[1], error(u + POLISH)[1]
+    hyperbolic = curve == "hyperbolic"
+    coarse = (u_high - u_low) / (COARSE_DI - 1)
+
+    def error(cu, cb):
+        return s.profile(curve, box, np.exp(cu), cb if hyperbolic else None)[1]
+
+    class Best:
+        def __init__(self):
+            self.error, self.u, self.b = np.full(rows, np.inf), np.zeros(rows), np.full(rows, 0.5)
+
+        def offer(self, cu, cb, value=None):
+            value = error(cu, cb) if value is None else value
+            better = value < self.error
+            self.error[better], self.u[better], self.b[better] = value[better], cu[better], cb[better]
+
+    best = Best()
+    for j in range(COARSE_B if hyperbolic else 1):
+        b = np.full(rows, b_low + j * ((b_high - b_low) / (COARSE_B - 1)) if hyperbolic else 0.5)
+        line = Best()
+        for i in range(COARSE_DI):
+            line.offer(np.full(rows, u_low + i * coarse), b)
+        step = coarse
+        for _ in range(LINE_LEVELS[curve]):
+            step, center = step / LINE_SHRINK, line.u.copy()
+            for i in range(-LINE_REACH, LINE_REACH + 1):
+                if i:
+                    line.offer(np.clip(center + i * step, u_low, u_high), b)
+        best.offer(line.u, line.b, line.error)
+
+    if hyperbolic:
+        step, b_step = coarse / LINE_SHRINK, (b_high - b_low) / (COARSE_B - 1)
+        for _ in range(PLANE_LEVELS):
+            step, b_step, center = step / PLANE_SHRINK, b_step / PLANE_SHRINK, best.b.copy()
+            drop = np.log1p(center * np.exp(best.u) * s.middle) / center
+            for j in range(-PLANE_REACH, PLANE_REACH + 1):
+                cb = np.clip(center + j * b_step, b_low, b_high)
+                for i in range(-PLANE_REACH, PLANE_REACH + 1):
+                    cu = np.log(np.expm1(cb * drop * np.exp(i * step)) / (cb * s.middle))
+                    best.offer(np.clip(cu, u_low, u_high), cb)
+
+    u, b = best.u, best.b
+    left, here, right = error(u - POLISH, b), error(u, b), error(u + POLISH, b)
     bend = left - 2.0 * here + right
-    step = 0.5 * POLISH * (left - right) / np.where(bend > 0, bend, np.inf)
-    inner = (u - POLISH >= u_low) & (u + POLISH <= u_high) & (np.abs(step) <= POLISH)
-    u = np.where(inner, u + step, u)
-    return error(u)[0], np.exp(u), b
+    shift = 0.5 * POLISH * (left - right) / np.where(bend > 0, bend, np.inf)
+    inner = (u - POLISH >= u_low) & (u + POLISH <= u_high) & (np.abs(shift) <= POLISH)
+    di = np.exp(np.where(inner, u + shift, u))
+    return s.profile(curve, box, di, b if hyperbolic else None)[0], di, b
 
 
 def _fit_curve(curve: str, s: _Series, start: dict[str, np.ndarray] | None) -> dict[str, np.ndarray]:

@@ -200,47 +200,52 @@ CTES = {
   ('harmonic', 2, 0.0001e0, 5e0, 0.01e0, 20e0, 0e0), ('harmonic', 3, 0.00001e0, 10e0, 0e0, 100e0, 0.001e0),
   ('hyperbolic', 1, 0.001e0, 3e0, 0.1e0, 5e0, 0e0), ('hyperbolic', 2, 0.0001e0, 5e0, 0.01e0, 20e0, 0e0))
   v(curve, box, dlo, dhi, qlo, qhi, qfloor)""",
-    "grid": """SELECT curve, box, ln(dlo) + i * ((ln(dhi) - ln(dlo)) / (CASE curve WHEN 'hyperbolic' THEN 19 ELSE 31 END)) AS u,
+    "grid": """SELECT curve, box, (ln(dhi) - ln(dlo)) / 19 AS hu, ln(dlo) + i * ((ln(dhi) - ln(dlo)) / 19) AS u,
   CASE curve WHEN 'hyperbolic' THEN 0.001e0 + j * ((0.999e0 - 0.001e0) / 6) ELSE 0.5e0 END AS b
-  FROM job, generate_series(0, 31) gi(i), generate_series(0, 6) gj(j)
-  WHERE CASE curve WHEN 'hyperbolic' THEN i < 20 ELSE j = 0 END""",
-    "offsets": """SELECT 'hyperbolic' AS curve, i, j FROM generate_series(-1, 1) a(i), generate_series(-1, 1) c(j)
-  UNION ALL SELECT k, i, 0 FROM (VALUES ('exponential'), ('harmonic')) v(k), generate_series(-4, 4) a(i)""",
+  FROM job, generate_series(0, 19) gi(i), generate_series(0, 6) gj(j) WHERE curve = 'hyperbolic' OR j = 0""",
+    "offsets": "SELECT i, j FROM generate_series(-2, 2) a(i), generate_series(-2, 2) c(j)",
     "limits": """SELECT WellID, ProductionType, curve, box, sum_q2, (SELECT max(y) / 2 FROM fit_points p
     WHERE p.WellID = series.WellID AND p.ProductionType = series.ProductionType) AS ym, greatest(qlo * qi_estimate, qfloor) AS qi_low,
   qhi * qi_estimate AS qi_high, dlo, dhi, ln(dlo) AS ulo, ln(dhi) AS uhi FROM series, job WHERE rejected IS NULL""",
 }
 
 
-def _offer(candidates: str, level: str, u_step: str, b_step: str) -> str:
-    """Best candidate per (series, curve, box) out of `candidates`."""
-    return f"""SELECT {level} AS lvl, WellID, ProductionType, curve, box, best.u AS u, best.b AS b, best.qi AS qi,
+def _best(candidates: str, track: str, level: str, u_step: str, b_step: str) -> str:
+    """Best of the `candidates` per (series, curve, box) and, while lines are searched, exponent."""
+    return f"""SELECT {level} AS lvl, WellID, ProductionType, curve, box, best.u AS u, best.b AS b, error,
     {u_step} AS hu, {b_step} AS hb FROM (
     SELECT WellID, ProductionType, curve, box, any_value(lvl) AS lvl, any_value(hu) AS hu, any_value(hb) AS hb,
-      arg_min({{'u': u, 'b': b, 'qi': qi}}, sum_q2 - 2 * qi * qf + qi * qi * ff) AS best FROM (
-      SELECT *, greatest(qi_low, least(qi_high, qf / greatest(ff, 1e-300))) AS qi FROM (
-        SELECT WellID, ProductionType, curve, box, u, b, lvl, hu, hb, sum(q * f) AS qf, sum(f * f) AS ff FROM (
-          SELECT c.*, p.q, {_SHAPE} AS f FROM ({candidates}) c JOIN fit_points p USING (WellID, ProductionType))
-        GROUP BY ALL) JOIN limits USING (WellID, ProductionType, curve, box))
-    GROUP BY WellID, ProductionType, curve, box)"""
+      arg_min({{'u': u, 'b': b}}, sse) AS best, min(sse) AS error FROM (
+      SELECT *, sum_q2 - 2 * qi * qf + qi * qi * ff AS sse FROM (
+        SELECT *, greatest(qi_low, least(qi_high, qf / greatest(ff, 1e-300))) AS qi FROM (
+          SELECT WellID, ProductionType, curve, box, u, b, lvl, hu, hb, sum(q * f) AS qf, sum(f * f) AS ff FROM (
+            SELECT c.*, p.q, {_SHAPE} AS f FROM ({candidates}) c JOIN fit_points p USING (WellID, ProductionType))
+          GROUP BY ALL) JOIN limits USING (WellID, ProductionType, curve, box)))
+    GROUP BY WellID, ProductionType, curve, box{track})"""
 
 
-CTES["zoom"] = (
-    _offer("SELECT WellID, ProductionType, curve, box, u, b, 0 AS lvl, 0 AS hu, 0 AS hb FROM limits JOIN grid USING (curve, box)",
-           "0", "(SELECT (ln(dhi) - ln(dlo)) / CASE j.curve WHEN 'hyperbolic' THEN 19 ELSE 31 END FROM job j "
-                "WHERE j.curve = s.curve AND j.box = s.box)", "CASE curve WHEN 'hyperbolic' THEN (0.999e0 - 0.001e0) / 6 ELSE 0 END")
-    .replace("GROUP BY WellID, ProductionType, curve, box)", "GROUP BY WellID, ProductionType, curve, box) s")
-    + " UNION ALL "
-    + _offer("""SELECT DISTINCT z.WellID, z.ProductionType, z.curve, z.box, z.lvl, z.hu, z.hb,
-            greatest(l.ulo, least(l.uhi, CASE z.curve WHEN 'hyperbolic' THEN ln((exp(
-              greatest(0.001e0, least(0.999e0, z.b + o.j * (z.hb / 2))) * ln(1 + z.b * exp(z.u) * l.ym) / z.b * exp(o.i * (z.hu / 2))) - 1)
-              / (greatest(0.001e0, least(0.999e0, z.b + o.j * (z.hb / 2))) * l.ym)) ELSE z.u + o.i * (z.hu / 4) END)) AS u,
-            CASE z.curve WHEN 'hyperbolic' THEN greatest(0.001e0, least(0.999e0, z.b + o.j * (z.hb / 2))) ELSE z.b END AS b
-            FROM zoom z JOIN offsets o ON o.curve = z.curve JOIN limits l ON l.WellID = z.WellID
-              AND l.ProductionType = z.ProductionType AND l.curve = z.curve AND l.box = z.box
-            WHERE z.lvl < CASE z.curve WHEN 'hyperbolic' THEN 14 ELSE 6 END""",
-             "lvl + 1", "hu / CASE curve WHEN 'hyperbolic' THEN 2 ELSE 4 END", "hb / 2")
-)
+_NEXT_B = "greatest(0.001e0, least(0.999e0, z.b + o.j * (z.hb / 2)))"
+_LIMITED = ("JOIN limits l ON l.WellID = z.WellID AND l.ProductionType = z.ProductionType AND l.curve = z.curve "
+            "AND l.box = z.box")
+CTES |= {
+    "line_search": _best("""SELECT WellID, ProductionType, curve, box, u, b, 0 AS lvl, hu, 0e0 AS hb
+        FROM limits JOIN grid USING (curve, box)""", ", b", "0", "hu", "hb") + " UNION ALL " + _best(
+        f"""SELECT DISTINCT z.WellID, z.ProductionType, z.curve, z.box, z.lvl, z.hu, z.hb, z.b,
+        greatest(l.ulo, least(l.uhi, z.u + o.i * (z.hu / 4))) AS u
+        FROM line_search z CROSS JOIN generate_series(-4, 4) o(i) {_LIMITED}
+        WHERE z.lvl < CASE z.curve WHEN 'hyperbolic' THEN 2 ELSE 6 END""", ", b", "lvl + 1", "hu / 4", "hb"),
+    "plane_search": """SELECT 0 AS lvl, WellID, ProductionType, curve, box, best.u AS u, best.b AS b, error,
+        (uhi - ulo) / 19 / 4 AS hu, (0.999e0 - 0.001e0) / 6 AS hb FROM (
+        SELECT WellID, ProductionType, curve, box, arg_min({'u': u, 'b': b}, error) AS best, min(error) AS error
+        FROM line_search WHERE curve = 'hyperbolic' AND lvl = 2 GROUP BY ALL)
+        JOIN limits USING (WellID, ProductionType, curve, box) UNION ALL """ + _best(
+        f"""SELECT DISTINCT z.WellID, z.ProductionType, z.curve, z.box, z.lvl, z.hu, z.hb, {_NEXT_B} AS b,
+        greatest(l.ulo, least(l.uhi, ln((exp({_NEXT_B} * ln(1 + z.b * exp(z.u) * l.ym) / z.b * exp(o.i * (z.hu / 2))) - 1)
+          / ({_NEXT_B} * l.ym)))) AS u
+        FROM plane_search z CROSS JOIN offsets o {_LIMITED} WHERE z.lvl < 14""", "", "lvl + 1", "hu / 2", "hb / 2"),
+    "searched": """SELECT WellID, ProductionType, curve, box, u, b FROM line_search WHERE curve <> 'hyperbolic' AND lvl = 6
+  UNION ALL SELECT WellID, ProductionType, curve, box, u, b FROM plane_search WHERE lvl = 14""",
+}
 CTES |= {
     "polish": f"""SELECT * , CASE WHEN low - 2 * mid + high > 0 AND u - 1e-4 >= ulo AND u + 1e-4 <= uhi
     AND abs(0.5e-4 * (low - high) / (low - 2 * mid + high)) <= 1e-4 THEN u + 0.5e-4 * (low - high) / (low - 2 * mid + high)
@@ -251,7 +256,7 @@ CTES |= {
       SELECT *, greatest(qi_low, least(qi_high, qf / greatest(ff, 1e-300))) AS qi FROM (
         SELECT WellID, ProductionType, curve, box, center, b, k, sum(q * f) AS qf, sum(f * f) AS ff FROM (
           SELECT c.*, p.q, {_SHAPE} AS f FROM (SELECT WellID, ProductionType, curve, box, u AS center, u + k * 1e-4 AS u, b, k
-            FROM zoom, (VALUES (-1), (0), (1)) v(k) WHERE lvl = CASE curve WHEN 'hyperbolic' THEN 14 ELSE 6 END) c
+            FROM searched, (VALUES (-1), (0), (1)) v(k)) c
           JOIN fit_points p USING (WellID, ProductionType)) GROUP BY ALL)
       JOIN limits USING (WellID, ProductionType, curve, box)))
   GROUP BY WellID, ProductionType, curve, box, center, b)""",
@@ -343,6 +348,6 @@ def sql(body: str, **override: str) -> str:
     for name in [*CTES, *override]:
         if name in wanted:
             place(name)
-    # A recursive clause cannot be marked materialized.
-    parts = [f"{n} AS {'' if n == 'zoom' else 'MATERIALIZED '}({clauses[n]})" for n in ordered]
+    # Recursive clauses cannot be marked materialized.
+    parts = [f"{n} AS {'' if n in ('line_search', 'plane_search') else 'MATERIALIZED '}({clauses[n]})" for n in ordered]
     return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + body

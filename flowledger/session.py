@@ -35,18 +35,18 @@ def local_session(cores: int | str | None = None, app: str = "flowledger", **ext
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the shared folder the session names; only an unset one gets a local folder."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir() if hasattr(
-            spark.sparkContext, "getCheckpointDir") else None
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="flowledger-ckpt-")
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors reach: spark.checkpoint.dir of the session.
+
+    Only a local session without that setting gets a temporary folder of its own.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if configured:
+        return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="flowledger-"))
+    return spark.sparkContext.getCheckpointDir()

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from ..session import ensure_checkpoint_dir
+from ..session import shared_folder
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -16,6 +16,6 @@ def stage(df: DataFrame) -> DataFrame:
     copy is columnar and keeps column pruning and filter pushdown.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
