@@ -9,13 +9,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.calendar import BACKFILLED, build_calendar, check_cumulatives
 from ..operators.clean import apply_schema, clean_dataset, drop_incomplete, parse_months
 from ..operators.periods import normalize_periods
 from ..operators.quality import merge_duplicates, no_issues, validate_merged
 from ..schemas import (
-    ISSUES, PRODUCTION_COLUMNS, WELL_CALENDAR, WELL_NORMALIZED, conform, get_schema,
+    ISSUES, PRODUCTION_COLUMNS, WELL_CALENDAR, WELL_NORMALIZED, get_schema,
 )
 from ..sources.files import read_csv
 from ..sources.tables import table_exists, write_table
@@ -58,11 +59,16 @@ def bronze_to_silver(spark: SparkSession, dataset: str, namespace: str,
     issues_name, silver_name = f"{namespace}.{dataset}_silver_quality_issues", f"{namespace}.{dataset}_silver"
     if entity not in silver.columns:
         write_table(no_issues(silver), issues_name)
-        return write_table(silver, silver_name)
+        return write_table(_typed_month(silver), silver_name)
     merged = write_table(merge_duplicates(silver, [entity, "ProductionMonth"]), f"{namespace}.{dataset}_merged")
     clean, issues = validate_merged(merged, measures, entity)
     write_table(issues, issues_name, ISSUES)
-    return write_table(clean, silver_name)
+    return write_table(_typed_month(clean), silver_name)
+
+
+def _typed_month(df: DataFrame) -> DataFrame:
+    """Stored months are timestamps, as declared; the operators work on dates."""
+    return df.withColumn("ProductionMonth", F.col("ProductionMonth").cast("timestamp"))
 
 
 def silver_to_calendar(spark: SparkSession, namespace: str, dataset: str = "ngl") -> DataFrame:
@@ -87,6 +93,3 @@ def build_calendar_and_normalized(spark: SparkSession, namespace: str, dataset:
     calendar_to_normalized(spark, namespace, dataset)
     return f"{namespace}.{dataset}_calendar", f"{namespace}.{dataset}_normalized"
 
-
-def empty_normalized(spark: SparkSession) -> DataFrame:
-    return conform(spark.createDataFrame([], WELL_NORMALIZED), WELL_NORMALIZED)
