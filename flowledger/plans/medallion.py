@@ -47,11 +47,14 @@ def raw_to_bronze(raw: DataFrame, dataset: str, namespace: str,
 
 
 def bronze_to_silver(spark: SparkSession, dataset: str, namespace: str,
-                     measures: Sequence[str] = tuple(PRODUCTION_COLUMNS), entity: str = "WellID") -> DataFrame:
+                     measures: Sequence[str] = tuple(PRODUCTION_COLUMNS), entity: str = "WellID",
+                     exact_scale: int | None = None) -> DataFrame:
     """`<dataset>_bronze` -> `<dataset>_silver` and `<dataset>_silver_quality_issues`.
 
     The merged rows are stored once and both outputs are taken from that table. A table without
-    the entity column is not validated; its issue table is empty.
+    the entity column is not validated; its issue table is empty. With `exact_scale`, the number of
+    decimals reported, duplicate sums are the same bits on every run, so that row hashes of repeated
+    loads differ only where the data does.
     """
     schema = get_schema(_code(dataset), "silver")
     silver = drop_incomplete(
@@ -60,7 +63,8 @@ def bronze_to_silver(spark: SparkSession, dataset: str, namespace: str,
     if entity not in silver.columns:
         write_table(no_issues(silver), issues_name)
         return write_table(_typed_month(silver), silver_name)
-    merged = write_table(merge_duplicates(silver, [entity, "ProductionMonth"]), f"{namespace}.{dataset}_merged")
+    merged = write_table(merge_duplicates(silver, [entity, "ProductionMonth"], exact_scale),
+                         f"{namespace}.{dataset}_merged")
     clean, issues = validate_merged(merged, measures, entity)
     write_table(issues, issues_name, ISSUES)
     return write_table(_typed_month(clean), silver_name)
