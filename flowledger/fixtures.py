@@ -101,21 +101,25 @@ def well_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Well-months whose gas and oil follow a known decline; condensate stays as reported.
 
-    One well in ten has a short history, so that every outcome of the fit occurs.
+    One well in ten stops producing after half a year (its rows stay, with zero volumes), so that
+    every outcome of the fit occurs.
     """
     k, t = well_number(), F.datediff("ProductionMonth", F.lit("1995-01-01").cast("date"))
     di = F.pmod(k, F.lit(6)) * F.lit(0.1)
     years = t / F.lit(365.25)
+    stopped = (F.pmod(k, F.lit(10)) == 9) & (t > 180)
 
     def trend(shift: int) -> Column:
         kind = F.pmod(k + shift, F.lit(3))
         return (F.when(kind == 0, F.exp(-di * years)).when(kind == 1, 1.0 / (1.0 + di * years))
                 .otherwise(F.pow(1.0 + 0.5 * di * years, F.lit(-2.0))))
 
-    return (
-        well_month(spark, sf_dir)
-        .filter(~((F.pmod(k, F.lit(10)) == 9) & (t > 180)))
-        .withColumns({"DaysFromFirst": t, "GasProduction": F.col("GasProduction") / 1000.0 * trend(0),
-                      "OilProduction": F.col("OilProduction") * trend(1)})
-        .drop("LineCount")
-    )
+    def volume(c: Column) -> Column:
+        return F.when(stopped, 0.0).otherwise(c)
+
+    return well_month(spark, sf_dir).withColumns({
+        "DaysFromFirst": t,
+        "GasProduction": volume(F.col("GasProduction") / 1000.0 * trend(0)),
+        "OilProduction": volume(F.col("OilProduction") * trend(1)),
+        "CondensateProduction": volume(F.col("CondensateProduction")),
+    }).drop("LineCount")

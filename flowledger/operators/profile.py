@@ -85,24 +85,24 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     sketch of them is gathered in one task, and the result is exact for any distribution.
     """
     columns = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
-    values = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("Column"), F.col(c).cast("double").alias("v")) for c in columns
-    ])).alias("e")).select("e.Column", "e.v").filter("v is not null")
+    # Long form keyed by the column's position: a number hashes cheaper than its name.
+    values = df.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in columns])).alias("at", "v")).filter(
+        "v is not null")
 
     place = F.col("p") * (F.col("stats.n") - 1)
     bracket = (
-        values.groupBy("Column").agg(F.struct(
+        values.groupBy("at").agg(F.struct(
             F.count("*").alias("n"), F.avg("v").alias("mean"), F.stddev("v").alias("std"),
             F.min("v").alias("min"), F.max("v").alias("max")).alias("stats"))
-        .select("Column", "stats", F.explode(F.array(*[F.lit(p) for p in QUARTILES])).alias("p"),
+        .select("at", "stats", F.explode(F.array(*[F.lit(p) for p in QUARTILES])).alias("p"),
                 F.col("stats.min").alias("lo"), F.col("stats.max").alias("hi"), F.lit(0).cast("long").alias("below"))
         .select("*", F.floor(place).alias("r0"), F.ceil(place).alias("r1"))
     )
-    carried = ["Column", "stats", "p", "below", "r0", "r1"]
+    carried = ["at", "stats", "p", "below", "r0", "r1"]
     for _ in range(PASSES):
         bracket = _narrow(values, bracket, carried)
 
-    by_value = Window.partitionBy("Column", "p").orderBy("v").rowsBetween(
+    by_value = Window.partitionBy("at", "p").orderBy("v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     ranked = (
         _inside(values, bracket).groupBy(*carried, "v").agg(F.count("*").alias("n"))
@@ -113,24 +113,24 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Data
         return F.min(F.when(F.col("upto") > F.col(rank), F.col("v")))
 
     quartile = (
-        ranked.groupBy("Column", "stats", "p").agg(at("r0").alias("a"), at("r1").alias("b"))
+        ranked.groupBy("at", "stats", "p").agg(at("r0").alias("a"), at("r1").alias("b"))
         .withColumn("q", F.col("a") + (F.col("b") - F.col("a")) * (place - F.floor(place)))
     )
-    return quartile.groupBy("Column", "stats").agg(
+    return quartile.groupBy("at", "stats").agg(
         *[F.max(F.when(F.col("p") == p, F.col("q"))).alias(f"q{int(p * 100)}") for p in QUARTILES]
-    ).select("Column", F.col("stats.n").alias("count"), "stats.mean", "stats.std", "stats.min",
+    ).select(F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("at") + 1).alias("Column"), F.col("stats.n").alias("count"), "stats.mean", "stats.std", "stats.min",
              *[f"q{int(p * 100)}" for p in QUARTILES], "stats.max")
 
 
 def _inside(values: DataFrame, bracket: DataFrame) -> DataFrame:
     # `bracket` has len(QUARTILES) rows per column of the table: bounded by the schema.
-    return values.join(F.broadcast(bracket), "Column").filter(F.col("v").between(F.col("lo"), F.col("hi")))
+    return values.join(F.broadcast(bracket), "at").filter(F.col("v").between(F.col("lo"), F.col("hi")))
 
 
 def _narrow(values: DataFrame, bracket: DataFrame, carried: list[str]) -> DataFrame:
     span = F.col("hi") - F.col("lo")
     place = F.when(span > 0, F.least(F.floor((F.col("v") - F.col("lo")) / span * BINS), F.lit(BINS - 1))).otherwise(0)
-    by_bin = Window.partitionBy("Column", "p").orderBy("bin").rowsBetween(
+    by_bin = Window.partitionBy("at", "p").orderBy("bin").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     counted = (
         _inside(values, bracket).withColumn("bin", place.cast("int")).groupBy(*carried, "bin")
@@ -140,7 +140,7 @@ def _narrow(values: DataFrame, bracket: DataFrame, carried: list[str]) -> DataFr
     # Bins that hold a wanted rank, and any bin between them.
     hit = (F.col("upto") > F.col("r0")) & (F.col("upto") - F.col("n") <= F.col("r1"))
     return (
-        counted.filter(hit).groupBy("Column", "stats", "p", "r0", "r1")
+        counted.filter(hit).groupBy("at", "stats", "p", "r0", "r1")
         .agg(F.min("first").alias("lo"), F.max("last").alias("hi"),
              F.min(F.col("upto") - F.col("n")).alias("below"))
         .select(*carried, "lo", "hi")

@@ -151,11 +151,14 @@ CTES = {
   CASE l_linenumber WHEN 1 THEN concat(d, '-01') WHEN 2 THEN '' WHEN 3 THEN 'n/a' WHEN 4 THEN NULL ELSE d END
   AS ProductionMonth FROM (SELECT *, CAST(l_extendedprice AS VARCHAR) AS v,
   substr(CAST(l_shipdate AS VARCHAR), 1, 7) AS d FROM lineitem)""",
-    "trended": f"""SELECT * REPLACE (GasProduction / 1000 * CASE k % 3 WHEN 0 THEN e WHEN 1 THEN h ELSE y END AS GasProduction,
-  OilProduction * CASE (k + 1) % 3 WHEN 0 THEN e WHEN 1 THEN h ELSE y END AS OilProduction) FROM (
-  SELECT *, exp(-di * t / 365.25e0) AS e, 1 / (1 + di * t / 365.25e0) AS h, power(1 + 0.5e0 * di * t / 365.25e0, -2) AS y FROM (
+    "trended": f"""SELECT * REPLACE (
+  CASE WHEN stopped THEN 0 ELSE GasProduction / 1000 * CASE k % 3 WHEN 0 THEN e WHEN 1 THEN h ELSE y END END AS GasProduction,
+  CASE WHEN stopped THEN 0 ELSE OilProduction * CASE (k + 1) % 3 WHEN 0 THEN e WHEN 1 THEN h ELSE y END END AS OilProduction,
+  CASE WHEN stopped THEN 0 ELSE CondensateProduction END AS CondensateProduction) FROM (
+  SELECT *, k % 10 = 9 AND t > 180 AS stopped, exp(-di * t / 365.25e0) AS e, 1 / (1 + di * t / 365.25e0) AS h,
+    power(1 + 0.5e0 * di * t / 365.25e0, -2) AS y FROM (
   SELECT *, {_K} AS k, 0.1e0 * ({_K} % 6) AS di, CAST(date_diff('day', DATE '1995-01-01', ProductionMonth) AS INTEGER) AS t
-  FROM well_month)) WHERE NOT (k % 10 = 9 AND t > 180)""",
+  FROM well_month))""",
     "points": _points("trended", PRODUCTION, "t"),
     "normalized_points": _points("normalized", PRODUCTION, "DaysFromFirstProducing", "PeriodStartDate",
                                  "{m} / (730 / 24.0e0)"),

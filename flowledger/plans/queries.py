@@ -601,16 +601,18 @@ def numeric_profile(spark, sf):
 
 
 def _loads(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Two loads of the same months: some wells new, some gone, some with changed gas."""
+    """Two loads of overlapping months: late months are new in the second, the earliest are gone
+    from it, and gas was corrected where Pool is R."""
     rows = Q.merge_duplicates(X.well_line(spark, sf), ["WellID", "ProductionMonth"], X.EXACT_SCALE).select(
         "WellID", "ProductionMonth", "GasProduction", "Hours", "Pool")
-    twenties = F.pmod(X.well_number(), F.lit(20))
-    gas = F.col("GasProduction") + F.when(twenties == 2, 1.0).otherwise(0.0)
-    return rows.filter(twenties != 3), rows.filter(twenties != 1).withColumn("GasProduction", gas)
+    gas = F.col("GasProduction") + F.when(F.col("Pool") == "R", 1.0).otherwise(0.0)
+    return (rows.filter("ProductionMonth < DATE'2001-07-01'"),
+            rows.filter("ProductionMonth >= DATE'1995-03-01'").withColumn("GasProduction", gas))
 
 
-_CHANGES = """SELECT WellID, ProductionMonth, CASE CAST(substr(WellID, 2) AS BIGINT) % 20 WHEN 3 THEN 'inserted'
-  WHEN 1 THEN 'deleted' WHEN 2 THEN 'updated' ELSE 'unchanged' END AS Change FROM merged"""
+_CHANGES = """SELECT WellID, ProductionMonth, CASE WHEN ProductionMonth >= DATE '2001-07-01' THEN 'inserted'
+  WHEN ProductionMonth < DATE '1995-03-01' THEN 'deleted' WHEN Pool = 'R' THEN 'updated' ELSE 'unchanged' END AS Change
+  FROM merged"""
 
 
 @register(_CHANGES)
