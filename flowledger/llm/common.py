@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
 from ..sources.staging import stage
 
-__all__ = ["LOWER", "hash_lanes", "plain_text", "read_table", "release", "shared_folder", "stage", "words_of"]
+__all__ = ["LOWER", "batches_of", "hash_lanes", "plain_text", "read_table", "release", "shared_folder", "stage", "words_of"]
 
 # A-Z to a-z and nothing else.
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -43,3 +46,15 @@ def release(df: DataFrame) -> None:
         if "/stage-" in path:
             where = spark._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """While a result is stored: so many rows per Arrow batch, for rows that hold whole blocks."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
