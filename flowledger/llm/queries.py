@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, licenses, minhash, packing, quality
+from . import bpe, embed_dedup, licenses, minhash, packing, quality
 from .common import read_table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -30,6 +30,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op8_query(read_table(spark, sf_dir, "documents"), WORD_VOCABULARY)
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.op9_query(read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.op10_query(read_table(spark, sf_dir, "documents"))
 
@@ -37,7 +41,8 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op2_byte_bpe, op5_quality, op6_license_scan, op8_packing, op10_minhash_dedup,
+        op2_byte_bpe, op5_quality, op6_license_scan, op8_packing, op9_embedding_dedup,
+        op10_minhash_dedup,
     )
 }
 ORACLES: dict[str, str] = {}
