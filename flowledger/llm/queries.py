@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embed_dedup, licenses, minhash, packing, quality
+from . import ann, bpe, embed_dedup, licenses, minhash, packing, quality
 from .common import read_table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -18,6 +18,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.op2_query(read_table(spark, sf_dir, "documents"), BYTE_RANKS)
 
 
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.op4_query(read_table(spark, sf_dir, "embeddings"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op5_query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -41,7 +45,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op2_byte_bpe, op5_quality, op6_license_scan, op8_packing, op9_embedding_dedup,
+        op2_byte_bpe, op4_ann, op5_quality, op6_license_scan, op8_packing, op9_embedding_dedup,
         op10_minhash_dedup,
     )
 }
