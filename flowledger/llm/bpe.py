@@ -17,7 +17,7 @@ from __future__ import annotations
 import base64
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import plain_text
 
 BLOCK_CHARS = 1 << 20
-CACHE_WORDS = 600_000
+CACHE_WORDS = 150_000
 NONE = np.int32(2**31 - 1)
 
 # Symbols: what a character is, with a look at the next ones where that decides.
@@ -140,22 +140,36 @@ class ByteBpe:
         self.lengths = np.zeros(max(self.tokens) + 1, np.int64)
         self.lengths[list(self.tokens)] = [len(t) for t in self.tokens.values()]
         self.cache: dict[str, bytes] = {}
-        self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        pairs = {
-            ranks_a << 32 | ranks_b: rank
-            for token, rank in self.ranks.items()
-            for i in range(1, len(token))
-            if (ranks_a := self.ranks.get(token[:i])) is not None and (ranks_b := self.ranks.get(token[i:])) is not None
-        }
-        self.pair_keys = np.array(sorted(pairs), np.int64)
-        self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int32)
-        self.first_pairs = self._rank(self.single[:, None], self.single[None, :])
+        self.older: dict[str, bytes] = {}
+
+    @cached_property
+    def single(self) -> np.ndarray:
+        return np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Ascending pairs of ranks (one long each) that join to a token, and that token's rank."""
+        keys, ranks = [], []
+        for token, rank in self.ranks.items():
+            for i in range(1, len(token)):
+                a, b = self.ranks.get(token[:i]), self.ranks.get(token[i:])
+                if a is not None and b is not None:
+                    keys.append(a << 32 | b)
+                    ranks.append(rank)
+        keys, ranks = np.array(keys, np.int64), np.array(ranks, np.int32)
+        order = np.argsort(keys)
+        return keys[order], ranks[order]
+
+    @cached_property
+    def first_pairs(self) -> np.ndarray:
+        return self._rank(self.single[:, None], self.single[None, :])
 
     def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of the token that a and b make together, NONE if none."""
         keys = (a.astype(np.int64) << 32) | b
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NONE)
+        known, ranks = self.pairs
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        return np.where(known[at] == keys, ranks[at], NONE)
 
     def merge_many(self, words: list[bytes]) -> list[bytes]:
         """Ids (int32 bytes) of many words at once: every word takes its next merge in the same step."""
@@ -265,9 +279,12 @@ class ByteBpe:
             else:
                 found.append((None, ids))
             first, offset = to + 1, stop + 1
-        missing = dict(zip(missing, self.merge_many([w.encode("utf-8", "replace") for w in missing])))
+        # Words not met since the cache last filled up are forgotten.
+        new = [w for w in missing if w not in self.older]
+        merged = dict(zip(new, self.merge_many([w.encode("utf-8", "replace") for w in new])))
+        missing = {w: merged[w] if w in merged else self.older[w] for w in missing}
         if len(self.cache) + len(missing) > CACHE_WORDS:
-            self.cache.clear()
+            self.older, self.cache = self.cache, {}
         self.cache.update((w, ids) for w, ids in missing.items() if len(w) <= 64)
         return [
             np.frombuffer(b"".join(ids if words is None else [i or missing[w] for w, i in zip(words, ids)]), np.int32)
@@ -327,9 +344,11 @@ def bpe_decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(ranks_path)
         for batch in batches:
-            ids = batch.column(1)
-            out = [bpe.decode(ids[i].as_py() or []) for i in range(len(ids))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(out, pa.binary())], ["doc_id", "ids", "decoded"])
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                ids = part.column(1)
+                out = [bpe.decode(ids[i].as_py() or []) for i in range(len(ids))]
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array(out, pa.binary())], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids array<int>, decoded binary")
 

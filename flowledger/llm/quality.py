@@ -176,10 +176,20 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 3000) -> tuple
     )
     # At most `sample` rows of two numbers.
     chosen = plain_text(docs).join(F.broadcast(usable), "doc_id").select("text", "label")
-    rows = chosen.mapInArrow(_sparse, "ids array<int>, weights array<float>, label int").toPandas()
-    samples = [(np.asarray(i, np.int64), np.asarray(w, np.float32), int(y)) for i, w, y in rows.itertuples(index=False)]
-    samples.sort(key=lambda s: (s[2], len(s[0]), s[0][:8].tolist(), float(s[1][:8].sum())))
-    return train(samples)
+    sparse = chosen.mapInArrow(_sparse, "ids array<int>, weights array<float>, label int")
+    # One task learns from the sample; its size does not depend on the corpus.
+    learned = sparse.repartition(1).mapInArrow(_learn, "table binary, bias double").first()
+    return (np.frombuffer(bytes(learned[0]), np.float32), learned[1]) if learned else train([])
+
+
+def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    samples = []
+    for batch in batches:
+        labels = batch.column(2).to_pylist()
+        samples += [(batch.column(0)[i].values.to_numpy(), batch.column(1)[i].values.to_numpy(), y) for i, y in enumerate(labels)]
+    samples.sort(key=lambda s: (s[2], len(s[0]), s[0].tobytes()))
+    table, bias = train(samples)
+    yield pa.RecordBatch.from_arrays([pa.array([table.tobytes()]), pa.array([bias])], ["table", "bias"])
 
 
 def held_out(doc_id):

@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, embed_dedup, licenses, minhash, packing, quality
+from . import ann, bpe, embed_dedup, licenses, line_dedup, minhash, packing, quality
 from .common import read_table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.op1_query(read_table(spark, sf_dir, "documents"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.op2_query(read_table(spark, sf_dir, "documents"), BYTE_RANKS)
 
@@ -45,8 +49,8 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op2_byte_bpe, op4_ann, op5_quality, op6_license_scan, op8_packing, op9_embedding_dedup,
+        op1_line_dedup, op2_byte_bpe, op4_ann, op5_quality, op6_license_scan, op8_packing, op9_embedding_dedup,
         op10_minhash_dedup,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE}
