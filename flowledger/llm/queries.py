@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, embed_dedup, licenses, line_dedup, minhash, packing, quality
+from . import ann, bpe, ctw, embed_dedup, licenses, line_dedup, minhash, packing, quality
 from .common import read_table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -34,6 +34,10 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.op6_query(read_table(spark, sf_dir, "documents"))
 
 
+def op7_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.op7_query(read_table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op8_query(read_table(spark, sf_dir, "documents"), WORD_VOCABULARY)
 
@@ -49,7 +53,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_line_dedup, op2_byte_bpe, op4_ann, op5_quality, op6_license_scan, op8_packing, op9_embedding_dedup,
+        op1_line_dedup, op2_byte_bpe, op4_ann, op5_quality, op6_license_scan, op7_ctw, op8_packing, op9_embedding_dedup,
         op10_minhash_dedup,
     )
 }
