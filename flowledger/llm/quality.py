@@ -210,6 +210,22 @@ def score_quality(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame
     return plain_text(docs).mapInPandas(run, "doc_id bigint, score double")
 
 
+def keep_quality(docs: DataFrame, model: tuple[np.ndarray, float], least: float = 0.7, text_col: str = "text") -> DataFrame:
+    """The rows of docs whose text scores at least `least`, with all columns as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+    bound = np.log(least / (1 - least))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, bias = shared.value
+        for batch in batches:
+            texts = _encode([t or "" for t in batch.column(at).to_pylist()])
+            z = [logits(block, table, bias) for block in _blocks(texts)]
+            yield batch.filter(pa.array(np.concatenate(z) >= bound if z else np.zeros(0, bool)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op5_query(docs: DataFrame, labels: DataFrame) -> DataFrame:
     scored = score_quality(docs, fit_quality(docs, labels))
     return scored.select(

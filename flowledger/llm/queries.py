@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, ctw, embed_dedup, licenses, line_dedup, minhash, packing, quality
+from . import ann, bpe, chat, ctw, embed_dedup, licenses, line_dedup, minhash, packing, quality
 from .common import read_table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -22,6 +22,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.op2_query(read_table(spark, sf_dir, "documents"), BYTE_RANKS)
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.op3_query(read_table(spark, sf_dir, "conversations"))
+
+
 def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.op4_query(read_table(spark, sf_dir, "embeddings"))
 
@@ -53,8 +57,8 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_line_dedup, op2_byte_bpe, op4_ann, op5_quality, op6_license_scan, op7_ctw, op8_packing, op9_embedding_dedup,
+        op1_line_dedup, op2_byte_bpe, op3_chat_format, op4_ann, op5_quality, op6_license_scan, op7_ctw, op8_packing, op9_embedding_dedup,
         op10_minhash_dedup,
     )
 }
-ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE}
+ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE, "op3_chat_format": chat.ORACLE}
