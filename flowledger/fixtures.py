@@ -19,11 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def well_id(number: str) -> Column:
-    return F.concat(F.lit("W"), F.lpad(F.col(number).cast("string"), 12, "0")).alias("WellID")
+    digits = F.col(number).cast("string")
+    return F.concat(F.lit("W"), F.lpad(digits, F.greatest(F.length(digits), F.lit(12)), F.lit("0"))).alias("WellID")
 
 
 def well_number() -> Column:
-    return F.substring("WellID", 2, 12).cast("long")
+    return F.substr(F.col("WellID"), F.lit(2)).cast("long")
 
 
 def _numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +86,7 @@ def well_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = F.col("l_extendedprice").cast("string")
     d = F.substring(F.col("l_shipdate").cast("string"), 1, 7)
     line = F.col("l_linenumber")
-    gas = (F.when(line == 1, F.concat(F.substring(v, 1, 2), F.lit(","), F.substring(v, 3, 40)))
+    gas = (F.when(line == 1, F.concat(F.substring(v, 1, 2), F.lit(","), F.substr(v, F.lit(3))))
            .when(line == 2, "***").when(line == 3, F.concat(F.lit("("), v, F.lit(")")))
            .when(line == 4, F.concat(F.lit(" $"), v, F.lit(" "))).when(line == 5, F.concat(v, F.lit("-1")))
            .when(line == 6, "").otherwise(v))

@@ -25,6 +25,7 @@ IMPERIAL = {
     "GasProduction": M3_TO_MCF, "OilProduction": M3_TO_BBL, "CondensateProduction": M3_TO_BBL,
     "GasProduction_Cumulative": M3_TO_MCF, "OilProduction_Cumulative": M3_TO_BBL,
     "CondensateProduction_Cumulative": M3_TO_BBL,
+    "GasProductionCumulative": M3_TO_MCF, "OilProductionCumulative": M3_TO_BBL, "CondensateProductionCumulative": M3_TO_BBL,
 }
 
 

@@ -17,6 +17,7 @@ from ..functions.text import month_start
 from ..schemas import MAIN_VOLUMES, columns_of_type
 from .clean import zero_nulls
 from .quality import Rule, Validated, any_true, issue_log, without_fatal
+from .spread import spread_join
 
 BACKFILLED = "Backfilled"
 
@@ -24,10 +25,10 @@ BACKFILLED = "Backfilled"
 def add_days_from_first(df: DataFrame, entity: str = "WellID", month: str = "ProductionMonth") -> DataFrame:
     """Days since the entity's first month, for rows of any multiplicity.
 
-    The minimum is a map-side combined aggregate joined back: no entity's raw rows are gathered.
+    The minimum is a map-side combined aggregate joined back in parts: no entity's raw rows are gathered.
     """
     first = df.groupBy(F.col(entity)).agg(F.min(month).alias("_first"))
-    return (df.join(first, entity)
+    return (spread_join(df, first, entity)
             .withColumn("DaysFromFirst", F.datediff(month, "_first").cast("int")).drop("_first"))
 
 

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Stands for null inside the hashed text, so that ("a", null, "b") and ("a", "b", null) differ.
-NULL_MARK = "\\N"
 HASH = "RowHash"
 
 
 def row_hash(columns: Sequence[str]) -> Column:
-    return F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit(NULL_MARK)) for c in columns]), 256)
+    """SHA-256 over the values as text, each with its length before it and null as "n": no two rows of
+    different values give the same text, whatever characters they hold."""
+    parts = [F.col(f"`{c}`").cast("string") for c in columns]
+    return F.sha2(F.concat(F.lit(""), *[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("n")) for p in parts]), 256)
 
 
 def add_row_hash(df: DataFrame, keys: Sequence[str], loaded_at: str | None = None) -> DataFrame:
@@ -24,16 +27,23 @@ def add_row_hash(df: DataFrame, keys: Sequence[str], loaded_at: str | None = Non
 
 
 def track_changes(previous: DataFrame, current: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per key: inserted, updated, deleted or unchanged. Only keys and hashes are shuffled."""
+    """Per key: inserted, updated, deleted or unchanged. Only keys and hashes are shuffled.
+
+    A column that only one load has is null in the other. Null keys are equal to each other.
+    """
+    columns = sorted({*previous.columns, *current.columns} - {*keys})
+
     def side(df: DataFrame, name: str) -> DataFrame:
-        columns = sorted(c for c in previous.columns if c not in keys)
-        return df.select(*keys, row_hash(columns).alias(name))
+        whole = df.withColumns({c: F.lit(None).cast("string") for c in columns if c not in df.columns})
+        return whole.select(*[F.col(k).alias(f"{name}_{k}") for k in keys], row_hash(columns).alias(name))
 
     old, new = F.col("PreviousHash"), F.col("CurrentHash")
     change = (F.when(old.isNull(), "inserted").when(new.isNull(), "deleted")
               .when(old != new, "updated").otherwise("unchanged"))
-    return (side(previous, "PreviousHash").join(side(current, "CurrentHash"), list(keys), "full_outer")
-            .select(*keys, change.alias("Change"), "PreviousHash", "CurrentHash"))
+    same = reduce(and_, [F.col(f"PreviousHash_{k}").eqNullSafe(F.col(f"CurrentHash_{k}")) for k in keys])
+    return (side(previous, "PreviousHash").join(side(current, "CurrentHash"), same, "full_outer")
+            .select(*[F.coalesce(f"CurrentHash_{k}", f"PreviousHash_{k}").alias(k) for k in keys], change.alias("Change"),
+                    "PreviousHash", "CurrentHash"))
 
 
 def issue_metrics(issues: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql.types import (
 
 from ..functions import text
 from ..schemas import PRODUCTION_COLUMNS, required_columns
+from .spread import spread_join
 
 # Columns with their own rule elsewhere (month parsing, day offset).
 HANDLED_ELSEWHERE = ("DaysFromFirst", "ProductionMonth")
@@ -77,11 +78,11 @@ def select_entities(df: DataFrame, include: Sequence[str] | DataFrame = (),
     Short Python lists become pushed-down IN filters; frames become semi / anti joins.
     """
     if isinstance(include, DataFrame):
-        df = df.join(include.select(entity).distinct(), entity, "left_semi")
+        df = spread_join(df, include.select(entity).distinct(), entity, "left_semi").select(df.columns)
     elif include:
         df = df.filter(F.col(entity).isin(list(include)))
     if isinstance(exclude, DataFrame):
-        df = df.join(exclude.select(entity).distinct(), entity, "left_anti")
+        df = spread_join(df, exclude.select(entity).distinct(), entity, "left_anti").select(df.columns)
     elif exclude:
         df = df.filter(~F.col(entity).isin(list(exclude)))
     return df
@@ -90,11 +91,11 @@ def select_entities(df: DataFrame, include: Sequence[str] | DataFrame = (),
 def with_min_history(df: DataFrame, min_rows: int, entity: str = "WellID") -> DataFrame:
     """Rows of entities that have at least `min_rows` rows.
 
-    Counted by a map-side combined aggregate and joined back, not by a window, so that an entity
+    Counted by a map-side combined aggregate and joined back in parts (spread_join), so that an entity
     with a large share of all rows is never gathered in one task.
     """
     enough = df.groupBy(entity).agg(F.count("*").alias("_rows")).filter(F.col("_rows") >= min_rows)
-    return df.join(enough.select(entity), entity, "left_semi")
+    return spread_join(df, enough.select(entity), entity, "left_semi").select(df.columns)
 
 
 def rename_with_replace(df: DataFrame, source: str, target: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType, IntegerType, NumericType, StringType, StructType, TimestampType,
@@ -12,10 +12,11 @@ from pyspark.sql.types import (
 
 from ..functions import text
 from ..functions.text import YEAR_MONTH
+from ..sources.staging import stage
 
 QUARTILES = (0.25, 0.5, 0.75)
 BINS = 4096
-PASSES = 2
+PASSES = 5
 
 
 def measure_summary(df: DataFrame, entity: str = "WellID") -> DataFrame:
@@ -79,69 +80,60 @@ def schema_profile(df: DataFrame, schema: StructType) -> DataFrame:
 def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, mean, std, min, exact quartiles and max of every numeric column.
 
-    A quartile is two order statistics. Their bracket starts as [min, max] and is narrowed by
-    counting BINS equal bins inside it (a combined aggregate with at most BINS rows per column);
-    the values left in the bracket are then counted and ranked. Neither a column's values nor a
-    sketch of them is gathered in one task, and the result is exact for any distribution.
+    A quartile lies between two order statistics. Each is searched by itself: values are counted first in
+    half octaves of their size, then PASSES times in BINS equal parts of the bracket that holds the rank.
+    A part of a half octave is below the spacing of doubles after that, so a bracket ends at one
+    value whatever the distribution. Every count is a combined aggregate with at most BINS rows per rank; no
+    column's values are sorted or gathered.
     """
     columns = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     # Long form keyed by the column's position: a number hashes cheaper than its name.
     values = df.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in columns])).alias("at", "v")).filter(
         "v is not null")
-
-    place = F.col("p") * (F.col("stats.n") - 1)
-    bracket = (
-        values.groupBy("at").agg(F.struct(
-            F.count("*").alias("n"), F.avg("v").alias("mean"), F.stddev("v").alias("std"),
-            F.min("v").alias("min"), F.max("v").alias("max")).alias("stats"))
-        .select("at", "stats", F.explode(F.array(*[F.lit(p) for p in QUARTILES])).alias("p"),
-                F.col("stats.min").alias("lo"), F.col("stats.max").alias("hi"), F.lit(0).cast("long").alias("below"))
-        .select("*", F.floor(place).alias("r0"), F.ceil(place).alias("r1"))
-    )
-    carried = ["at", "stats", "p", "below", "r0", "r1"]
+    stats = values.groupBy("at").agg(
+        F.count("*").alias("n"), F.avg("v").alias("mean"), F.stddev("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
+    place = F.col("p") * (F.col("n") - 1)
+    ranks = stats.select("at", "n", F.explode(F.array(*[F.lit(p) for p in QUARTILES])).alias("p")).select(
+        "at", F.explode(F.array(F.floor(place), F.ceil(place))).alias("rank")).distinct()
+    found = _narrow(values.withColumn("bin", _half_octave(F.col("v"))).groupBy("at", "bin"), ranks.withColumn("below", F.lit(0).cast("long")))
     for _ in range(PASSES):
-        bracket = _narrow(values, bracket, carried)
-
-    by_value = Window.partitionBy("at", "p").orderBy("v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    ranked = (
-        _inside(values, bracket).groupBy(*carried, "v").agg(F.count("*").alias("n"))
-        .withColumn("upto", F.col("below") + F.sum("n").over(by_value))
-    )
-
-    def at(rank: str):
-        return F.min(F.when(F.col("upto") > F.col(rank), F.col("v")))
-
+        span = F.col("hi") - F.col("lo")
+        # A bracket of one value, or of values that have no finite distance, is not divided.
+        part = F.when((span > 0) & (span < float("inf")), F.least(F.floor((F.col("v") - F.col("lo")) / span * BINS), F.lit(BINS - 1)))
+        # One row per rank: six per column of the table.
+        inside = values.join(F.broadcast(found), "at").filter(F.col("v").between(F.col("lo"), F.col("hi")))
+        counted = inside.withColumn("bin", F.coalesce(part, F.lit(0)).cast("int")).groupBy("at", "rank", "below", "bin")
+        found = _narrow(counted, None)
+    # Six rows per column, read twice below; stored, so that the passes run once.
+    value = stage(found.select("at", "rank", F.col("lo").alias("value")))
+    lower, upper = (value.select("at", F.col("rank").alias(r), F.col("value").alias(v)) for r, v in (("r0", "a"), ("r1", "b")))
     quartile = (
-        ranked.groupBy("at", "stats", "p").agg(at("r0").alias("a"), at("r1").alias("b"))
-        .withColumn("q", F.col("a") + (F.col("b") - F.col("a")) * (place - F.floor(place)))
+        stats.select("*", F.explode(F.array(*[F.lit(p) for p in QUARTILES])).alias("p"))
+        .withColumns({"r0": F.floor(place), "r1": F.ceil(place)})
+        .join(F.broadcast(lower), ["at", "r0"]).join(F.broadcast(upper), ["at", "r1"])
+        .withColumn("q", F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(
+            F.col("a") + (F.col("b") - F.col("a")) * (place - F.floor(place))))
     )
-    return quartile.groupBy("at", "stats").agg(
+    return quartile.groupBy("at", "n", "mean", "std", "min", "max").agg(
         *[F.max(F.when(F.col("p") == p, F.col("q"))).alias(f"q{int(p * 100)}") for p in QUARTILES]
-    ).select(F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("at") + 1).alias("Column"), F.col("stats.n").alias("count"), "stats.mean", "stats.std", "stats.min",
-             *[f"q{int(p * 100)}" for p in QUARTILES], "stats.max")
-
-
-def _inside(values: DataFrame, bracket: DataFrame) -> DataFrame:
-    # `bracket` has len(QUARTILES) rows per column of the table: bounded by the schema.
-    return values.join(F.broadcast(bracket), "at").filter(F.col("v").between(F.col("lo"), F.col("hi")))
-
-
-def _narrow(values: DataFrame, bracket: DataFrame, carried: list[str]) -> DataFrame:
-    span = F.col("hi") - F.col("lo")
-    place = F.when(span > 0, F.least(F.floor((F.col("v") - F.col("lo")) / span * BINS), F.lit(BINS - 1))).otherwise(0)
-    by_bin = Window.partitionBy("at", "p").orderBy("bin").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    counted = (
-        _inside(values, bracket).withColumn("bin", place.cast("int")).groupBy(*carried, "bin")
-        .agg(F.count("*").alias("n"), F.min("v").alias("first"), F.max("v").alias("last"))
-        .withColumn("upto", F.col("below") + F.sum("n").over(by_bin))
-    )
-    # Bins that hold a wanted rank, and any bin between them.
-    hit = (F.col("upto") > F.col("r0")) & (F.col("upto") - F.col("n") <= F.col("r1"))
-    return (
-        counted.filter(hit).groupBy("at", "stats", "p", "r0", "r1")
-        .agg(F.min("first").alias("lo"), F.max("last").alias("hi"),
-             F.min(F.col("upto") - F.col("n")).alias("below"))
-        .select(*carried, "lo", "hi")
-    )
+    ).select(F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("at") + 1).alias("Column"), F.col("n").alias("count"),
+             "mean", "std", "min", *[f"q{int(p * 100)}" for p in QUARTILES], "max")
+
+
+def _half_octave(v: Column) -> Column:
+    """Ascending with v: twice the binary logarithm of its size, by sign; 0, infinities and NaN have bins of their own."""
+    size = (F.floor(F.log2(F.abs(v)) * 2) + 2200).cast("int")
+    return (F.when(F.isnan(v), 5001).when(v == float("inf"), 5000).when(v == -float("inf"), -5000)
+            .when(v == 0, 0).when(v > 0, size).otherwise(-size))
+
+
+def _narrow(counted: GroupedData, ranks: DataFrame | None) -> DataFrame:
+    """at, rank, lo, hi, below: the bin that holds each rank, with its smallest and largest value and the
+    number of values below it. Grouped by rank already, or the same bins for all ranks of a column."""
+    bins = counted.agg(F.count("*").alias("in_bin"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    if ranks is not None:
+        bins = ranks.join(bins, "at")
+    upto = Window.partitionBy("at", "rank").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted_up = bins.withColumn("upto", F.col("below") + F.sum("in_bin").over(upto))
+    hit = (F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("in_bin") <= F.col("rank"))
+    return counted_up.filter(hit).select("at", "rank", "lo", "hi", (F.col("upto") - F.col("in_bin")).alias("below"))

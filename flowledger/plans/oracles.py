@@ -71,7 +71,7 @@ _RATE = ("CASE CurveType WHEN 'exponential' THEN qi * exp(-di * (day - t_offset)
 _DAY = "CAST(floor(last_day + 30 + {i} * 30.44e0) AS INTEGER)"
 
 CTES = {
-    "line": """SELECT 'W' || lpad(CAST(l_suppkey AS VARCHAR), 12, '0') AS WellID,
+    "line": """SELECT 'W' || lpad(CAST(l_suppkey AS VARCHAR), CAST(greatest(12, length(CAST(l_suppkey AS VARCHAR))) AS INTEGER), '0') AS WellID,
   CAST(date_trunc('month', l_shipdate) AS DATE) AS ProductionMonth, l_returnflag AS Pool, l_linestatus AS Area,
   l_quantity * 4 AS Hours, l_extendedprice AS GasProduction, l_quantity AS OilProduction,
   l_quantity * (l_discount - 0.02e0) AS CondensateProduction, l_quantity * l_tax AS WaterProduction,
@@ -79,7 +79,7 @@ CTES = {
   CASE WHEN l_linenumber <> 5 THEN l_quantity * 0.1e0 END AS PropaneMixVolume,
   l_quantity * 0.05e0 AS ButaneMixVolume, l_quantity * 0.02e0 AS PentaneMixVolume,
   l_quantity * 0.01e0 AS PentaneSpecVolume, l_quantity * 0.03e0 AS LiteMixVolume FROM lineitem""",
-    "attributes": """SELECT 'W' || lpad(CAST(s_suppkey AS VARCHAR), 12, '0') AS WellID,
+    "attributes": """SELECT 'W' || lpad(CAST(s_suppkey AS VARCHAR), CAST(greatest(12, length(CAST(s_suppkey AS VARCHAR))) AS INTEGER), '0') AS WellID,
   'F' || CAST(s_nationkey AS VARCHAR) AS ReportingFacilityID, s_name AS ReportingFacilityName,
   'N' || CAST(n_nationkey AS VARCHAR) AS OperatorBAID, n_name AS OperatorName,
   'L' || CAST(s_suppkey AS VARCHAR) AS WellLicenseNumber, r_name AS Field

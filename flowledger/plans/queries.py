@@ -588,7 +588,7 @@ def schema_profile(spark, sf):
     return R.schema_profile(X.well_text(spark, sf), TEXT_SCHEMA)
 
 
-_PROFILED = ["l_quantity", "l_extendedprice", "l_discount", "l_suppkey"]
+_PROFILED = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 @register(" UNION ALL ".join(
@@ -596,7 +596,7 @@ _PROFILED = ["l_quantity", "l_extendedprice", "l_discount", "l_suppkey"]
     f"CAST(min({c}) AS DOUBLE) AS min, rnd(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS q25, rnd(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS q50, "
     f"rnd(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS q75, CAST(max({c}) AS DOUBLE) AS max FROM lineitem" for c in _PROFILED))
 def numeric_profile(spark, sf):
-    profile = R.numeric_profile(X.table(spark, sf, "lineitem"), _PROFILED)
+    profile = R.numeric_profile(X.table(spark, sf, "lineitem"))
     return profile.select("Column", "count", *r(["mean", "std"], 6), "min", *r(["q25", "q50", "q75"], 6), "max")
 
 
@@ -621,12 +621,16 @@ def row_hash_changes(spark, sf):
     return H.track_changes(previous, current, ["WellID", "ProductionMonth"]).drop("PreviousHash", "CurrentHash")
 
 
-@register("""SELECT WellID, ProductionMonth, sha256(concat_ws('|', coalesce(Area, '\\N'), CAST(LineCount AS VARCHAR),
-  coalesce(Pool, '\\N'))) AS RowHash FROM merged""")
+_HASHED = sorted([*MEASURES, "Area", "LineCount", "Pool"])
+_AS_TEXT = {c: f"CAST(CAST({c} AS DECIMAL(28, 6)) AS VARCHAR)" if c in MEASURES else f"CAST({c} AS VARCHAR)" for c in _HASHED}
+
+
+@register("SELECT WellID, ProductionMonth, sha256(concat(" + ", ".join(
+    f"coalesce(length({t}) || ':' || {t}, 'n')" for t in _AS_TEXT.values()) + ")) AS RowHash FROM merged")
 def row_hash(spark, sf):
     rows = Q.merge_duplicates(X.well_line(spark, sf), ["WellID", "ProductionMonth"], X.EXACT_SCALE)
-    narrow = rows.select("WellID", "ProductionMonth", "Pool", "Area", "LineCount")
-    return H.add_row_hash(narrow, ["WellID", "ProductionMonth"], AS_OF).select("WellID", "ProductionMonth", H.HASH)
+    exact = rows.withColumns({c: F.col(c).cast("decimal(28,6)") for c in MEASURES})
+    return H.add_row_hash(exact, ["WellID", "ProductionMonth"], AS_OF).select("WellID", "ProductionMonth", H.HASH)
 
 
 @register("""SELECT 'quality' AS Section, Rule AS Name, CAST(to_json({'Rule': Rule, 'Severity': Severity, 'issues': count(*),

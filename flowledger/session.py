@@ -5,7 +5,9 @@ On a cluster the session is handed in and its settings are left alone.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,12 +43,14 @@ def local_session(cores: int | str | None = None, app: str = "flowledger", **ext
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach: spark.checkpoint.dir of the session.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Only a local session without that setting gets a temporary folder of its own, removed when Python ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="flowledger-"))
+    folder = tempfile.mkdtemp(prefix="flowledger-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir()

@@ -11,6 +11,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 # Task code is shipped with the job, so executors need no installed copy of this package.
@@ -20,8 +21,28 @@ BATCH_ROWS = 10_000
 
 
 def read_csv(spark: SparkSession, folder: str) -> DataFrame:
-    """All CSV files of a folder (any case of the suffix), header row, every column text."""
-    return spark.read.option("header", True).option("pathGlobFilter", "*.[cC][sS][vV]").csv(folder)
+    """All CSV files of a folder (any case of the suffix), header row, every column text.
+
+    Columns are matched by name: files with the same header line are one scan, scans are united and
+    columns that a file lacks are null. Quotes are doubled inside quotes, as in archives; quoted line breaks
+    belong to the field. A file without a header line adds nothing.
+    """
+    files = spark.read.option("pathGlobFilter", "*.[cC][sS][vV]")
+    lines = files.option("wholetext", False).text(folder).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value")
+    # One row per file, then one per distinct header: as many as there are layouts.
+    first = lines.filter("block = 0").groupBy("path").agg(F.first("value").alias("header"))
+    layouts = first.groupBy("header").agg(F.collect_list("path").alias("paths")).orderBy("header").collect()
+    parts = [
+        spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(row["paths"])
+        for row in layouts
+    ]
+    if not parts:
+        return files.option("header", True).csv(folder)
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -66,6 +87,7 @@ def read_archives(spark: SparkSession, path: str, schema: StructType) -> DataFra
 
 
 def _entry_batches(source: str, entry: str, stream, names: Sequence[str]) -> Iterator[pd.DataFrame]:
+    csv.field_size_limit(sys.maxsize)
     reader = csv.reader(io.TextIOWrapper(stream, encoding="utf-8-sig", newline=""))
     header = {h.strip(): i for i, h in enumerate(next(reader, []))}
     positions = [header.get(n) for n in names]
