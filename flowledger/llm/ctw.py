@@ -24,7 +24,8 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,22 +76,22 @@ def _distinct(texts: list[str], depth: int) -> tuple[np.ndarray, np.ndarray]:
 def _asked(depth: int):
     """Distinct words and byte strings of a block with their counts in its training texts."""
 
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        number = block["block"].iloc[0]
-        held = block["held"].to_numpy(bool)
-        texts = block["text"].to_numpy(object)
+    def run(block: pa.Table) -> pa.Table:
+        number = block.column("block")[0].as_py()
+        texts = {h: block.filter(pc.equal(block.column("held"), h)).column("text").to_pylist() for h in (True, False)}
         words = Counter()
-        for t in texts[~held]:
+        for t in texts[False]:
             words.update(words_of(t))
-        for t in texts[held]:
+        for t in texts[True]:
             words.update(dict.fromkeys(set(words_of(t)).difference(words), 0))
-        codes, counts = _distinct(list(texts[~held]), depth)
-        unseen = np.setdiff1d(_distinct(list(texts[held]), depth)[0], codes)
-        return pd.DataFrame({
-            "block": np.full(len(words) + len(codes) + len(unseen), number),
-            "word": [w.decode("utf-8", "replace") for w in words] + [None] * (len(codes) + len(unseen)),
-            "code": np.concatenate([np.full(len(words), -1), codes, unseen]),
-            "n": np.concatenate([np.array(list(words.values()), np.int64), counts, np.zeros(len(unseen), np.int64)]),
+        codes, counts = _distinct(texts[False], depth)
+        unseen = np.setdiff1d(_distinct(texts[True], depth)[0], codes)
+        n_codes = len(codes) + len(unseen)
+        return pa.table({
+            "block": pa.array(np.full(len(words) + n_codes, number, np.int32)),
+            "word": pa.array([w.decode("utf-8", "replace") for w in words] + [None] * n_codes, pa.string()),
+            "code": pa.array(np.concatenate([np.full(len(words), -1), codes, unseen]), pa.int64()),
+            "n": pa.array(np.concatenate([np.array(list(words.values()), np.int64), counts, np.zeros(len(unseen), np.int64)])),
         })
 
     return run
@@ -172,31 +173,34 @@ SCHEMA = (
 def _score(depth: int, total: int, distinct: int, ends: int):
     scale = math.log10(total + 0.5 * (distinct + 1))
 
-    def run(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        spelled = answers["word"].notna().to_numpy()
-        counts = answers["value"].to_numpy(float)
-        places = {w.encode(): i for i, w in enumerate(answers["word"][spelled].tolist())}
-        count = counts[spelled]
+    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
+        spelled = pc.is_valid(answers.column("word")).to_numpy()
+        values = answers.column("value").to_numpy()
+        count = values[spelled]
+        places = {w.encode(): i for i, w in enumerate(answers.column("word").filter(pa.array(spelled)).to_pylist())}
         value = np.log10(count + 0.5)
-        order = np.argsort(answers["code"].to_numpy()[~spelled], kind="stable")
-        codes, log_p = answers["code"].to_numpy()[~spelled][order], counts[~spelled][order]
-        texts, rows, bits = block["text"].tolist(), [], []
+        codes = answers.column("code").to_numpy()[~spelled]
+        order = np.argsort(codes, kind="stable")
+        codes, log_p = codes[order], values[~spelled][order]
+        texts, n_tokens, n_known, base, logs, sizes = block.column("text").to_pylist(), [], [], [], [], []
         for text in texts:
             at = np.fromiter(map(places.__getitem__, words_of(text)), np.int64)
-            known = int((count[at] > 0).sum()) + (ends > 0)
-            rows.append((len(at) + 1, known, value[at].sum() + math.log10(ends + 0.5) - (len(at) + 1) * scale))
+            n_tokens.append(len(at) + 1)
+            n_known.append(int((count[at] > 0).sum()) + (ends > 0))
+            base.append(value[at].sum() + math.log10(ends + 0.5) - (len(at) + 1) * scale)
         for part in _parts(texts):
             own, stops = byte_strings(part, depth)
-            sums = np.concatenate([[0.0], np.cumsum(log_p[np.searchsorted(codes, own)])]) if len(own) else np.zeros(1)
-            starts = np.concatenate([[0], stops[:-1]])
-            bits += [(sums[b] - sums[a], b - a) for a, b in zip(starts.tolist(), stops.tolist())]
-        n_tokens, n_known, base = zip(*rows)
-        logs, sizes = (np.array(x, float) for x in zip(*bits))
-        per_byte = np.where(sizes > 0, -logs / math.log(2) / np.maximum(sizes, 1), np.nan)
-        return pd.DataFrame({
-            "doc_id": block["doc_id"].to_numpy(), "held_out": block["held"].to_numpy(), "n_tokens": n_tokens, "n_known": n_known,
-            "train_tokens": total, "base_score": base, "score": logs / math.log(10),
-            "bits_per_byte": pd.Series(per_byte).astype(object).where(sizes > 0, None),
+            sums = np.append(0.0, np.cumsum(log_p[np.searchsorted(codes, own)])) if len(own) else np.zeros(1)
+            starts = np.append(0, stops[:-1])
+            logs += (sums[stops] - sums[starts]).tolist()
+            sizes += (stops - starts).tolist()
+        logs, sizes = np.array(logs), np.array(sizes)
+        per_byte = -logs / math.log(2) / np.maximum(sizes, 1)
+        return pa.table({
+            "doc_id": block.column("doc_id"), "held_out": block.column("held"), "n_tokens": pa.array(n_tokens, pa.int64()),
+            "n_known": pa.array(n_known, pa.int64()), "train_tokens": pa.array(np.full(len(texts), total)),
+            "base_score": pa.array(base, pa.float64()), "score": pa.array(logs / math.log(10)),
+            "bits_per_byte": pa.array(per_byte, mask=sizes == 0),
         })
 
     return run
@@ -208,7 +212,7 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", tex
     size, ends = plain.agg(F.sum(F.octet_length("text")), F.count(F.when(~F.col("held"), 1))).first()
     blocks = max(LEAST_BLOCKS, -(-(size or 0) // BLOCK_BYTES))
     dealt = plain.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
-    asked = stage(dealt.groupBy("block").applyInPandas(_asked(depth), "block int, word string, code bigint, n bigint"))
+    asked = stage(dealt.groupBy("block").applyInArrow(_asked(depth), "block int, word string, code bigint, n bigint"))
     asked_words, asked_codes = asked.where("word IS NOT NULL"), asked.where("word IS NULL")
 
     words = stage(asked_words.groupBy("word").agg(F.sum("n").alias("n")))
@@ -222,7 +226,7 @@ def score_texts(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", tex
     answers = stage(answers)
     for old in (asked, words, strings, chances):
         release(old)
-    scored = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
+    scored = dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _score(depth, total + ends, distinct + (ends > 0), ends), SCHEMA
     )
     return scored

@@ -18,7 +18,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,24 +45,22 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
-def features(texts: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """For every kind of feature: bucket ids of all texts in a row, and where each text's ids begin
-    (one more entry closes the last)."""
-    joined = np.frombuffer(b"\n\n".join([b"", *texts, b""]), np.uint8)
-    starts = np.cumsum([2] + [len(t) + 2 for t in texts])
+def features(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For every kind of feature: bucket ids of all texts in a row, where each text's ids begin and end."""
+    # The gaps are as long as a gram reaches, so no gram of one text sees another.
+    gap = b"\n" * (max(GRAMS) - 1)
+    joined = np.frombuffer(gap.join([b"", *texts, b""]), np.uint8)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    starts = len(gap) + np.cumsum(sizes + len(gap)) - sizes - len(gap)
     codes = joined.astype(np.uint64) + np.uint64(1)
 
-    # Character n-grams belong to the text they begin in; the separators make the edges of a text visible.
     grams, hashed = [], codes
     for n in range(2, max(GRAMS) + 1):
         hashed = hashed[: len(codes) - n + 1] * np.uint64(0x100000001B3) + codes[n - 1 :]
         if n in GRAMS:
             grams.append(_bucket(hashed, n)[: len(codes) - max(GRAMS) + 1])
-    n_grams = len(grams[0])
     chars = np.stack(grams, axis=1).ravel()
-    edges = [np.minimum(starts - 1, n_grams) * len(GRAMS)]
-    if texts:
-        edges[0][-1] = max(edges[0][-2], min(starts[-1] - 2, n_grams) * len(GRAMS))
+    begins, ends = (starts - (sizes > 0)) * len(GRAMS), (starts + sizes) * len(GRAMS)
 
     white = (joined == 32) | ((joined >= 9) & (joined <= 13))
     begin = np.flatnonzero(~white & np.append(True, white[:-1]))
@@ -72,7 +69,7 @@ def features(texts: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
     sums = np.append(np.uint64(0), np.cumsum(codes * up[: len(codes)]))
     words = (sums[end] - sums[begin]) * down[begin]
     owner = np.searchsorted(starts, begin, side="right") - 1
-    first = np.searchsorted(owner, np.arange(len(texts) + 1))
+    first = np.searchsorted(begin, np.append(starts, len(joined)))
     previous = np.append(np.uint64(0), words[:-1])
     fresh = np.append(True, owner[1:] != owner[:-1]) if len(words) else np.zeros(0, bool)
     previous = np.where(fresh, np.uint64(0), previous)
@@ -80,21 +77,20 @@ def features(texts: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]]:
     before = np.append(np.uint64(0), previous[:-1])
     before = np.where(fresh, np.uint64(0), before)
     pattern = (words == previous).astype(np.uint64) + np.uint64(2) * (words == before) + np.uint64(4) * (previous == before)
-    return (
-        [chars, BUCKETS + pairs, 2 * BUCKETS + _bucket(pattern, 13)],
-        [edges[0], first * 2, first],
-    )
+    return [
+        (chars, begins, ends),
+        (BUCKETS + pairs, first[:-1] * 2, first[1:] * 2),
+        (2 * BUCKETS + _bucket(pattern, 13), first[:-1], first[1:]),
+    ]
 
 
-def _means(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
-    sizes = np.diff(edges)
+def _means(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     sums = np.append(0.0, np.cumsum(values, dtype=np.float64))
-    return np.where(sizes > 0, (sums[edges[1:]] - sums[edges[:-1]]) / np.maximum(sizes, 1), 0.0)
+    return np.where(ends > begins, (sums[ends] - sums[begins]) / np.maximum(ends - begins, 1), 0.0)
 
 
 def logits(texts: list[bytes], table: np.ndarray, bias: float) -> np.ndarray:
-    kinds, edges = features(texts)
-    return bias + sum(_means(table[k], e) for k, e in zip(kinds, edges)) / KINDS
+    return bias + sum(_means(table[ids], begins, ends) for ids, begins, ends in features(texts)) / KINDS
 
 
 def _blocks(texts: list[bytes]) -> Iterator[list[bytes]]:
@@ -118,8 +114,7 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, weights = [], []
         for text in _encode(batch.column(0).to_pylist()):
-            (kinds, edges), total = features([text]), {}
-            found = [(k[e[0] : e[1]], 1 / KINDS / (e[1] - e[0])) for k, e in zip(kinds, edges) if e[1] > e[0]]
+            found = [(k[a[0] : b[0]], 1 / KINDS / (b[0] - a[0])) for k, a, b in features([text]) if b[0] > a[0]]
             flat = np.concatenate([k for k, _ in found]) if found else np.zeros(0, np.int32)
             each = np.concatenate([np.full(len(k), w) for k, w in found]) if found else np.zeros(0)
             unique, at = np.unique(flat, return_inverse=True)
@@ -200,14 +195,15 @@ def score_quality(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame
     """doc_id, score of every row; the score depends on the text alone."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bias = shared.value
         for batch in batches:
-            z = [logits(block, table, bias) for block in _blocks(_encode(batch["text"].tolist()))]
+            z = [logits(block, table, bias) for block in _blocks(_encode(batch.column(1).to_pylist()))]
             z = np.concatenate(z) if z else np.zeros(0)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "score": 1 / (1 + np.exp(-np.clip(z, -40, 40)))})
+            score = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["doc_id", "score"])
 
-    return plain_text(docs).mapInPandas(run, "doc_id bigint, score double")
+    return plain_text(docs).mapInArrow(run, "doc_id bigint, score double")
 
 
 def keep_quality(docs: DataFrame, model: tuple[np.ndarray, float], least: float = 0.7, text_col: str = "text") -> DataFrame:
