@@ -13,8 +13,9 @@ from ..operators.clean import (
     rate_columns, rename_with_replace, select_entities, time_column, with_min_history,
 )
 from ..operators.decline import fit_series, stack_measures
-from ..operators.forecast import as_history, combine, forecast_rows, forecast_summary
+from ..operators.forecast import PER_DAY, PER_MONTH, UNIT, as_history, combine, forecast_rows, forecast_summary
 from ..schemas import PRODUCTION_COLUMNS
+from ..sources.staging import stage
 from ..sources.tables import measure_views, table_exists, write_table
 from .medallion import build_calendar_and_normalized
 
@@ -42,8 +43,8 @@ def fit_table(history: DataFrame, columns: dict[str, str], s: ForecastSettings)
     """Fits of every (entity, measure); DataUnit tells whether values are daily rates."""
     fits = fit_series(stack_measures(history, columns), s.curve_type, s.min_r_squared)
     rates = [m for m, c in columns.items() if c != m]
-    unit = F.when(F.col("ProductionType").isin(rates), "per day").otherwise("per month") if rates else F.lit("per month")
-    return fits.withColumn("DataUnit", unit)
+    unit = F.when(F.col("ProductionType").isin(rates), PER_DAY).otherwise(PER_MONTH) if rates else F.lit(PER_MONTH)
+    return fits.withColumn(UNIT, unit)
 
 
 def forecast_tables(spark: SparkSession, namespace: str, settings: ForecastSettings | None = None,
@@ -66,7 +67,9 @@ def forecast_tables(spark: SparkSession, namespace: str, settings: ForecastSetti
             input_table = f"{namespace}.{dataset}_calendar"
             if not table_exists(spark, input_table):
                 build_calendar_and_normalized(spark, namespace, dataset)
-    history, columns = forecast_input(spark.table(input_table), s)
+    selected, columns = forecast_input(spark.table(input_table), s)
+    # Fits, rows and the combined table all read the selection.
+    history = stage(selected)
 
     def store(df: DataFrame, name: str) -> DataFrame:
         return write_table(df, f"{namespace}.{name}", partition_by="ProductionType")
@@ -75,7 +78,7 @@ def forecast_tables(spark: SparkSession, namespace: str, settings: ForecastSetti
     as_of = s.as_of or datetime.date.today().isoformat()
     summary = store(forecast_summary(fits, as_of, s.horizon_months), "forecast_summary")
     rows = store(forecast_rows(fits, history, s.horizon_months), "forecasted_production")
-    combined = store(combine(history, rows, s.measures), "historical_forecast_combined")
+    combined = store(combine(history, rows, s.measures, fitted=columns), "historical_forecast_combined")
     tables = {"forecast_summary": summary, "forecasted_production": rows,
               "historical_forecast_combined": combined}
     for kind, table in tables.items():

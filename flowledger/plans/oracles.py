@@ -310,7 +310,7 @@ CTES |= {
   GROUP BY WellID, ProductionType, CurveType""",
     "first_rows": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY WellID ORDER BY ProductionMonth) AS rank
   FROM trended) WHERE rank = 1""",
-    "forecasts": """SELECT a.ProductionType, a.i + 1 AS Step, a.ForecastDate, a.WellID, a.ProductionMonth,
+    "forecasts": """SELECT a.ProductionType, a.i + 1 AS Step, a.ForecastDate, a.WellID, a.ProductionMonth, a.day AS DaysFromFirst,
   CASE WHEN ProductionType = 'OilProduction' THEN Rate ELSE 0 END AS OilProduction,
   CASE WHEN ProductionType = 'GasProduction' THEN Rate ELSE 0 END AS GasProduction,
   CASE WHEN ProductionType = 'CondensateProduction' THEN Rate ELSE 0 END AS CondensateProduction,

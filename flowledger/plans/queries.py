@@ -438,7 +438,7 @@ def forecast_summary(spark, sf):
     return _summary_rounded(_summary(spark, sf))
 
 
-@register(_SUMMARY_SQL, points=CTES["normalized_points"])
+@register(_SUMMARY_SQL.replace("rnd(ForecastCumulative12Month,", "rnd(30.44e0 * ForecastCumulative12Month,"), points=CTES["normalized_points"])
 def normalized_forecast_summary(spark, sf):
     settings = ForecastSettings(horizon_months=MONTHS)
     history, columns = forecast_input(stage(_normalized(spark, sf)), settings)
@@ -470,7 +470,7 @@ _HISTORY_SQL = " UNION ALL ".join(
   rnd(WaterProduction, 4) AS WaterProduction, DaysFromFirst, 'Historical' AS DataType, CAST(NULL AS VARCHAR) AS ForecastMethod
   FROM history
   UNION ALL SELECT ProductionType, WellID, ProductionMonth, {rounded(PRODUCTION, 2)}, OperatorName, Field, Hours,
-  0e0, 0, 'Forecast', ForecastMethod FROM forecasts""", history=_HISTORY_SQL)
+  0e0, DaysFromFirst, 'Forecast', ForecastMethod FROM forecasts""", history=_HISTORY_SQL)
 def combined(spark, sf):
     history = stage(X.decline(spark, sf))
     return FC.combine(history, _forecast_rows(history)).select(
@@ -479,6 +479,27 @@ def combined(spark, sf):
         "DataType", "ForecastMethod")
 
 
+_NORMAL_HISTORY = " UNION ALL ".join(
+    f"SELECT '{m}' AS ProductionType, * FROM normalized" for m in PRODUCTION)
+
+
+@register(f"""SELECT ProductionType, WellID, ProductionMonth, {rounded(PRODUCTION, 2)}, Hours, DaysFromFirst, DataType, DataUnit FROM (
+  SELECT ProductionType, WellID, PeriodStartDate AS ProductionMonth, {', '.join(f'{m} / (730 / 24.0e0) AS {m}' for m in PRODUCTION)},
+  730e0 AS Hours, CAST(DaysFromFirstProducing AS INTEGER) AS DaysFromFirst, 'Historical' AS DataType, 'per day' AS DataUnit
+  FROM history WHERE WellID IN (SELECT WellID FROM normalized GROUP BY WellID HAVING count(*) >= 6)
+  UNION ALL SELECT ProductionType, WellID, ProductionMonth, {', '.join(
+      f"CASE WHEN ProductionType = '{m}' THEN Rate ELSE 0 END" for m in PRODUCTION)}, 720e0, day, 'Forecast', 'per day' FROM ahead)""",
+          points=CTES["normalized_points"], history=_NORMAL_HISTORY)
+def normalized_combined(spark, sf):
+    settings = ForecastSettings(horizon_months=MONTHS)
+    history, columns = forecast_input(stage(_normalized(spark, sf)), settings)
+    history = stage(history)
+    rows = FC.forecast_rows(fit_table(history, columns, settings), history, MONTHS)
+    return FC.combine(history, rows, fitted=columns).select(
+        "ProductionType", "WellID", F.col("ProductionMonth").cast("date").alias("ProductionMonth"), *r(PRODUCTION, 2),
+        "Hours", "DaysFromFirst", "DataType", "DataUnit")
+
+
 @register("""SELECT count(*) AS wells, rnd(avg(RSquared), 5) AS avg_r2, rnd(avg(AIC), 2) AS avg_aic,
   count(CASE WHEN CurveType = 'exponential' THEN 1 END) AS exponential_wells,
   count(CASE WHEN CurveType = 'hyperbolic' THEN 1 END) AS hyperbolic_wells,

@@ -60,7 +60,7 @@ def test_summary(fits):
 
 def test_rows_in_input_layout(fits, history):
     rows = forecast.forecast_rows(fits, history, 6)
-    assert [f.name for f in FORECAST_ROWS] == rows.columns[3:]
+    assert rows.columns == ["ProductionType", "Step", "ForecastDate", "DaysFromFirst", *[f.name for f in FORECAST_ROWS]]
     gas = rows.filter("ProductionType = 'GasProduction'").collect()
     assert len(gas) == 12
     for r in gas:

@@ -157,6 +157,15 @@ def test_csv_to_forecast_tables(spark, namespace, tmp_path):
     assert out["forecast_summary"].count() == good and out["forecasted_production"].count() == 12 * good
     assert out["historical_forecast_combined"].count() == 12 * good + 3 * normalized.count()
     assert spark.sql("SELECT count(*) FROM gasproduction_forecast_summary").first()[0] == 2
+    for name in ("forecast_summary", "forecasted_production", "historical_forecast_combined"):
+        assert {r.DataUnit for r in out[name].select("DataUnit").distinct().collect()} == {"per day"}
+    gas = out["historical_forecast_combined"].filter("ProductionType = 'GasProduction' AND WellID = 'W1'")
+    last = gas.filter("DataType = 'Historical'").orderBy(F.desc("ProductionMonth")).first()
+    ahead = gas.filter("DataType = 'Forecast'").orderBy("ProductionMonth").first()
+    assert 0.5 < ahead.GasProduction / last.GasProduction < 2 and last.Hours == 730.0
+    assert ahead.DaysFromFirst > last.DaysFromFirst > 0
+    year = out["forecast_summary"].filter("ProductionType = 'GasProduction' AND WellID = 'W1'").first()
+    assert 5 * 30 < year.ForecastCumulative12Month / ahead.GasProduction < 12.1 * 30.5
     rate = out["forecasted_production"].filter("ProductionType = 'GasProduction'").agg(F.min("GasProduction")).first()[0]
     assert rate > 0
 
