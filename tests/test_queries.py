@@ -8,6 +8,7 @@ from parity import connect, difference
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
+from flowledger.plans.queries import ORACLES, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -28,16 +29,17 @@ def skewed(spark, tmp_path_factory):
 
 
 def check(spark, name, folder):
-    got = entry_points.queries()[name](spark, folder).toPandas()
-    want = connect(folder).execute(entry_points.oracle_sql()[name]).df()
+    got = QUERIES[name](spark, folder).toPandas()
+    want = connect(folder).execute(ORACLES[name]).df()
     assert difference(got, want) is None
 
 
 def test_all_queries_have_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
     check(spark, name, SMALL)
 
