@@ -296,8 +296,23 @@ class ByteBpe:
         sizes = self.lengths[ids]
         return np.cumsum(sizes) - sizes
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    @cached_property
+    def spelled(self) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of all tokens in a row, and where each begins."""
+        parts = [self.tokens.get(i, b"") for i in range(len(self.lengths))]
+        return np.frombuffer(b"".join(parts), np.uint8), np.cumsum(self.lengths) - self.lengths
+
+    def decode_many(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of token lists in a row, and where each list's bytes end; ends: where each list of ids ends."""
+        spelled, begin = self.spelled
+        sizes = self.lengths[ids]
+        stops = np.cumsum(sizes)
+        places = np.repeat(begin[ids] - (stops - sizes), sizes)
+        places += np.arange(len(places))
+        return spelled[places], np.append(0, stops)[ends]
+
+    def decode(self, ids) -> bytes:
+        return self.decode_many(np.asarray(ids, np.int64), np.array([len(ids)]))[0].tobytes()
 
 
 @lru_cache(2)
@@ -347,8 +362,11 @@ def bpe_decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 ids = part.column(1)
-                out = [bpe.decode(ids[i].as_py() or []) for i in range(len(ids))]
-                yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array(out, pa.binary())], ["doc_id", "ids", "decoded"])
+                ends = np.cumsum(ids.value_lengths().fill_null(0).to_numpy())
+                text, stops = bpe.decode_many(ids.flatten().to_numpy(), ends)
+                offsets = pa.py_buffer(np.append(0, stops).astype(np.int32))
+                decoded = pa.Array.from_buffers(pa.binary(), len(ids), [None, offsets, pa.py_buffer(text)])
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, decoded], ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids array<int>, decoded binary")
 
