@@ -6,11 +6,12 @@ matrix of normal variates, which is 2-stable: the squared projected distance ove
 chi-square with AXES degrees of freedom. A kd-tree over projections, fitted on at most SAMPLE rows, deals all
 rows to leaves; a leaf is stored as blocks of about BLOCK rows.
 
-A query first searches a block of its own leaf, which bounds its k-th distance d. It then visits only leaves
-whose box is at projected distance D with chi2(D^2 / d^2) <= CONFIDENCE: beyond that, a neighbour at
-distance d or less would have been met already with that probability. In each block the same test ends the search: a local kd-tree
-gives neighbours in order of their cells, they are verified on the original vectors in double precision, d shrinks,
-and the search ends where the test holds. Every neighbour is missed with probability 1 - CONFIDENCE at most.
+Queries visit leaves in order of their box's projected distance D, in three rounds: the nearest leaf, the next few,
+all the rest. With d the distance of the k-th best so far, a leaf is visited only while
+chi2(D^2 / d^2) <= CONFIDENCE: beyond that, a neighbour at distance d or less would have been met already with
+that probability. In a block the same test is applied to every projected neighbour: the FIRST nearest are
+verified on the original vectors in double precision and shrink d, then the others up to where the test
+stops. A neighbour is missed with probability 1 - CONFIDENCE at most.
 
 Vectors that are null, empty, zero, or hold null or non-finite components take no part, as query or as
 candidate; nor do rows with a null id. A table of different lengths is searched by length. Queries with fewer than k other
@@ -31,8 +32,8 @@ from pyspark.sql import functions as F
 from .common import batches_of, release, stage
 from .vectors import clean_vectors, matrix
 
-AXES, SAMPLE, LEAVES, BLOCK, CHUNK, CELL = 8, 16_384, 4096, 512, 64, 32
-CONFIDENCE = 0.97
+AXES, SAMPLE, LEAVES, BLOCK, CHUNK, FIRST = 8, 16_384, 4096, 1024, 128, 64
+CONFIDENCE = 0.95
 
 
 def chi2(x: np.ndarray) -> np.ndarray:
@@ -123,45 +124,37 @@ def box_distances(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.n
 
 def search_block(
     ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, bound: np.ndarray, k: int, projection: Projection
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, id, score) of the k best of this block per query that beat its bound, and new bounds.
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, id, score) of the k best of this block per query that reach its bound.
 
     bound: the k-th best score so far, -inf if there is none.
     """
     points, places = projection.rows(x), projection.queries(q)
-    tree = KdTree(points, CELL)
-    low = np.array([points[m].min(axis=0) for m in tree.members])
-    high = np.array([points[m].max(axis=0) for m in tree.members])
-    far = box_distances(places, low, high)
-    order = np.argsort(far, axis=1, kind="stable")
+    far = (points**2).sum(axis=1) + (places**2).sum(axis=1)[:, None] - 2 * places @ points.T
     base = projection.largest**2 + np.einsum("ij,ij->i", q, q)
-    best = np.full((len(q), k), -np.inf)
-    best_ids = np.full((len(q), k), -1, np.int64)
-    kth, active, ratio = bound.copy(), np.arange(len(q)), _stop_ratio()
-    for step in range(len(tree.members)):
-        cell = order[active, step]
-        # The test: the projected distance of all that is left, against the k-th distance known.
-        reach = ratio * np.maximum(base[active] - 2 * kth[active], 0)
-        going = (far[active, cell] <= reach) | (kth[active] == -np.inf)
-        active, cell = active[going], cell[going]
-        if not len(active):
-            break
-        for c in np.unique(cell):
-            mine, rows = active[cell == c], tree.members[c]
-            scores = q[mine] @ x[rows].T
-            scores[query_ids[mine][:, None] == ids[rows][None, :]] = -np.inf
-            scores[scores < kth[mine][:, None]] = -np.inf
-            both = np.concatenate([best[mine], scores], axis=1)
-            both_ids = np.concatenate([best_ids[mine], np.broadcast_to(ids[rows], scores.shape)], axis=1)
-            top = np.lexsort((both_ids, -both), axis=1)[:, :k]
-            best[mine] = np.take_along_axis(both, top, 1)
-            best_ids[mine] = np.take_along_axis(both_ids, top, 1)
-            kth[mine] = np.maximum(kth[mine], best[mine, -1])
-    row, place = np.nonzero(best > -np.inf)
+    own = query_ids[:, None] == ids[None, :]
+    # The nearest in projection first; if they fill the k, the k-th is a better bound.
+    kth, first = bound.copy(), min(FIRST, len(ids))
+    near = np.argpartition(far, first - 1, axis=1)[:, :first]
+    scores = np.einsum("qnd,qd->qn", x[near], q)
+    scores[np.take_along_axis(own, near, 1)] = -np.inf
+    if first >= k:
+        kth = np.maximum(kth, -np.partition(-scores, k - 1, axis=1)[:, k - 1])
+    # The test: projected distance of each of the others, against the k-th distance known.
+    reach = np.where(kth == -np.inf, np.inf, _stop_ratio() * np.maximum(base - 2 * kth, 0))
+    verified = far <= reach[:, None]
+    np.put_along_axis(verified, near, True, 1)
+    verified &= ~own
+    some = np.flatnonzero(verified.any(axis=0))
+    scores = np.where(verified[:, some], q @ x[some].T, -np.inf)
+    scores[scores < kth[:, None] - 1e-9 * (1 + np.abs(kth[:, None]))] = -np.inf
+    if len(some) > 2 * k:
+        least = -np.partition(-scores, k, axis=1)[:, k]
+        scores[scores < least[:, None]] = -np.inf
+    row, place = np.nonzero(scores > -np.inf)
     # Scores once more, each by itself, so that they do not depend on the block.
-    at = np.argsort(ids, kind="stable")
-    found = at[np.searchsorted(ids[at], best_ids[row, place])]
-    return row, best_ids[row, place], np.einsum("ij,ij->i", q[row], x[found]), kth
+    found = some[place]
+    return row, ids[found], np.einsum("ij,ij->i", q[row], x[found])
 
 
 ITEMS = "array<struct<id:bigint,vector:array<double>>>"
@@ -180,7 +173,7 @@ def _search(projection: Projection, k: int):
                 ids, x = _unpack(batch.column(0)[r].values)
                 asked = batch.column(1)[r].values
                 query_ids, q = _unpack(asked)
-                row, found, score, _ = search_block(ids, x, query_ids, q, asked.field("kth").to_numpy(), k, projection)
+                row, found, score = search_block(ids, x, query_ids, q, asked.field("kth").to_numpy(), k, projection)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(query_ids[row]), pa.array(found), pa.array(score)], ["query_id", "vec_id", "score"]
                 )
@@ -233,55 +226,56 @@ def _nearest(vectors: DataFrame, size: int, is_query: Column, k: int, id_col: st
 
     queries = placed.select(F.col("id").alias(id_col), "id", "vector", "query_leaf").where(is_query).drop(id_col)
     asked = queries.groupBy("query_leaf").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"))
-    queries = queries.join(asked, "query_leaf").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")))
-    with_bound = F.struct("id", "vector", F.lit(float("-inf")).alias("kth"))
-    first = queries.groupBy("query_leaf", "chunk").agg(F.collect_list(with_bound).alias("queries"))
-    homes = blocks.where("block = 0").select(F.col("leaf").alias("query_leaf"), "items")
-    with batches_of(spark, 32):
-        found = stage(
-            first.join(homes, "query_leaf").select("items", "queries").mapInArrow(
-                _search(projection, k), "query_id bigint, vec_id bigint, score double")
-        )
-    # The k-th best of one block bounds the k-th best of all.
-    bounds = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("low"))
-    bounds = bounds.select(F.col("query_id").alias("id"), F.when(F.col("n") >= k, F.col("low")).alias("kth"))
-    bounded = queries.join(bounds, "id", "left").select(
-        "id", "vector", F.coalesce("kth", F.lit(float("-inf"))).alias("kth"), "query_leaf", "chunk"
-    )
-    chunks = bounded.groupBy("query_leaf", "chunk").agg(F.collect_list(F.struct("id", "vector", "kth")).alias("queries"))
+    queries = stage(queries.join(asked, "query_leaf").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks"))))
     ratio = _stop_ratio()
 
-    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Leaves that the test does not rule out, with the queries that visit each."""
-        for batch in batches:
-            for r in range(batch.num_rows):
-                asked = batch.column(0)[r].values
-                _, q = _unpack(asked)
-                kth = asked.field("kth").to_numpy()
-                base = projection.largest**2 + np.einsum("ij,ij->i", q, q)
-                reach = np.where(kth == -np.inf, np.inf, ratio * np.maximum(base - 2 * kth, 0))
-                goes = box_distances(projection.queries(q), tree.low, tree.high) <= reach[:, None]
-                for leaf in np.flatnonzero(goes.any(axis=0)).tolist():
-                    some = asked.take(pa.array(np.flatnonzero(goes[:, leaf])))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([leaf], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some)],
-                        ["leaf", "queries"],
-                    )
-
+    def visit(start: int, stop: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Leaves start to stop in each query's order that the test does not rule out, with their queries."""
+            for batch in batches:
+                for r in range(batch.num_rows):
+                    asked = batch.column(0)[r].values
+                    _, q = _unpack(asked)
+                    kth = asked.field("kth").to_numpy()
+                    far = box_distances(projection.queries(q), tree.low, tree.high)
+                    rank = np.argsort(np.argsort(far, axis=1, kind="stable"), axis=1)
+                    base = projection.largest**2 + np.einsum("ij,ij->i", q, q)
+                    reach = np.where(kth == -np.inf, np.inf, ratio * np.maximum(base - 2 * kth, 0))
+                    goes = (far <= reach[:, None]) & (rank >= start) & (rank < stop)
+                    for leaf in np.flatnonzero(goes.any(axis=0)).tolist():
+                        some = asked.take(pa.array(np.flatnonzero(goes[:, leaf])))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([leaf], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some)],
+                            ["leaf", "queries"],
+                        )
+
+        return run
+
+    n_leaves = len(tree.members)
+    second = min(n_leaves, 2 + math.isqrt(n_leaves))
     asked_type = "array<struct<id:bigint,vector:array<double>,kth:double>>"
-    with batches_of(spark, 32):
-        visits = stage(chunks.select("queries").mapInArrow(visit, f"leaf int, queries {asked_type}"))
-        met = stage(
-            visits.join(blocks, "leaf").select("items", "queries").mapInArrow(
-                _search(projection, k), "query_id bigint, vec_id bigint, score double")
-        )
-    # The home block is met again, and an id that several rows share counts once, with its best score.
-    best = found.union(met).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    top = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    for old in (placed, blocks, visits):
+    best, bounds = None, queries.select("id", F.lit(float("-inf")).alias("kth"))
+    for start, stop in ((0, 1), (1, second), (second, n_leaves)):
+        if start >= stop:
+            continue
+        bounded = queries.join(bounds, "id", "left").withColumn("kth", F.coalesce("kth", F.lit(float("-inf"))))
+        chunks = bounded.groupBy("query_leaf", "chunk").agg(F.collect_list(F.struct("id", "vector", "kth")).alias("queries"))
+        with batches_of(spark, 16):
+            visits = stage(chunks.select("queries").mapInArrow(visit(start, stop), f"leaf int, queries {asked_type}"))
+            met = visits.join(blocks, "leaf").select("items", "queries").mapInArrow(
+                _search(projection, k), "query_id bigint, vec_id bigint, score double")
+            # An id that several rows share counts once, with its best score.
+            every = met if best is None else met.union(best.select("query_id", "vec_id", "score"))
+            one_each = every.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+            top = stage(one_each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k))
+        for old in (visits, *([best] if best is not None else [])):
+            release(old)
+        best = top
+        bounds = best.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("kth"))
+    for old in (placed, blocks, queries):
         release(old)
-    return top.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def op4_query(table: DataFrame) -> DataFrame:
