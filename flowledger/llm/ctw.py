@@ -40,16 +40,21 @@ def held_out(doc_id: Column) -> Column:
 
 def byte_strings(texts: list[str], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Code of every byte with its context (previous bytes, zeros before the text), and where each text's end."""
+    width = 4 if depth < 4 else 8
     raw = [t.encode("utf-8", "replace").translate(LOWER) for t in texts]
-    joined = np.frombuffer(b"".join(b"\0" * depth + r for r in raw), np.uint8).astype(np.int64)
-    sizes = np.array([len(r) for r in raw])
-    codes = joined.copy()
-    for d in range(1, depth + 1):
-        codes[d:] += joined[:-d] << (8 * d) if d < len(joined) else 0
-    own = np.ones(len(joined), bool)
-    starts = np.cumsum(sizes + depth) - sizes - depth
-    own[(starts[:, None] + np.arange(depth)).ravel()] = False
-    return codes[own], np.cumsum(sizes)
+    joined = bytes(width - 1).join([b"", *raw])
+    sizes = np.array([len(r) for r in raw], np.int64)
+    n = len(joined) - width + 1
+    if n <= 0:
+        return np.zeros(0, f"u{width}"), np.cumsum(sizes)
+    # Overlapping big-endian numbers: the byte itself is lowest, the oldest of its context highest.
+    codes = np.ndarray(n, f">u{width}", joined, strides=(1,)).astype(f"u{width}")
+    if depth + 1 < width:
+        codes &= (1 << 8 * (depth + 1)) - 1
+    own = np.ones(n + width, bool)
+    ends = np.cumsum(sizes + width - 1) - (width - 1)
+    own[(ends[:, None] + np.arange(width - 1)).ravel()] = False
+    return codes[own[:n]], np.cumsum(sizes)
 
 
 def _parts(texts: list[str]) -> Iterator[list[str]]:
@@ -64,13 +69,25 @@ def _parts(texts: list[str]) -> Iterator[list[str]]:
         yield part
 
 
+def _runs(codes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes, ascending, and how often each occurs (or the sums of its counts)."""
+    if not len(codes):
+        return codes, np.zeros(0, np.int64)
+    if counts is None:
+        codes = np.sort(codes)
+    else:
+        order = np.argsort(codes, kind="stable")
+        codes, counts = codes[order], counts[order]
+    first = np.append(0, np.flatnonzero(codes[1:] != codes[:-1]) + 1)
+    return codes[first], np.diff(np.append(first, len(codes))) if counts is None else np.add.reduceat(counts, first)
+
+
 def _distinct(texts: list[str], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for part in _parts(texts):
-        more, n = np.unique(byte_strings(part, depth)[0], return_counts=True)
-        codes, at = np.unique(np.concatenate([codes, more]), return_inverse=True)
-        counts = np.bincount(at, np.concatenate([counts, n]), len(codes)).astype(np.int64)
-    return codes, counts
+    found = [_runs(byte_strings(part, depth)[0]) for part in _parts(texts)]
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    codes, counts = _runs(*(np.concatenate(x) for x in zip(*found)))
+    return codes.astype(np.int64), counts
 
 
 def _asked(depth: int):
@@ -190,7 +207,8 @@ def _score(depth: int, total: int, distinct: int, ends: int):
             base.append(value[at].sum() + math.log10(ends + 0.5) - (len(at) + 1) * scale)
         for part in _parts(texts):
             own, stops = byte_strings(part, depth)
-            sums = np.append(0.0, np.cumsum(log_p[np.searchsorted(codes, own)])) if len(own) else np.zeros(1)
+            places_of = np.searchsorted(codes.astype(own.dtype), own)
+            sums = np.append(0.0, np.cumsum(log_p[places_of])) if len(own) else np.zeros(1)
             starts = np.append(0, stops[:-1])
             logs += (sums[stops] - sums[starts]).tolist()
             sizes += (stops - starts).tolist()
