@@ -9,7 +9,7 @@ however large, is tied to one task.
 
 What a crowded or cut region does not propose is left to an exact way: among the members of such
 regions that are still in different components, classes that share a shingle in the rarest part of
-both their sets (prefix filter) are proposed too. Every proposal is confirmed on the full sets; those
+both their sets (prefix filter) are proposed too, unless bitmaps of the sets prove them too different. Every proposal is confirmed on the full sets; those
 between classes already in one component need no confirmation, so thousands of near copies cost about
 as many confirmations as there are copies.
 
@@ -33,6 +33,8 @@ from .components import components
 
 TREES, ROOT, DEPTH, CROWD = 32, 4, 8, 16
 HASHES = TREES * ROOT
+BITS = 2048
+FILTER_BITS = 1 << 22
 CACHE_WORDS = 500_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -104,21 +106,49 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     return plain_text(docs).mapInArrow(run, "doc_id bigint, n bigint, first bigint, second bigint, signature array<bigint>")
 
 
+def _bitmap(shingles: np.ndarray) -> np.ndarray:
+    """BITS bits with one set for each shingle: two sets differ in at least as many shingles as bits."""
+    bits = np.zeros(BITS, np.uint8)
+    bits[(shingles >> np.uint64(20)).astype(np.int64) % BITS] = 1
+    return np.packbits(bits).view(np.int64)
+
+
+def _filter_of(ids: DataFrame) -> np.ndarray:
+    """FILTER_BITS bits with those of the ids (column rep) set: a fixed size, however many ids there are."""
+    bucket = F.pmod(F.col("rep"), F.lit(FILTER_BITS))
+    words = ids.groupBy(F.shiftright(bucket, 6).alias("at")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bucket.bitwiseAND(F.lit(63)).cast("int"))).alias("word"))
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    for at, word in words.collect():  # at most FILTER_BITS / 64 rows
+        out[at] = word
+    return out
+
+
 def shingle_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """rep, n, shingles of the documents whose id is in ids (rep)."""
+    """rep, n, shingles, bitmap of the documents whose id is in ids (rep).
+
+    Texts are not shuffled: a filter of fixed size goes to the tasks, and what it lets through besides is
+    dropped by a join of the small result.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(_filter_of(ids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler(size)
+        shingles, words = Shingler(size), shared.value
         for batch in batches:
+            rep = batch.column(0).fill_null(0).to_numpy()
+            bucket = rep % FILTER_BITS
+            hit = (words[bucket >> 6] >> (bucket & 63)) & 1 == 1
+            batch = batch.filter(pa.array(hit))
             sets = [shingles(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                ["rep", "n", "shingles"],
+                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                 pa.array([_bitmap(s) for s in sets], pa.list_(pa.int64()))],
+                ["rep", "n", "shingles", "bits"],
             )
 
-    wanted = plain_text(docs).join(ids.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    return wanted.mapInArrow(run, "rep bigint, n bigint, shingles array<bigint>")
+    found = plain_text(docs).mapInArrow(run, "rep bigint, n bigint, shingles array<bigint>, bits array<bigint>")
+    return found.join(ids.select("rep"), "rep", "left_semi")
 
 
 def _similar_sizes(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -226,17 +256,8 @@ def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return joined.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
 
 
-def _linked(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    sets = stage(shingle_sets(docs, ids, size))
-    links = stage(confirm(pairs, sets, percent))
-    release(sets)
-    return links
-
-
-def _rest(docs: DataFrame, crowded: DataFrame, found: DataFrame, size: int, percent: int) -> DataFrame:
+def _rest(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """Pairs of members of crowded regions, in different components, that share one of their rarest shingles."""
-    sets = stage(shingle_sets(docs, crowded, size))
     each = sets.select("rep", "n", F.explode("shingles").alias("h"))
     common = stage(each.groupBy("h").count().where("count > 1"))
     # Shingles of one set only cannot be shared; they come first in the order and shorten the prefix.
@@ -249,12 +270,16 @@ def _rest(docs: DataFrame, crowded: DataFrame, found: DataFrame, size: int, perc
     known = found.select(F.col("id").alias("rep"), "component")
     tokens = stage(rare.join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep")))
     mixed = tokens.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    tokens_mixed = stage(tokens.join(mixed.select("h"), "h"))
-    one = tokens_mixed.select("h", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    two = tokens_mixed.select("h", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    fits = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent) & (F.col("c_a") != F.col("c_b"))
-    pairs = stage(one.join(two, "h").where((F.col("a") > F.col("b")) & fits).select("a", "b").distinct())
-    for old in (sets, common, tokens, tokens_mixed):
+    tokens_mixed = stage(tokens.join(mixed.select("h"), "h").join(sets.select("rep", "bits"), "rep"))
+    one, two = (tokens_mixed.select("h", *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "n", "component", "bits"))) for x in "ab")
+    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    # Similar sets differ in at most this share of both sizes, and bitmaps differ no more than the sets.
+    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    close = apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
+    mixed_pair = (F.col("rep_a") > F.col("rep_b")) & (F.col("component_a") != F.col("component_b"))
+    pairs = one.join(two, "h").where(mixed_pair & fits & close).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+    pairs = stage(pairs.distinct())
+    for old in (common, tokens, tokens_mixed):
         release(old)
     return pairs
 
@@ -279,20 +304,23 @@ def near_duplicates(
     lowest = members.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low != high")
     same_id = members.join(stage(lowest), "doc_id").where("rep != low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
 
+    involved = stage(proposed.select(F.col("a").alias("rep")).union(proposed.select("b")).where("rep IS NOT NULL").distinct())
+    sets = stage(shingle_sets(docs, involved, size))
+
     # First the smallest proposed partner of each class, then whatever is still between components.
-    nearest = pairs.groupBy("a").agg(F.min("b").alias("b"))
-    links = [stage(same_id), _linked(docs, nearest.select("a", "b"), size, percent)]
+    nearest = pairs.groupBy("a").agg(F.min("b").alias("b")).select("a", "b")
+    links = [stage(same_id), stage(confirm(nearest, sets, percent))]
     found = components(links[0].union(links[1]))
     between = stage(_across(pairs, found))
-    links.append(_linked(docs, between, size, percent))
+    links.append(stage(confirm(between, sets, percent)))
     release(found)
     found = components(links[0].union(links[1]).union(links[2]))
-    left = _rest(docs, crowded, found, size, percent)
+    left = _rest(sets.join(crowded, "rep", "left_semi"), found, percent)
     if not left.isEmpty():
-        links.append(_linked(docs, left, size, percent))
+        links.append(stage(confirm(left, sets, percent)))
         release(found)
         found = components(links[0].union(links[1]).union(links[2]).union(links[3]))
-    for old in (proposed, between, left, members, *links):
+    for old in (proposed, involved, sets, between, left, members, *links):
         release(old)
 
     roots = classes.join(found, classes["rep"] == found["id"], "left").select(
