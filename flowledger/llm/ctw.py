@@ -100,7 +100,7 @@ def _asked(depth: int):
         for t in texts[False]:
             words.update(words_of(t))
         for t in texts[True]:
-            words.update(dict.fromkeys(set(words_of(t)).difference(words), 0))
+            words.update({w: 0 for w in words_of(t) if w not in words})
         codes, counts = _distinct(texts[False], depth)
         unseen = np.setdiff1d(_distinct(texts[True], depth)[0], codes)
         n_codes = len(codes) + len(unseen)
