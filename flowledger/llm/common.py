@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..session import shared_folder
 from ..sources.staging import stage
 
-__all__ = ["LOWER", "batches_of", "hash_lanes", "plain_text", "read_table", "release", "shared_folder", "stage", "words_of"]
+__all__ = ["LOWER", "batches_of", "hash_lanes", "plain_text", "read_table", "release", "shared_folder", "shuffles_dropped", "stage", "words_of"]
 
 # A-Z to a-z and nothing else.
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -58,3 +58,15 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(key, before)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """While results are stored: each run's shuffle files go when it ends, not when the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)

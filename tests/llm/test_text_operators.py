@@ -276,6 +276,12 @@ def test_scores(odd_docs, odd_rows, no_docs):
     assert ctw.op7_query(no_docs).count() == 0
 
 
+def test_deep_contexts_beat_single_words(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    sums = ctw.op7_query(docs).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert sums[0] > sums[1]
+
+
 def test_log_gamma(spark):
     xs = [0.5, 1.0, 1.5, 7.5, 100.5, 1e6 + 0.5, 1e12 + 0.5]
     got = spark.createDataFrame([(x,) for x in xs], "x double").select(ctw.log_gamma(F.col("x"))).collect()
