@@ -139,10 +139,8 @@ SCHEMAS = [
 ]
 
 
-def op3_query(conversations: DataFrame) -> DataFrame:
-    """Assistant turns as calls (their text, words and lines as arguments, each after the assistant turn two
-    turns back) and user turns as results of the turn before."""
-    spark = conversations.sparkSession
+def _calls_and_results(conversations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Assistant turns as calls, later user turns as results, and the turns that are neither."""
     turns = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
     name = lambda back: F.concat_ws(":", "conv_id", (F.col("turn") - back).cast("string"))
     words = F.size(F.filter(F.split("text", " "), lambda w: w != ""))
@@ -152,6 +150,15 @@ def op3_query(conversations: DataFrame) -> DataFrame:
         F.when(F.col("turn") >= 2, name(2)).alias("after"),
     )
     results = turns.where("role = 'user' AND turn > 0").select("conv_id", name(1).alias("call_id"), F.col("text").alias("content"))
+    others = turns.where("NOT coalesce(role = 'assistant' OR role = 'user' AND turn > 0, false)")
+    return calls, results, others
+
+
+def op3_query(conversations: DataFrame) -> DataFrame:
+    """Assistant turns as calls (their text, words and lines as arguments, each after the assistant turn two
+    turns back) and user turns as results of the turn before."""
+    spark = conversations.sparkSession
+    calls, results, _ = _calls_and_results(conversations)
     names = ("tool", "field", "type", "required", "minimum", "maximum")
     kinds = ("string", "string", "string", "boolean", "double", "double")
     rows = [F.struct(*(F.lit(v).cast(k).alias(n) for v, k, n in zip(r, kinds, names))) for r in SCHEMAS]
@@ -160,6 +167,45 @@ def op3_query(conversations: DataFrame) -> DataFrame:
     return linked.select("conv_id", "call_id", "turn", "tool", "depth", "n_results", F.array_join("errors", "; ").alias("errors"), "message")
 
 
+def _unlinked(rows: DataFrame, details: list[str], kept: str = "true") -> DataFrame:
+    """One row for each of rows that is not the first by details of its identifier; rows outside kept are dropped."""
+    same = stage(rows.where(kept).groupBy(*ID, *details).agg(F.count(F.lit(1)).alias("n")))
+    first = same.groupBy(*ID).agg(F.min(F.struct(*details)).alias("first")).select(*(F.col(c).alias(f"_{c}") for c in ID), "first")
+    both = same.join(first, [same[c].eqNullSafe(F.col(f"_{c}")) for c in ID])
+    more = (F.col("n") - F.struct(*details).eqNullSafe(F.col("first")).cast("bigint")).cast("int")
+    return both.withColumn("more", more).where("more > 0").select(*ID, *details, F.explode(F.sequence(F.lit(1), "more")).alias("nth")).drop("nth")
+
+
+def op3_turns_query(conversations: DataFrame) -> DataFrame:
+    """op3_query and all that it leaves aside: n_rows of all rows together is the number of input rows.
+
+    kind: "call" (with its first result, if any), "result" (without a call, or not the first of its call) or
+    "message" (system turns, user turns at or before turn 0 or without turn, and any other role). Messages stand
+    at depth 0 before the calls of their turn; a role other than system, user and assistant is an error.
+    """
+    calls, results, others = _calls_and_results(conversations)
+    linked = op3_query(conversations).withColumn("kind", F.when(F.col("tool").isNotNull(), "call").otherwise("result"))
+    linked = linked.withColumn("role", F.when(F.col("kind") == "call", "assistant").otherwise("user")).withColumn(
+        "n_rows", F.lit(1).cast("bigint") + ((F.col("kind") == "call") & (F.col("n_results") > 0)).cast("bigint"))
+
+    def rows(df: DataFrame, kind: str, error: Column, message: Column) -> DataFrame:
+        have = {c: F.lit(None).cast(t).alias(c) for c, t in linked.dtypes if c not in df.columns}
+        have |= {"kind": F.lit(kind).alias("kind"), "n_rows": F.lit(1).cast("bigint").alias("n_rows"), "message": F.to_json(message).alias("message"),
+                 "errors": F.coalesce(error, F.lit("")).alias("errors"), "n_results": F.lit(0).cast("bigint").alias("n_results")}
+        return df.select(*(have.get(c, F.col(c)) for c in linked.columns))
+
+    parsed = F.try_parse_json("arguments").alias("arguments")
+    # Every call without conversation has a row of its own already.
+    again = _unlinked(calls, ["turn", "tool", "arguments", "after"], "conv_id IS NOT NULL").withColumn("role", F.lit("assistant"))
+    again = rows(again, "call", F.lit("repeated call"), F.struct("after", parsed, "call_id", "conv_id", "tool"))
+    more = _unlinked(results, ["content"]).withColumn("role", F.lit("user"))
+    more = rows(more, "result", F.lit("repeated result"), F.struct("call_id", "conv_id", F.col("content").alias("result")))
+    known = F.coalesce(F.col("role").isin("system", "user"), F.lit(False))
+    others = others.withColumn("depth", F.lit(0).cast("bigint"))
+    others = rows(others, "message", F.when(~known, "unknown role"), F.struct(F.col("text").alias("content"), "conv_id", "role", "turn"))
+    return linked.unionByName(again).unionByName(more).unionByName(others)
+
+
 ORACLE = f"""
 WITH turns AS (SELECT conv_id, turn, role, coalesce(text, '') AS text,
     CAST(len(list_filter(string_split(coalesce(text, ''), ' '), lambda x: x <> '')) AS BIGINT) AS words,

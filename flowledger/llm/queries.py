@@ -26,6 +26,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.op3_query(read_table(spark, sf_dir, "conversations"))
 
 
+def op3_chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.op3_turns_query(read_table(spark, sf_dir, "conversations"))
+
+
 def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.op4_query(read_table(spark, sf_dir, "embeddings"))
 
@@ -57,7 +61,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_line_dedup, op2_byte_bpe, op3_chat_format, op4_ann, op5_quality, op6_license_scan, op7_ctw, op8_packing, op9_embedding_dedup,
+        op1_line_dedup, op2_byte_bpe, op3_chat_format, op3_chat_turns, op4_ann, op5_quality, op6_license_scan, op7_ctw, op8_packing, op9_embedding_dedup,
         op10_minhash_dedup,
     )
 }
