@@ -28,7 +28,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     counts = ("__lines", "__removed")
-    cut = line_dedup.remove_repeated_lines(docs, counts=counts).where("__removed = 0 OR text != ''")
+    cut = line_dedup.remove_repeated_lines(docs, counts=counts, whole_runs=True).where("__removed = 0 OR text != ''")
     length = F.length("text").cast(docs.schema["n_chars"].dataType)
     return cut.withColumn("n_chars", F.when(F.col("__removed") > 0, length).otherwise(F.col("n_chars"))).drop(*counts)
 

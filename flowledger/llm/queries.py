@@ -18,6 +18,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.op1_query(read_table(spark, sf_dir, "documents"))
 
 
+def op1_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.op1_query(read_table(spark, sf_dir, "documents"), whole_runs=True)
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.op2_query(read_table(spark, sf_dir, "documents"), BYTE_RANKS)
 
@@ -61,7 +65,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_line_dedup, op2_byte_bpe, op3_chat_format, op3_chat_turns, op4_ann, op5_quality, op6_license_scan, op7_ctw, op8_packing, op9_embedding_dedup,
+        op1_line_dedup, op1_line_runs, op2_byte_bpe, op3_chat_format, op3_chat_turns, op4_ann, op5_quality, op6_license_scan, op7_ctw, op8_packing, op9_embedding_dedup,
         op10_minhash_dedup,
     )
 }
