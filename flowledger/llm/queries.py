@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, chat, ctw, embed_dedup, licenses, line_dedup, minhash, packing, quality
+from . import ann, bpe, chat, ctw, decontaminate, embed_dedup, licenses, line_dedup, minhash, packing, quality, resample, spelling
 from .common import read_table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -62,11 +62,26 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.op10_query(read_table(spark, sf_dir, "documents"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.op11_query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.op12_query(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.op13_query(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_line_dedup, op1_line_runs, op2_byte_bpe, op3_chat_format, op3_chat_turns, op4_ann, op5_quality, op6_license_scan, op7_ctw, op8_packing, op9_embedding_dedup,
-        op10_minhash_dedup,
+        op10_minhash_dedup, op11_decontamination, op12_importance_resampling, op13_spelling_variants,
     )
 }
-ORACLES: dict[str, str] = {"op1_line_dedup": line_dedup.ORACLE, "op3_chat_format": chat.ORACLE}
+ORACLES: dict[str, str] = {
+    "op1_line_dedup": line_dedup.ORACLE, "op3_chat_format": chat.ORACLE,
+    "op11_decontamination": decontaminate.ORACLE, "op12_importance_resampling": resample.ORACLE, "op13_spelling_variants": spelling.ORACLE,
+}

@@ -19,13 +19,16 @@ COLUMNS = {
     "op8_packing": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
     "op9_embedding_dedup": "vec_id n_links component_id kept",
     "op10_minhash_dedup": "doc_id n_shingles component_id kept",
+    "op11_decontamination": "doc_id n_words n_hit n_items items_sha256 contaminated",
+    "op12_importance_resampling": "doc_id n_features weight score rank",
+    "op13_spelling_variants": "word form root n n_near form_n",
 }
 
 
 def test_all_are_registered():
     names = {*QUERIES, "pipeline"}
     assert names <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
