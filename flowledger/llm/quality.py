@@ -7,8 +7,10 @@ classes is trained by stochastic gradient descent in numpy. The model is linear
 so for scoring each bucket needs one number: the table is FEATURES floats (1.5 MB) whatever the corpus.
 
 Training reads at most `sample` labelled documents, those with the smallest hash of their id, each
-reduced on the executors to its bucket weights (at most FEATURES entries). Everything else covers
-whole texts of all rows. Null text is empty text; texts without features get the score of the bias
+reduced on the executors to its bucket weights (at most FEATURES entries). Of rows that share a labelled id
+the smallest text teaches. Everything else covers whole texts of all rows. Texts are read in blocks of
+BLOCK_BYTES; a longer one is cut at white space and its sums are carried, so memory does not depend on its
+length and the score not on the cut (a word of more than half a block is read in pieces). Null text is empty text; texts without features get the score of the bias
 alone (the prior of the labels). Without any usable label every score is 0.5. Repeated rows and null ids
 are scored one by one; labels that are null or not 0 or 1 teach nothing. Other columns are not read.
 """
@@ -28,7 +30,7 @@ BUCKETS = 1 << 17
 KINDS = 3
 FEATURES = KINDS * BUCKETS
 GRAMS = (3, 4, 5)
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 17
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -45,13 +47,21 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
-def features(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For every kind of feature: bucket ids of all texts in a row, where each text's ids begin and end."""
-    # The gaps are as long as a gram reaches, so no gram of one text sees another.
-    gap = b"\n" * (max(GRAMS) - 1)
-    joined = np.frombuffer(gap.join([b"", *texts, b""]), np.uint8)
+def features(
+    texts: list[bytes], follows: list[bytes] | None = None, opens: bool = True, before: tuple[int, int] = (0, 0)
+) -> tuple[list[tuple[np.ndarray, np.ndarray, np.ndarray]], tuple[int, int]]:
+    """For every kind of feature: bucket ids of all texts in a row, where each text's ids begin and end.
+
+    A part of a long text comes alone, with the bytes that follow it, whether it opens the text, and the
+    hashes of the two words before it; those of its own last two words come back.
+    """
+    reach = max(GRAMS) - 1
+    # Every text has a line break before it and, behind it, as many bytes as a gram reaches, so no gram of
+    # one text sees another.
+    follows = [f.ljust(reach, b"\n")[:reach] for f in follows or [b""] * len(texts)]
+    joined = np.frombuffer(b"".join(x for t, f in zip(texts, follows) for x in (b"\n", t, f)) + b"\n" * reach, np.uint8)
     sizes = np.array([len(t) for t in texts], np.int64)
-    starts = len(gap) + np.cumsum(sizes + len(gap)) - sizes - len(gap)
+    starts = 1 + np.cumsum(sizes + 1 + reach) - sizes - 1 - reach
     codes = joined.astype(np.uint64) + np.uint64(1)
 
     grams, hashed = [], codes
@@ -60,9 +70,10 @@ def features(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarra
         if n in GRAMS:
             grams.append(_bucket(hashed, n)[: len(codes) - max(GRAMS) + 1])
     chars = np.stack(grams, axis=1).ravel()
-    begins, ends = (starts - (sizes > 0)) * len(GRAMS), (starts + sizes) * len(GRAMS)
+    begins, ends = (starts - (opens & (sizes > 0))) * len(GRAMS), (starts + sizes) * len(GRAMS)
 
     white = (joined == 32) | ((joined >= 9) & (joined <= 13))
+    white[(starts + sizes)[:, None] + np.arange(reach)] = True
     begin = np.flatnonzero(~white & np.append(True, white[:-1]))
     end = np.flatnonzero(~white & np.append(white[1:], True)) + 1
     up, down = _powers(len(codes) + 1)
@@ -70,37 +81,69 @@ def features(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarra
     words = (sums[end] - sums[begin]) * down[begin]
     owner = np.searchsorted(starts, begin, side="right") - 1
     first = np.searchsorted(begin, np.append(starts, len(joined)))
-    previous = np.append(np.uint64(0), words[:-1])
     fresh = np.append(True, owner[1:] != owner[:-1]) if len(words) else np.zeros(0, bool)
-    previous = np.where(fresh, np.uint64(0), previous)
+    previous = np.where(fresh, np.uint64(before[0]), np.append(np.uint64(0), words[:-1]))
     pairs = np.stack([_bucket(words, 11), _bucket(words * np.uint64(3) + previous * _PRIME, 12)], axis=1).ravel()
-    before = np.append(np.uint64(0), previous[:-1])
-    before = np.where(fresh, np.uint64(0), before)
-    pattern = (words == previous).astype(np.uint64) + np.uint64(2) * (words == before) + np.uint64(4) * (previous == before)
+    earlier = np.where(fresh, np.uint64(before[1]), np.append(np.uint64(0), previous[:-1]))
+    pattern = (words == previous).astype(np.uint64) + np.uint64(2) * (words == earlier) + np.uint64(4) * (previous == earlier)
+    last = (*(int(w) for w in words[:-3:-1]), *before)[:2]
     return [
         (chars, begins, ends),
         (BUCKETS + pairs, first[:-1] * 2, first[1:] * 2),
         (2 * BUCKETS + _bucket(pattern, 13), first[:-1], first[1:]),
-    ]
+    ], last
+
+
+def _parts(text: bytes) -> Iterator[tuple[bytes, bytes]]:
+    """A long text in parts of at most BLOCK_BYTES, cut at white space (a longer word in its midst), with what follows."""
+    at = 0
+    while at < len(text):
+        end = min(at + BLOCK_BYTES, len(text))
+        if end < len(text):
+            end = max(text.rfind(b" ", at + 1, end), text.rfind(b"\n", at + 1, end), at + BLOCK_BYTES // 2)
+        yield text[at:end], text[end : end + max(GRAMS)]
+        at = end
+
 
+def _read(text: bytes) -> Iterator[list[np.ndarray]]:
+    """Bucket ids of one text by kind, part by part."""
+    before, opens = (0, 0), True
+    for part, follow in _parts(text):
+        found, before = features([part], [follow], opens, before)
+        opens = False
+        yield [ids[a[0] : b[0]] for ids, a, b in found]
 
-def _means(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+
+def _sums(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     sums = np.append(0.0, np.cumsum(values, dtype=np.float64))
-    return np.where(ends > begins, (sums[ends] - sums[begins]) / np.maximum(ends - begins, 1), 0.0)
+    return sums[ends] - sums[begins]
 
 
 def logits(texts: list[bytes], table: np.ndarray, bias: float) -> np.ndarray:
-    return bias + sum(_means(table[ids], begins, ends) for ids, begins, ends in features(texts)) / KINDS
+    """Log-odds of label 1 of each text; working memory is that of a block, however long a text is."""
+    out = []
+    for block in _blocks(texts):
+        if len(block) == 1 and len(block[0]) > BLOCK_BYTES:
+            total, count = np.zeros(KINDS), np.zeros(KINDS)
+            for kinds in _read(block[0]):
+                total += [table[ids].sum(dtype=np.float64) for ids in kinds]
+                count += [len(ids) for ids in kinds]
+            out.append([bias + (total / np.maximum(count, 1)).sum() / KINDS])
+        else:
+            means = (_sums(table[ids], a, b) / np.maximum(b - a, 1) for ids, a, b in features(block)[0])
+            out.append(bias + sum(means) / KINDS)
+    return np.concatenate(out) if out else np.zeros(0)
 
 
 def _blocks(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """Texts in blocks of at most BLOCK_BYTES; a longer text is a block of its own."""
     block, size = [], 0
     for t in texts:
-        block.append(t)
-        size += len(t)
-        if size >= BLOCK_BYTES:
+        if block and size + len(t) > BLOCK_BYTES:
             yield block
             block, size = [], 0
+        block.append(t)
+        size += len(t)
     if block:
         yield block
 
@@ -114,12 +157,15 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, weights = [], []
         for text in _encode(batch.column(0).to_pylist()):
-            found = [(k[a[0] : b[0]], 1 / KINDS / (b[0] - a[0])) for k, a, b in features([text]) if b[0] > a[0]]
-            flat = np.concatenate([k for k, _ in found]) if found else np.zeros(0, np.int32)
-            each = np.concatenate([np.full(len(k), w) for k, w in found]) if found else np.zeros(0)
-            unique, at = np.unique(flat, return_inverse=True)
+            counts, sizes = np.zeros(0, np.int32), np.zeros(KINDS)
+            unique = np.zeros(0, np.int32)
+            for kinds in _read(text):
+                more, at = np.unique(np.concatenate([unique, *kinds]), return_inverse=True)
+                each = np.concatenate([counts, np.ones(sum(map(len, kinds)))])
+                unique, counts = more, np.bincount(at, each, len(more))
+                sizes += [len(k) for k in kinds]
             ids.append(unique.astype(np.int32))
-            weights.append(np.bincount(at, each, len(unique)).astype(np.float32))
+            weights.append((counts / KINDS / sizes[unique // BUCKETS]).astype(np.float32))
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.list_(pa.int32())), pa.array(weights, pa.list_(pa.float32())), batch.column(1)],
             ["ids", "weights", "label"],
@@ -169,8 +215,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 3000) -> tuple
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
         .limit(sample)
     )
-    # At most `sample` rows of two numbers.
-    chosen = plain_text(docs).join(F.broadcast(usable), "doc_id").select("text", "label")
+    # At most `sample` rows of two numbers; one text (the smallest) of rows that share an id.
+    chosen = plain_text(docs).join(F.broadcast(usable), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    chosen = chosen.select("text", "label")
     sparse = chosen.mapInArrow(_sparse, "ids array<int>, weights array<float>, label int")
     # One task learns from the sample; its size does not depend on the corpus.
     learned = sparse.repartition(1).mapInArrow(_learn, "table binary, bias double").first()
@@ -198,8 +245,7 @@ def score_quality(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bias = shared.value
         for batch in batches:
-            z = [logits(block, table, bias) for block in _blocks(_encode(batch.column(1).to_pylist()))]
-            z = np.concatenate(z) if z else np.zeros(0)
+            z = logits(_encode(batch.column(1).to_pylist()), table, bias)
             score = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["doc_id", "score"])
 
@@ -215,9 +261,8 @@ def keep_quality(docs: DataFrame, model: tuple[np.ndarray, float], least: float
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bias = shared.value
         for batch in batches:
-            texts = _encode([t or "" for t in batch.column(at).to_pylist()])
-            z = [logits(block, table, bias) for block in _blocks(texts)]
-            yield batch.filter(pa.array(np.concatenate(z) >= bound if z else np.zeros(0, bool)))
+            z = logits(_encode([t or "" for t in batch.column(at).to_pylist()]), table, bias)
+            yield batch.filter(pa.array(z >= bound))
 
     return docs.mapInArrow(run, docs.schema)
 

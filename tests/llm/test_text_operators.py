@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as public
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -144,12 +145,43 @@ def test_quality_learns_on_rows_not_held_out(spark, odd_docs, no_docs):
     assert set(kept["doc_id"]) == set(got["doc_id"][got["predicted"] == 1])
 
 
-def test_quality_blocks_do_not_matter():
+def test_quality_blocks_do_not_matter(monkeypatch):
     rng = random.Random(3)
     texts = [" ".join(rng.choices(["a", "bb", "ccc", "é"], k=rng.randint(0, 30))).encode() for _ in range(50)] + [b"", b" ", b"x"]
+    texts += ["\n ".join(rng.choices(["a", "a", "bb", "ccc", "é"], k=900)).encode(), b" " * 500 + b"a a a", b"a b a\n" + b" " * 500]
     table = np.random.default_rng(1).normal(size=quality.FEATURES).astype(np.float32)
     whole = quality.logits(texts, table, 0.3)
     assert np.allclose(whole, [quality.logits([t], table, 0.3)[0] for t in texts], atol=1e-9)
+    weights = lambda: [dict(zip(*(c[0].as_py() for c in b.columns[:2]))) for t in texts for b in quality._sparse(
+        [pa.RecordBatch.from_arrays([pa.array([t.decode()]), pa.array([1])], ["text", "label"])])]
+    at_once = weights()
+    for size in (64, 150, 1000):
+        monkeypatch.setattr(quality, "BLOCK_BYTES", size)
+        assert np.allclose(whole, quality.logits(texts, table, 0.3), atol=1e-9)
+        for got, want in zip(weights(), at_once):
+            assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in got)
+
+
+def test_quality_of_a_very_long_text_takes_little_memory():
+    import tracemalloc
+
+    rng = random.Random(5)
+    words = rng.choices(["alpha", "beta", "gamma", "délta"], k=10_000)
+    text = " ".join(words * 340).encode()
+    table = np.ones(quality.FEATURES, np.float32)
+    assert len(text) > 20_000_000
+    tracemalloc.start()
+    for one in (text, b"x" * 3_000_000):
+        assert abs(quality.logits([one], table, 0.3)[0] - 1.3) < 1e-9
+    assert tracemalloc.get_traced_memory()[1] < 100_000_000
+    tracemalloc.stop()
+
+
+def test_quality_learns_from_one_text_of_an_id(spark):
+    docs, labels = labelled(spark, 200)
+    model = quality.fit_quality(docs, labels)
+    again = docs.union(docs.withColumn("text", F.concat("text", F.lit(" zzz")))).union(docs)
+    assert np.array_equal(model[0], quality.fit_quality(again, labels)[0])
 
 
 def test_packing(spark, odd_docs, odd_rows, no_docs):
