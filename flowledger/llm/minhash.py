@@ -9,7 +9,8 @@ however large, is tied to one task.
 
 What a crowded or cut region does not propose is left to an exact way: among the members of such
 regions that are still in different components, classes that share a shingle in the rarest part of
-both their sets (prefix filter) are proposed too, unless bitmaps of the sets prove them too different. Every proposal is confirmed on the full sets; those
+both their sets (prefix filter) are proposed too, unless bitmaps of the sets prove them too different: first
+one pair for each two components that stand side by side, round by round, then all that is still apart. Every proposal is confirmed on the full sets; those
 between classes already in one component need no confirmation, so thousands of near copies cost about
 as many confirmations as there are copies.
 
@@ -36,6 +37,8 @@ HASHES = TREES * ROOT
 BITS = 2048
 FILTER_BITS = 1 << 22
 CACHE_WORDS = 500_000
+# Rows of one shingle, in order of size, that a row is compared with before all are.
+NEAR_ROWS = 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -256,34 +259,128 @@ def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return joined.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b")
 
 
-def _rest(sets: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of crowded regions, in different components, that share one of their rarest shingles."""
+def _rare_tokens(sets: DataFrame, percent: int) -> DataFrame:
+    """(rep, n, h) for the rarest part of each set, in which similar sets share a shingle (prefix filter)."""
     each = sets.select("rep", "n", F.explode("shingles").alias("h"))
     common = stage(each.groupBy("h").count().where("count > 1"))
     # Shingles of one set only cannot be shared; they come first in the order and shorten the prefix.
-    shared = each.join(common, "h")
-    ranked = shared.groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("count", "h"))).alias("by_rarity"))
+    ranked = each.join(common, "h").groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("count", "h"))).alias("by_rarity"))
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("by_rarity"))
-    rare = ranked.withColumn("prefix", prefix.cast("int")).where("prefix > 0").select(
+    rare = stage(ranked.withColumn("prefix", prefix.cast("int")).where("prefix > 0").select(
         "rep", "n", F.explode(F.transform(F.slice("by_rarity", 1, F.col("prefix")), lambda x: x["h"])).alias("h")
-    )
+    ))
+    release(common)
+    return rare
+
+
+def _mixed(tokens: DataFrame, found: DataFrame) -> DataFrame:
+    """Tokens with their component, of the shingles that occur in more than one component."""
     known = found.select(F.col("id").alias("rep"), "component")
-    tokens = stage(rare.join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep")))
+    tokens = tokens.join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     mixed = tokens.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    tokens_mixed = stage(tokens.join(mixed.select("h"), "h").join(sets.select("rep", "bits"), "rep"))
-    one, two = (tokens_mixed.select("h", *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "n", "component", "bits"))) for x in "ab")
+    return tokens.join(mixed.select("h"), "h", "left_semi")
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Different bits of two bitmaps, row by row: a lower bound of how many shingles differ."""
+    return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+
+
+def _beside(percent: int):
+    """Pairs of near rows (h, n, rep, component, bits) in order that no bound rules out, the closest per pair of components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            h, n, rep, component = (batch.column(c).to_numpy() for c in range(4))
+            bits = batch.column(4).flatten().to_numpy().view(np.uint64).reshape(len(h), -1)
+            rows = (h, n, rep, component, bits)
+            if held is not None:
+                rows = tuple(np.concatenate(p) for p in zip(held, rows))
+            h, n, rep, component, bits = rows
+            best: dict[tuple[int, int], tuple[int, int, int]] = {}
+            for step in range(1, NEAR_ROWS + 1):
+                ok = (h[step:] == h[:-step]) & (component[step:] != component[:-step]) & _similar_sizes(n[step:], n[:-step], percent)
+                i = np.flatnonzero(ok)
+                apart = _apart(bits[i], bits[i + step])
+                close = apart * (100 + percent) <= (n[i] + n[i + step]) * (100 - percent)
+                for k, x in zip(i[close].tolist(), apart[close].tolist()):
+                    a, b = int(component[k]), int(component[k + step])
+                    one, two = int(rep[k]), int(rep[k + step])
+                    key, value = (max(a, b), min(a, b)), (x, max(one, two), min(one, two))
+                    best[key] = min(best.get(key, value), value)
+            out = [(*key, *value) for key, value in best.items()]
+            columns = zip(*out) if out else [[]] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["high", "low", "apart", "a", "b"])
+            held = tuple(c[-NEAR_ROWS:] for c in rows)
+
+    return run
+
+
+def _bridges(tokens: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The closest pair (a, b) of each two components that stand near each other in the order of (h, n)."""
+    rows = tokens.join(sets.select("rep", "bits"), "rep").select("h", "n", "rep", "component", "bits")
+    dealt = rows.repartitionByRange("h", "n", "rep").sortWithinPartitions("h", "n", "rep")
+    each = dealt.mapInArrow(_beside(percent), "high bigint, low bigint, apart bigint, a bigint, b bigint")
+    least = each.groupBy("high", "low").agg(F.min(F.struct("apart", "a", "b")).alias("m"))
+    return least.select("m.a", "m.b").distinct()
+
+
+def _all_left(tokens: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of different components that share a rare shingle and that no bound rules out.
+
+    Of each shingle's component with the most rows only the pairs with other components are met, and rows
+    meet within neighbouring bands of size only, so a shingle of a large group is dealt out and costs its
+    few other rows times the group.
+    """
+    per_component = tokens.groupBy("h", "component").count()
+    top = per_component.groupBy("h").agg(F.max(F.struct("count", "component"))["component"].alias("top"))
+    # Similar sizes differ by at most one band; for 100 percent they are equal.
+    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)) + 1e-9) if percent < 100 else F.col("n")
+    rows = tokens.join(top, "h").withColumn("band", band).join(sets.select("rep", "bits"), "rep")
+    rows = stage(rows.select("h", "band", "n", "rep", "component", "bits", (F.col("component") != F.col("top")).alias("other")))
+    one = rows.where("other").select("h", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
+                                     *(F.col(c).alias(f"{c}_a") for c in ("n", "rep", "component", "bits")))
+    two = rows.select("h", "band", "other", *(F.col(c).alias(f"{c}_b") for c in ("n", "rep", "component", "bits")))
     fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
     # Similar sets differ in at most this share of both sizes, and bitmaps differ no more than the sets.
     apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     close = apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
-    mixed_pair = (F.col("rep_a") > F.col("rep_b")) & (F.col("component_a") != F.col("component_b"))
-    pairs = one.join(two, "h").where(mixed_pair & fits & close).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
-    pairs = stage(pairs.distinct())
-    for old in (common, tokens, tokens_mixed):
-        release(old)
+    once = (F.col("component_a") != F.col("component_b")) & (~F.col("other") | (F.col("rep_a") > F.col("rep_b")))
+    met = one.join(two, ["h", "band"]).where(once & fits & close)
+    pairs = stage(met.select(F.greatest("rep_a", "rep_b").alias("a"), F.least("rep_a", "rep_b").alias("b")).distinct())
+    release(rows)
     return pairs
 
 
+def _link_rest(sets: DataFrame, found: DataFrame, links: DataFrame, percent: int) -> tuple[list[DataFrame], DataFrame]:
+    """Links among members of crowded regions that are still in different components, and all components with them.
+
+    First the closest pair of each two components that stand side by side is confirmed and the components
+    are merged, until that links nothing more; only what is still apart then meets in full.
+    """
+    tokens, added = _rare_tokens(sets, percent), []
+    while True:
+        left = stage(_mixed(tokens, found))
+        new = stage(confirm(_bridges(left, sets, percent), sets, percent))
+        if new.isEmpty():
+            break
+        added.append(new)
+        links = links.union(new)
+        release(left)
+        release(found)
+        found = components(links)
+    pairs = _all_left(left, sets, percent)
+    if not pairs.isEmpty():
+        new = stage(confirm(pairs, sets, percent))
+        added.append(new)
+        release(found)
+        found = components(links.union(new))
+    for old in (tokens, left, pairs):
+        release(old)
+    return added, found
+
+
 def near_duplicates(
     docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -315,12 +412,9 @@ def near_duplicates(
     links.append(stage(confirm(between, sets, percent)))
     release(found)
     found = components(links[0].union(links[1]).union(links[2]))
-    left = _rest(sets.join(crowded, "rep", "left_semi"), found, percent)
-    if not left.isEmpty():
-        links.append(stage(confirm(left, sets, percent)))
-        release(found)
-        found = components(links[0].union(links[1]).union(links[2]).union(links[3]))
-    for old in (proposed, involved, sets, between, left, members, *links):
+    dense = stage(sets.join(crowded, "rep", "left_semi"))
+    more, found = _link_rest(dense, found, links[0].union(links[1]).union(links[2]), percent)
+    for old in (proposed, involved, sets, dense, between, members, *links, *more):
         release(old)
 
     roots = classes.join(found, classes["rep"] == found["id"], "left").select(
