@@ -89,12 +89,17 @@ def no_issues(df: DataFrame) -> DataFrame:
 def exact_sum(name: str, scale: int | None) -> Column:
     """Sum of a double column; with a scale, on whole units of 10^-scale.
 
-    Whole-unit sums do not depend on the order of rows, so a re-run task gives the same bits.
+    Whole-unit sums do not depend on the order of rows, so a re-run task gives the same bits. NaN, infinite
+    values and those beyond whole units decide the sum as they do in a plain one.
     """
     if scale is None:
         return F.sum(name)
     unit = 10.0 ** scale
-    return F.sum(F.floor(F.col(name) * F.lit(unit) + F.lit(0.5))) / F.lit(unit)
+    whole = F.col(name) * F.lit(unit) + F.lit(0.5)
+    countable = F.abs(whole) < F.lit(2.0 ** 62)
+    exact = F.sum(F.when(countable, F.floor(whole)).cast("decimal(38,0)")).cast("double") / F.lit(unit)
+    rest = F.sum(F.when(~countable, F.col(name)))
+    return F.when(rest.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + rest)
 
 
 def merge_duplicates(df: DataFrame, keys: Sequence[str], exact_scale: int | None = None) -> DataFrame:

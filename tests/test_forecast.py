@@ -82,7 +82,8 @@ def test_unfitted_history_is_kept(fits, history):
     none = fits.filter("false")
     assert forecast.forecast_summary(none, "x").count() == 0
     rows = forecast.forecast_rows(none, history)
-    assert rows.count() == 0 and [f.name for f in FORECAST_ROWS] == rows.columns[3:]
+    own = ["ProductionType", "Step", "ForecastDate", "DaysFromFirst"]
+    assert rows.count() == 0 and rows.columns == [*own, *[f.name for f in FORECAST_ROWS]]
     assert forecast.combine(history, rows).count() == 3 * 48
 
 

@@ -14,7 +14,8 @@ from flowledger.operators import calendar as C
 from flowledger.operators import changes as H
 from flowledger.operators import clean as P
 from flowledger.operators import profile as R
-from flowledger.operators.spread import PARTS, spread_join
+from flowledger.operators.quality import merge_duplicates
+from flowledger.operators.spread import PARTS, hot_keys, spread_join
 from flowledger.sources.files import read_csv
 
 
@@ -45,25 +46,30 @@ def hot(spark):
     return rows.select(well.alias("WellID"), F.expr("date_add(DATE'2020-01-01', int(id % 700))").alias("ProductionMonth"), "id")
 
 
-@pytest.mark.parametrize("name", ["min_history", "include", "exclude", "days"])
+@pytest.mark.parametrize("name", ["min_history", "include", "exclude", "days", "bare_min_history", "bare_include", "null"])
 def test_hot_key_is_split(spark, name):
     before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
     for k, v in zip(before, ("-1", "64", "false")):
         spark.conf.set(k, v)
     try:
         df = hot(spark)
+        if name.startswith("bare"):
+            df, name = df.select("WellID"), name.removeprefix("bare_")
+        if name == "null":
+            df = df.withColumn("WellID", F.when(F.col("WellID") != "hot", F.col("WellID")))
         some = df.where("WellID != 'w3'").select("WellID")
         out = {
             "min_history": lambda: P.with_min_history(df, 10),
             "include": lambda: P.select_entities(df, include=some),
             "exclude": lambda: P.select_entities(df, exclude=df.where("WellID = 'w3'").select("WellID")),
             "days": lambda: C.add_days_from_first(df),
+            "null": lambda: spread_join(df, some.distinct().withColumn("x", F.lit(1)), "WellID", "left"),
         }[name]()
         parts = Counter()
         for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect():
             parts[r["p"]] += r["count"]
         assert max(parts.values()) <= 0.15 * sum(parts.values())
-        assert sum(parts.values()) in (60_000, df.where("WellID != 'w3'").count())
+        assert sum(parts.values()) == 60_000 - (name in ("include", "exclude")) * df.where("WellID = 'w3'").count()
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
@@ -78,6 +84,35 @@ def test_spread_join_equals_join(spark):
     assert PARTS > 1
 
 
+def test_hot_keys_are_found_by_share(spark):
+    rows = spark.range(100_000, numPartitions=16).select(
+        F.when(F.col("id") % 3 == 0, "third").when(F.col("id") % 25 == 1, "more").when(F.col("id") % 100 == 2, "hundredth")
+        .otherwise(F.col("id").cast("string")).alias("k"))
+    assert {r.k for r in hot_keys(rows, "k").collect()} == {"third", "more"}
+    assert hot_keys(rows.limit(0), "k").count() == 0 and hot_keys(rows.select(F.lit(None).cast("int").alias("k")), "k").count() == 0
+    assert hot_keys(spark.range(1000), "id").count() == 0
+
+
+def test_only_hot_keys_are_copied(spark):
+    rows = hot(spark).select("WellID")
+    per_key = rows.distinct()
+    plan = spread_join(rows, per_key, "WellID")._jdf.queryExecution().executedPlan().toString()
+    assert "approx_top_k" in plan.lower() or "ApproxTopK" in plan
+    joined = spread_join(rows, per_key.withColumn("x", F.lit(1)), "WellID", "full_outer")
+    # Of 32 copies of the hot key all but those its rows meet stay alone; other keys have none.
+    alone = joined.join(rows.groupBy("WellID").count(), "WellID").groupBy("WellID").agg(F.count("*").alias("n"), F.max("count").alias("c"))
+    assert all(r.n == r.c for r in alone.collect())
+
+
+def test_sums_keep_what_is_not_a_number(spark):
+    rows = [("a", 0.1), ("a", 0.2), ("b", float("nan")), ("b", 1.0), ("c", float("inf")), ("c", 2.0), ("d", float("inf")),
+            ("d", float("-inf")), ("e", None), ("f", 1e300), ("f", 1e300), ("g", -0.3), ("g", None), ("h", 4e14), ("h", 4e14)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: r.v for r in merge_duplicates(df, ["k"], 4).collect()}
+    assert (got["a"], got["c"], got["e"], got["f"], got["g"], got["h"]) == (0.3, math.inf, None, 2e300, -0.3, 8e14)
+    assert math.isnan(got["b"]) and math.isnan(got["d"])
+
+
 def kinds(previous, current, keys):
     return Counter(r["Change"] for r in H.track_changes(previous, current, keys).collect())
 
