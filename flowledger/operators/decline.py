@@ -174,21 +174,28 @@ def series_table(points: DataFrame) -> DataFrame:
 
 def fit_series(points: DataFrame, curve: str = "auto", min_r2: float = DEFAULT_MIN_R2) -> DataFrame:
     """Fit, choose and gate; rejected series stay in the table with their reason in `Status`."""
-    return choose_model(solve_series(series_table(points)), curve, min_r2)
+    return choose_model(solve_series(series_table(points), curve), curve, min_r2)
 
 
-def solve_series(table: DataFrame) -> DataFrame:
-    """Run the solver on every series that passed the decline test; adds the struct `fit`."""
+def solve_series(table: DataFrame, curve: str = "auto") -> DataFrame:
+    """Run the solver on every series that passed the decline test; adds the struct `fit`.
+
+    Only the named curve is searched; `auto` searches all.
+    """
+    if curve not in (*CURVES, "auto"):
+        raise ValueError(f"Unknown curve type: {curve}")
     usable = F.col("rejected").isNull()
     offsets = F.transform("series", lambda p: p["t"] - F.col("t_offset"))
     fit = fit_curves(
         F.when(usable, offsets), F.when(usable, F.col("series.q")),
-        F.col("qi_estimate"), F.col("slope"), F.col("intercept"))
+        F.col("qi_estimate"), F.col("slope"), F.col("intercept"), CURVES if curve == "auto" else (curve,))
     return table.withColumn("fit", fit).drop("series")
 
 
 def choose_model(solved: DataFrame, curve: str = "auto", min_r2: float = DEFAULT_MIN_R2) -> DataFrame:
-    """Choose the curve and set CurveType, parameters, RSquared, AIC and Status.
+    """Choose the curve and set CurveType, parameters with standard errors, RSquared, AIC and Status.
+
+    A log-linear fit that no search improved has no standard errors.
 
     A fit is valid if its R2 > 0. `auto` takes an unimproved log-linear exponential of R2 >= 0.4,
     else the lowest AIC; a named curve is that curve or a failure. Then the R2 gate.
@@ -200,10 +207,12 @@ def choose_model(solved: DataFrame, curve: str = "auto", min_r2: float = DEFAULT
     def option(prefix: str, name: str, order: int) -> Column:
         valid = f[f"{prefix}_r2"] > 0
         b = f["hyp_b"] if prefix == "hyp" else F.lit(0.0)
+        b_error = f["hyp_b_error"] if prefix == "hyp" else F.lit(None).cast("double")
         return F.when(valid, F.struct(
             f[f"{prefix}_aic"].alias("aic"), F.lit(order).alias("order"), F.lit(name).alias("curve"),
             f[f"{prefix}_qi"].alias("qi"), f[f"{prefix}_di"].alias("di"), b.alias("b"),
-            f[f"{prefix}_r2"].alias("r2")))
+            f[f"{prefix}_r2"].alias("r2"), f[f"{prefix}_qi_error"].alias("qi_error"),
+            f[f"{prefix}_di_error"].alias("di_error"), b_error.alias("b_error")))
 
     options = {name: option(prefix, name, i)
                for i, (prefix, name) in enumerate(zip(("exp", "hyp", "har"), CURVES))}
@@ -224,5 +233,5 @@ def choose_model(solved: DataFrame, curve: str = "auto", min_r2: float = DEFAULT
         *[c for c in solved.columns if c not in ("fit", "rejected")],
         F.col("best.curve").alias("CurveType"), F.col("best.qi").alias("qi"), F.col("best.di").alias("di"),
         F.col("best.b").alias("b"), F.col("best.r2").alias("RSquared"), F.col("best.aic").alias("AIC"),
-        status.alias("Status"),
+        status.alias("Status"), *[F.col(f"best.{c}").alias(c) for c in ("qi_error", "di_error", "b_error")],
     )

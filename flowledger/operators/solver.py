@@ -63,6 +63,8 @@ POLISH = 1e-4
 CLEARANCE = 1e-3
 # A wider box replaces a narrower one only for a gain above numeric noise.
 MIN_GAIN = 1e-9
+# Least eigenvalue, relative to unit columns, of a normal matrix that can be inverted.
+SINGULAR = 1e-13
 # Floor of the mean squared error, relative to mean(q^2), so a perfect fit has a finite AIC.
 MSE_FLOOR = 1e-12
 BLOCK = 512
@@ -72,7 +74,9 @@ PAD = 32
 FIT_TYPE = (
     "exp_qi double, exp_di double, exp_r2 double, exp_aic double, exp_method string, "
     "hyp_qi double, hyp_di double, hyp_b double, hyp_r2 double, hyp_aic double, "
-    "har_qi double, har_di double, har_r2 double, har_aic double"
+    "har_qi double, har_di double, har_r2 double, har_aic double, "
+    "exp_qi_error double, exp_di_error double, hyp_qi_error double, hyp_di_error double, hyp_b_error double, "
+    "har_qi_error double, har_di_error double"
 )
 
 
@@ -129,6 +133,33 @@ class _Series:
         return r2, self.n * np.log(mse) + 2.0 * PARAMETER_COUNT[curve]
 
 
+    def errors(self, curve, qi, di, b=None):
+        """Standard errors of (qi, di) or (qi, di, b): square roots of the diagonal of the inverse normal
+        matrix times the residual variance. NaN where it is singular or no degree of freedom is left."""
+        f = _shape(curve, self.years, di, b) * self.mask
+        x = di[:, None] * self.years
+        scaled = -qi[:, None] * self.years * f
+        if curve == "exponential":
+            columns = [f, scaled]
+        elif curve == "harmonic":
+            columns = [f, scaled * f]
+        else:
+            b = b[:, None]
+            columns = [f, scaled / (1.0 + b * x), qi[:, None] * f * (np.log1p(b * x) / b - x / (1.0 + b * x)) / b]
+        normal = np.stack([np.stack([_dot(u, v) for v in columns], axis=-1) for u in columns], axis=-1)
+        p = len(columns)
+        length = np.sqrt(np.maximum(normal[:, range(p), range(p)], 0.0))
+        unit = normal / np.maximum(length[:, :, None] * length[:, None, :], 1e-300)
+        known = np.isfinite(unit).all(axis=(1, 2)) & (length > 0).all(axis=1) & (self.n > p)
+        unit[~known] = np.eye(p)
+        known &= np.linalg.eigvalsh(unit)[:, 0] > SINGULAR
+        unit[~known] = np.eye(p)
+        residual = (self.q - qi[:, None] * f) * self.mask
+        variance = _dot(residual, residual) / np.maximum(self.n - p, 1)
+        spread = np.linalg.inv(unit)[:, range(p), range(p)] * variance[:, None] / np.maximum(length**2, 1e-300)
+        return np.where(known[:, None], np.sqrt(np.maximum(spread, 0.0)), np.nan)
+
+
 def _search(curve: str, s: _Series, box: Box) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best (qi, di, b) of the box per series; di is searched on a log scale.
 
@@ -192,12 +223,14 @@ def _fit_curve(curve: str, s: _Series, start: dict[str, np.ndarray] | None) -> d
     """Try the boxes from narrow to wide.
 
     A series stops once an improving fit is good enough, or once its optimum touches no limit of the
-    box: a wider box would only find it again.
+    box: a wider box would only find it again. A fit whose parameters have no finite standard errors
+    (singular normal matrix) is not taken.
     """
     rows = len(s.estimate)
     fit = start or {"qi": np.full(rows, np.nan), "di": np.full(rows, np.nan), "b": np.zeros(rows),
                     "r2": np.full(rows, -np.inf), "aic": np.full(rows, np.inf),
                     "refined": np.zeros(rows, bool)}
+    fit |= {f"{name}_error": np.full(rows, np.nan) for name in ("qi", "di", "b")}
     active = np.arange(rows)
     for box in BOXES[curve]:
         if not len(active):
@@ -205,9 +238,11 @@ def _fit_curve(curve: str, s: _Series, start: dict[str, np.ndarray] | None) -> d
         part = s if len(active) == rows else s.take(active)
         qi, di, b = _search(curve, part, box)
         r2, aic = part.quality(curve, qi, di, b)
-        gain = r2 > fit["r2"][active] + MIN_GAIN
+        errors = part.errors(curve, qi, di, b)
+        gain = (r2 > fit["r2"][active] + MIN_GAIN) & np.isfinite(errors).all(axis=1)
         target = active[gain]
-        for name, values in (("qi", qi), ("di", di), ("b", b), ("r2", r2), ("aic", aic)):
+        named = zip(("qi_error", "di_error", "b_error"), errors.T)
+        for name, values in (("qi", qi), ("di", di), ("b", b), ("r2", r2), ("aic", aic), *named):
             fit[name][target] = values[gain]
         fit["refined"][target] = True
         active = active[~((gain & (r2 > GOOD_ENOUGH[curve])) | part.inside(box, qi, di))]
@@ -225,8 +260,8 @@ def _log_linear(s: _Series, slope: np.ndarray, intercept: np.ndarray) -> dict[st
             "refined": np.zeros(rows, bool)}
 
 
-def fit_block(t: Sequence, q: Sequence, estimate, slope, intercept) -> pd.DataFrame:
-    """Fit all three curves to a block of series given as arrays of day offsets and rates."""
+def fit_block(t: Sequence, q: Sequence, estimate, slope, intercept, curves: Sequence[str] = tuple(BOXES)) -> pd.DataFrame:
+    """Fit the curves to a block of series given as arrays of day offsets and rates; other curves are NaN."""
     lengths = np.array([len(x) for x in t])
     width = -(-int(lengths.max()) // PAD) * PAD
     mask = (np.arange(width)[None, :] < lengths[:, None]).astype(float)
@@ -236,19 +271,23 @@ def fit_block(t: Sequence, q: Sequence, estimate, slope, intercept) -> pd.DataFr
     rates[inside] = np.concatenate([np.asarray(x, float) for x in q])
     s = _Series(years, rates, mask, np.asarray(estimate, float))
 
-    fits = {
-        "exp": _fit_curve("exponential", s, _log_linear(s, np.asarray(slope, float), np.asarray(intercept, float))),
-        "hyp": _fit_curve("hyperbolic", s, None),
-        "har": _fit_curve("harmonic", s, None),
-    }
-    out = {f"{c}_{k}": fits[c][k] for c in fits for k in ("qi", "di", "r2", "aic")}
-    out["hyp_b"] = fits["hyp"]["b"]
-    out["exp_method"] = np.where(fits["exp"]["refined"], "nonlinear", "log-linear")
-    return pd.DataFrame(out)[[part.split()[0] for part in FIT_TYPE.split(", ")]]
+    out = pd.DataFrame(np.nan, index=range(len(lengths)), columns=[part.split()[0] for part in FIT_TYPE.split(", ")])
+    out["exp_method"] = None
+    for curve in curves:
+        line = curve == "exponential"
+        start = _log_linear(s, np.asarray(slope, float), np.asarray(intercept, float)) if line else None
+        fit = _fit_curve(curve, s, start)
+        for name in ("qi", "di", "b", "r2", "aic", "qi_error", "di_error", "b_error"):
+            if f"{curve[:3]}_{name}" in out:
+                out[f"{curve[:3]}_{name}"] = fit[name]
+        if line:
+            out["exp_method"] = np.where(fit["refined"], "nonlinear", "log-linear")
+    return out
 
 
-def fit_curves(t: Column, q: Column, estimate: Column, slope: Column, intercept: Column) -> Column:
-    """Struct of fitted parameters per series; null arrays (rejected series) give nulls.
+def fit_curves(t: Column, q: Column, estimate: Column, slope: Column, intercept: Column,
+               curves: Sequence[str] = tuple(BOXES)) -> Column:
+    """Struct of fitted parameters per series; null arrays (rejected series) and curves not asked for give nulls.
 
     Marked non-deterministic only so that the optimizer never evaluates it twice.
     """
@@ -265,7 +304,7 @@ def fit_curves(t: Column, q: Column, estimate: Column, slope: Column, intercept:
         usable = usable[np.argsort([len(ts[i]) for i in usable], kind="stable")] if len(usable) else usable
         for at in range(0, len(usable), BLOCK):
             rows = usable[at:at + BLOCK]
-            block = fit_block(ts[rows], qs[rows], e[rows], sl[rows], ic[rows])
+            block = fit_block(ts[rows], qs[rows], e[rows], sl[rows], ic[rows], curves)
             for name in names:
                 result.loc[rows, name] = block[name].to_numpy()
         return result

@@ -20,7 +20,7 @@ def hot_keys(rows: DataFrame, key: str, one_in: int = HOT_ONE_IN) -> DataFrame:
     """
     top = F.expr(f"approx_top_k(`{key}`, {2 * one_in}, {TRACKED})")
     found = rows.agg(top.alias("top"), F.count("*").alias("total")).select(F.explode("top").alias("t"), "total")
-    return found.where(F.col("t.count") * one_in > F.col("total")).select(F.col("t.item").alias(key))
+    return found.where((F.col("t.count") * one_in > F.col("total")) & F.col("t.item").isNotNull()).select(F.col("t.item").alias(key))
 
 
 def spread_join(rows: DataFrame, per_key: DataFrame, key: str, how: str = "inner", parts: int = PARTS) -> DataFrame:
@@ -33,7 +33,7 @@ def spread_join(rows: DataFrame, per_key: DataFrame, key: str, how: str = "inner
     """
     # At most 2 * HOT_ONE_IN rows.
     hot = F.broadcast(hot_keys(rows, key).withColumn("_hot", F.lit(True)))
-    place = F.pmod(F.monotonically_increasing_id(), F.lit(parts)).cast("int")
+    place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).cast("int")
     dealt = rows.withColumn("_place", place).join(hot, key, "left")
     is_hot = F.coalesce(F.col("_hot"), F.lit(False))
 

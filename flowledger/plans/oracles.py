@@ -291,6 +291,20 @@ CTES |= {
   SELECT *, in_1 OR (gain1 AND r_1 > good) AS stop1, CASE WHEN gain1 THEN r_1 ELSE r_0 END AS best1 FROM (
   SELECT *, r_1 > r_0 + 1e-9 AS gain1 FROM wide))))""",
     "curves": "SELECT * FROM judged JOIN boxed USING (WellID, ProductionType, curve, box)",
+    # Standard errors: the cofactors of the normal matrix of the curve's derivatives over its determinant.
+    "fit_errors": f"""SELECT WellID, ProductionType, curve,
+  sqrt(var * CASE WHEN curve = 'hyperbolic' THEN (bb * cc - bc * bc) / det ELSE bb / det END) AS qi_error,
+  sqrt(var * CASE WHEN curve = 'hyperbolic' THEN (aa * cc - ac * ac) / det ELSE aa / det END) AS di_error,
+  CASE WHEN curve = 'hyperbolic' THEN sqrt(var * (aa * bb - ab * ab) / det) END AS b_error FROM (
+  SELECT *, CASE WHEN curve = 'hyperbolic'
+    THEN aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac) ELSE aa * bb - ab * ab END AS det,
+    CASE WHEN box > 0 THEN ss / (n - CASE WHEN curve = 'hyperbolic' THEN 3 ELSE 2 END) END AS var FROM (
+  SELECT WellID, ProductionType, curve, box, count(*) AS n, sum((q - qi * f) * (q - qi * f)) AS ss,
+    sum(a * a) AS aa, sum(a * d) AS ab, sum(a * c) AS ac, sum(d * d) AS bb, sum(d * c) AS bc, sum(c * c) AS cc FROM (
+  SELECT *, f AS a, -qi * y * f / CASE curve WHEN 'exponential' THEN 1 WHEN 'harmonic' THEN 1 + di * y ELSE 1 + b * di * y END AS d,
+    CASE WHEN curve = 'hyperbolic' THEN qi * f * (ln(1 + b * di * y) / b - di * y / (1 + b * di * y)) / b ELSE 0 END AS c FROM (
+  SELECT c.*, p.y, p.q, {_SHAPE} AS f FROM (SELECT *, ln(di) AS u FROM (SELECT WellID, ProductionType, curve, box, qi, di, b FROM curves
+    WHERE di > 0)) c JOIN fit_points p USING (WellID, ProductionType))) GROUP BY ALL))""",
     "auto_choice": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY WellID, ProductionType ORDER BY
     CASE WHEN curve = 'exponential' AND box = 0 AND r2 >= 0.4 THEN 0 ELSE 1 END, aic,
     CASE curve WHEN 'exponential' THEN 0 WHEN 'hyperbolic' THEN 1 ELSE 2 END) AS rank FROM curves WHERE r2 > 0) WHERE rank = 1""",

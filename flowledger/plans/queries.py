@@ -385,6 +385,19 @@ def curve_fits(spark, sf):
         near(fit["hyp_b"], 2).alias("hyp_b"))
 
 
+_ERROR_DIGITS = {"exp_qi": 2, "exp_di": 3, "hyp_qi": 2, "hyp_di": 3, "har_qi": 2, "har_di": 3}
+
+
+@register("""SELECT WellID, ProductionType, """ + ", ".join(
+    f"rnd(max(CASE WHEN curve = '{_FIT_COLUMNS[c[:3]]}' THEN {c[4:]}_error END), {d}) AS {c}_error" for c, d in _ERROR_DIGITS.items())
+    + ", rnd(max(log10(greatest(b_error, 1e-12))), 5) AS hyp_b_error_log10 FROM fit_errors GROUP BY ALL")
+def parameter_errors(spark, sf):
+    fit = F.col("fit")
+    return _solved(spark, sf).filter("rejected IS NULL").select(
+        *_KEYS, *[near(fit[f"{c}_error"], d).alias(f"{c}_error") for c, d in _ERROR_DIGITS.items()],
+        near(F.log10(F.greatest(fit["hyp_b_error"], F.lit(1e-12))), 5).alias("hyp_b_error_log10"))
+
+
 @register("""SELECT WellID, ProductionType, CurveType, rnd(qi, 2) AS qi, rnd(di, 3) AS di, rnd(b, 2) AS b,
   rnd(RSquared, 5) AS RSquared, rnd(AIC, 2) AS AIC FROM fits WHERE CurveType IS NOT NULL""")
 def model_choice(spark, sf):

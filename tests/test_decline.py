@@ -155,3 +155,61 @@ def test_one_shuffle_for_the_whole_fit(spark):
     fits = decline.fit_series(decline.stack_measures(spark.createDataFrame(declining()), ["OilProduction", "GasProduction"]))
     plan = fits._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.count("ArrowEvalPython") == 1
+
+
+def dense_errors(curve, t, q, fit):
+    """Standard errors from a numeric Jacobian of the fitted curve."""
+    y, p = t / 365.25, curve[:3]
+    f = {"exponential": lambda v: v[0] * np.exp(-v[1] * y), "harmonic": lambda v: v[0] / (1 + v[1] * y),
+         "hyperbolic": lambda v: v[0] * (1 + v[2] * v[1] * y) ** (-1 / v[2])}[curve]
+    best = np.array([fit[f"{p}_{k}"] for k in ("qi", "di", "b")[: 3 if curve == "hyperbolic" else 2]])
+    steps = best * 1e-5
+    jacobian = np.stack([(f(best + s) - f(best - s)) / (2 * s.sum()) for s in np.diag(steps)], axis=1)
+    variance = ((q - f(best)) ** 2).sum() / (len(q) - len(best))
+    unit = np.sqrt((jacobian**2).sum(0))
+    return np.sqrt(np.diag(np.linalg.inv((jacobian / unit).T @ (jacobian / unit))) * variance) / unit
+
+
+def test_parameter_errors_equal_a_numeric_jacobian():
+    rng = np.random.default_rng(11)
+    checked = 0
+    for seed in range(200):
+        n, di, b = int(rng.integers(12, 90)), rng.uniform(0.1, 2.5), rng.choice([0, 0.2, 0.5, 0.8, 1.0])
+        t, q = series(n, rng.uniform(20, 900), di, b, rng.uniform(0.02, 0.3), seed)
+        fit = fit_one(t, np.maximum(q, 0.01))[1]
+        for curve in solver.BOXES:
+            names = [f"{curve[:3]}_{k}_error" for k in ("qi", "di", "b")[: 3 if curve == "hyperbolic" else 2]]
+            got = fit[names].to_numpy(float)
+            if curve == "exponential" and fit.exp_method == "log-linear":
+                assert np.isnan(got).all()
+                continue
+            assert np.allclose(got, dense_errors(curve, t, np.maximum(q, 0.01), fit), rtol=2e-3)
+            checked += 1
+    assert checked > 500
+
+
+def test_two_hundred_series_reach_the_dense_grid():
+    rng = np.random.default_rng(12)
+    for seed in range(200):
+        t, q = series(int(rng.integers(12, 60)), rng.uniform(20, 900), rng.uniform(0.1, 2.5), 0, rng.uniform(0.02, 0.3), seed)
+        q = np.maximum(q, 0.01)
+        estimate, fit = fit_one(t, q)
+        curve = ("harmonic", "exponential")[seed % 2]
+        assert fit[f"{curve[:3]}_r2"] >= expected_r2(curve, t, q, estimate) - 1e-5
+
+
+def test_singular_fits_are_not_taken():
+    s = solver._Series(np.zeros((2, 32)), np.ones((2, 32)), np.ones((2, 32)), np.ones(2))
+    for curve in solver.BOXES:
+        assert np.isnan(s.errors(curve, np.ones(2), np.ones(2), np.full(2, 0.5))).all()
+    few = solver._Series(np.array([[0.1, 0.2, 0]]), np.array([[3.0, 2, 0]]), np.array([[1.0, 1, 0]]), np.ones(1))
+    assert np.isnan(few.errors("exponential", np.ones(1), np.ones(1))).all()
+
+
+def test_only_the_named_curve_is_searched():
+    t, q = series(40, 100, 0.5, 0.5, 0.1, 3)
+    estimate = float(q[0])
+    one = solver.fit_block([t], [q], [estimate], [-0.3], [4.0], ("harmonic",)).iloc[0]
+    every = solver.fit_block([t], [q], [estimate], [-0.3], [4.0]).iloc[0]
+    for c in one.index:
+        assert one[c] == every[c] if c.startswith("har_") else one[c] is None or np.isnan(one[c])
