@@ -8,6 +8,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 HASH = "RowHash"
 
@@ -46,6 +47,68 @@ def track_changes(previous: DataFrame, current: DataFrame, keys: Sequence[str])
                     "PreviousHash", "CurrentHash"))
 
 
+FROM, TO = "ValidFrom", "ValidTo"
+
+
+def _hashed(current: DataFrame, keys: Sequence[str]) -> DataFrame:
+    columns = sorted(c for c in current.columns if c not in keys)
+    return current.select(*keys, row_hash(columns).alias(HASH))
+
+
+def _against_open(history: DataFrame, current: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The open interval (`old`) and the new hash (`new`) of every key that has one of them."""
+    old = history.where(F.col(TO).isNull()).select(*[F.col(k).alias(f"old_{k}") for k in keys], F.struct(HASH, FROM).alias("old"))
+    new = _hashed(current, keys).select(*[F.col(k).alias(f"new_{k}") for k in keys], F.col(HASH).alias("new"))
+    same = reduce(and_, [F.col(f"old_{k}").eqNullSafe(F.col(f"new_{k}")) for k in keys])
+    found = [F.when(F.col("new").isNull(), F.col(f"old_{k}")).otherwise(F.col(f"new_{k}")).alias(k) for k in keys]
+    return old.join(new, same, "full_outer").select(*found, "old", "new")
+
+
+def advance_history(history: DataFrame | None, current: DataFrame, keys: Sequence[str], loaded_at: str) -> DataFrame:
+    """History of loads: keys, RowHash, ValidFrom, ValidTo (null while valid), after one more load.
+
+    A row that is the same in consecutive loads stays one interval; one that changed or went away ends at
+    the load that no longer has it, and begins anew when it comes back. Keys are unique in a load, null keys
+    equal each other. Closed intervals are passed on, only open ones and the load's hashes are shuffled.
+    A load with other columns differs in every row.
+    """
+    at = F.lit(loaded_at).cast("timestamp")
+    never = F.lit(None).cast("timestamp")
+    if history is None:
+        return _hashed(current, keys).select(*keys, HASH, at.alias(FROM), never.alias(TO))
+    old, new = F.col("old"), F.col("new")
+    stays = F.coalesce(old[HASH] == new, F.lit(False))
+    before = F.when(old.isNotNull(), F.struct(
+        old[HASH].alias(HASH), old[FROM].alias(FROM), F.when(stays, never).otherwise(at).alias(TO)))
+    after = F.when(new.isNotNull() & ~stays, F.struct(new.alias(HASH), at.alias(FROM), never.alias(TO)))
+    moved = _against_open(history, current, keys).select(*keys, F.explode(F.filter(F.array(before, after), lambda x: x.isNotNull())).alias("i"))
+    return history.where(F.col(TO).isNotNull()).unionByName(moved.select(*keys, "i.*"))
+
+
+def changes_since(history: DataFrame, current: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per key: what a load changes against the open intervals (inserted, updated, deleted or unchanged)."""
+    old, new = F.col("old")[HASH], F.col("new")
+    change = (F.when(old.isNull(), "inserted").when(new.isNull(), "deleted").when(old != new, "updated").otherwise("unchanged"))
+    return _against_open(history, current, keys).select(*keys, change.alias("Change"))
+
+
+def history_of_loads(loads: DataFrame, keys: Sequence[str], loaded: str = "LoadedAt") -> DataFrame:
+    """The same history from stored loads at once: keys, RowHash and load time, one row per key and load.
+
+    Consecutive loads are numbered by their distinct times; a key has one row per load in its window.
+    """
+    times = loads.select(F.col(loaded).alias(FROM)).distinct()
+    number = F.row_number().over(Window.orderBy(FROM))
+    # One row per load.
+    numbered = times.withColumns({"load": number, TO: F.lead(FROM).over(Window.orderBy(FROM))})
+    placed = loads.withColumnRenamed(loaded, FROM).join(numbered, FROM)
+    series = Window.partitionBy(*keys).orderBy("load")
+    begins = ~((F.lag(HASH).over(series) == F.col(HASH)) & (F.lag("load").over(series) == F.col("load") - 1))
+    runs = placed.withColumn("begins", F.coalesce(begins, F.lit(True)).cast("int")).withColumn("run", F.sum("begins").over(series))
+    return runs.groupBy(*keys, "run").agg(
+        F.first(HASH).alias(HASH), F.min(FROM).alias(FROM), F.max_by(TO, "load").alias(TO)).drop("run")
+
+
 def issue_metrics(issues: DataFrame) -> DataFrame:
     """Issue count and number of affected wells per rule.
 

@@ -17,7 +17,7 @@ from ..operators.forecast import PER_DAY, PER_MONTH, UNIT, as_history, combine,
 from ..schemas import PRODUCTION_COLUMNS
 from ..sources.staging import stage
 from ..sources.tables import measure_views, table_exists, write_table
-from .medallion import build_calendar_and_normalized
+from .medallion import bronze_to_silver, build_calendar_and_normalized
 
 
 @dataclass
@@ -64,9 +64,10 @@ def forecast_tables(spark: SparkSession, namespace: str, settings: ForecastSetti
                 build_calendar_and_normalized(spark, namespace, dataset)
             input_table = needed[0]
         else:
-            input_table = f"{namespace}.{dataset}_calendar"
+            # Reported months only: inserted ones would count for the minimum history.
+            input_table = f"{namespace}.{dataset}_silver"
             if not table_exists(spark, input_table):
-                build_calendar_and_normalized(spark, namespace, dataset)
+                bronze_to_silver(spark, dataset, namespace)
     selected, columns = forecast_input(spark.table(input_table), s)
     # Fits, rows and the combined table all read the selection.
     history = stage(selected)

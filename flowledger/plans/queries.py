@@ -83,13 +83,13 @@ def parse_month_required(spark, sf):
     return parsed.select("l_orderkey", "l_linenumber", "ProductionMonth")
 
 
-@register("""SELECT WellID, ProductionMonth, Hours,
-  rnd(CASE WHEN CondensateProduction < 0 THEN 0 ELSE CondensateProduction END, 4) AS CondensateProduction,
-  rnd(coalesce(PropaneMixVolume, 0), 4) AS PropaneMixVolume FROM line""")
+@register("SELECT WellID, ProductionMonth, Hours, " + ", ".join(
+    f"rnd(CASE WHEN {c} < 0 THEN 0 ELSE {c} END, 4) AS {c}" for c in PRODUCTION_COLUMNS)
+    + ", rnd(coalesce(PropaneMixVolume, 0), 4) AS PropaneMixVolume FROM line")
 def negative_clip(spark, sf):
     clipped = P.clip_negatives(X.well_line(spark, sf), PRODUCTION_COLUMNS)
     return P.zero_nulls(clipped, ["PropaneMixVolume"]).select(
-        "WellID", "ProductionMonth", "Hours", *r(["CondensateProduction", "PropaneMixVolume"]))
+        "WellID", "ProductionMonth", "Hours", *r([*PRODUCTION_COLUMNS, "PropaneMixVolume"]))
 
 
 @register("SELECT l_orderkey, l_linenumber, coalesce(try_cast(GasProduction AS DOUBLE), 0) AS GasProduction FROM dirty")
@@ -390,12 +390,13 @@ _ERROR_DIGITS = {"exp_qi": 2, "exp_di": 3, "hyp_qi": 2, "hyp_di": 3, "har_qi": 2
 
 @register("""SELECT WellID, ProductionType, """ + ", ".join(
     f"rnd(max(CASE WHEN curve = '{_FIT_COLUMNS[c[:3]]}' THEN {c[4:]}_error END), {d}) AS {c}_error" for c, d in _ERROR_DIGITS.items())
-    + ", rnd(max(log10(greatest(b_error, 1e-12))), 5) AS hyp_b_error_log10 FROM fit_errors GROUP BY ALL")
+    + ", rnd(max(CASE WHEN b_error < 1 THEN b_error END), 3) AS hyp_b_error FROM fit_errors GROUP BY ALL")
 def parameter_errors(spark, sf):
+    """The exponent's error only where the points determine it: beyond 1 it is longer than its range."""
     fit = F.col("fit")
     return _solved(spark, sf).filter("rejected IS NULL").select(
         *_KEYS, *[near(fit[f"{c}_error"], d).alias(f"{c}_error") for c, d in _ERROR_DIGITS.items()],
-        near(F.log10(F.greatest(fit["hyp_b_error"], F.lit(1e-12))), 5).alias("hyp_b_error_log10"))
+        near(F.when(fit["hyp_b_error"] < 1, fit["hyp_b_error"]), 3).alias("hyp_b_error"))
 
 
 @register("""SELECT WellID, ProductionType, CurveType, rnd(qi, 2) AS qi, rnd(di, 3) AS di, rnd(b, 2) AS b,
@@ -655,6 +656,26 @@ def row_hash_changes(spark, sf):
     return H.track_changes(previous, current, ["WellID", "ProductionMonth"]).drop("PreviousHash", "CurrentHash")
 
 
+_FROM_TO = """SELECT WellID, ProductionMonth, {start} AS ValidFrom, {end} AS ValidTo FROM merged WHERE {where}"""
+_JAN, _FEB, _OPEN = "DATE '2024-01-01'", "DATE '2024-02-01'", "CAST(NULL AS DATE)"
+_LATE, _EARLY = "ProductionMonth >= DATE '2001-07-01'", "ProductionMonth < DATE '1995-03-01'"
+_BOTH = f"NOT {_LATE} AND NOT {_EARLY}"
+
+
+@register(" UNION ALL ".join([
+    _FROM_TO.format(start=_FEB, end=_OPEN, where=_LATE), _FROM_TO.format(start=_JAN, end=_FEB, where=_EARLY),
+    _FROM_TO.format(start=_JAN, end=_OPEN, where=f"{_BOTH} AND Pool IS DISTINCT FROM 'R'"),
+    _FROM_TO.format(start=_JAN, end=_FEB, where=f"{_BOTH} AND Pool = 'R'"),
+    _FROM_TO.format(start=_FEB, end=_OPEN, where=f"{_BOTH} AND Pool = 'R'")]))
+def load_history(spark, sf):
+    """Intervals of three loads, the last like the one before."""
+    keys, (first, second) = ["WellID", "ProductionMonth"], _loads(spark, sf)
+    history = None
+    for day, load in (("2024-01-01", first), ("2024-02-01", second), ("2024-03-01", second)):
+        history = H.advance_history(history, load, keys, day)
+    return history.select(*keys, *[F.col(c).cast("date").alias(c) for c in ("ValidFrom", "ValidTo")])
+
+
 _HASHED = sorted([*MEASURES, "Area", "LineCount", "Pool"])
 _AS_TEXT = {c: f"CAST(CAST({c} AS DECIMAL(28, 6)) AS VARCHAR)" if c in MEASURES else f"CAST({c} AS VARCHAR)" for c in _HASHED}
 

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.text import month_text
 from ..schemas import conform
+from .staging import stage
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -56,6 +57,61 @@ def write_table(df: DataFrame, name: str, schema: StructType | None = None,
     return df.sparkSession.table(name)
 
 
+LOAD_MONTH, UNKNOWN = "LoadMonth", "unknown"
+
+
+def _digests(df: DataFrame) -> DataFrame:
+    """Per load month: number of rows and two sums of row hashes, whatever the order of rows."""
+    columns = [F.col(f"`{c}`") for c in sorted(df.columns) if c != LOAD_MONTH]
+    sums = {f"Digest{lane}": F.xxhash64(F.lit(lane), *columns).cast("decimal(38,0)") for lane in (1, 2)}
+    return df.groupBy(LOAD_MONTH).agg(F.count("*").alias("Rows"), *[F.sum(c).alias(n) for n, c in sums.items()])
+
+
+def _write_partitions(df: DataFrame, name: str) -> None:
+    """Write over the partitions that df has rows for; a table insert takes the mode from the session only."""
+    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, "dynamic")
+    try:
+        df.write.mode("overwrite").insertInto(name)
+    finally:
+        conf.set(key, before)
+
+
+def load_changed_months(df: DataFrame, name: str, start: str | None = None, end: str | None = None,
+                        month: str = "ProductionMonth", refresh: bool = True) -> DataFrame:
+    """Bring the months of df that a table lacks, or that differ from it, into the table; returns them.
+
+    The table is partitioned by LoadMonth (yyyy-MM; "unknown" for rows without a readable month) and only the
+    partitions of those months are written over; all others keep their files. `start` and `end` limit the load to
+    a plan of months. With refresh=False months that the table has are left as they are. What the table holds is
+    known from `<name>_months`, one row per month, so the table is not read; that table is written last, and
+    a load that broke off is simply repeated. A month that df lacks stays.
+    """
+    spark = df.sparkSession
+    label = F.date_format(month_text(F.col(month).cast("string")), "yyyy-MM")
+    rows = df.withColumn(LOAD_MONTH, F.coalesce(label, F.lit(UNKNOWN)))
+    if start and end:
+        wanted = month_range(spark, start, end).select(F.col("Label").alias(LOAD_MONTH))
+        rows = rows.join(F.broadcast(wanted), LOAD_MONTH, "left_semi")  # one row per month of the plan
+    rows = rows.select(*df.columns, LOAD_MONTH)
+    state = f"{name}_months"
+    digests = _digests(rows)
+    if not table_exists(spark, name) or not table_exists(spark, state):
+        write_table(rows, name, partition_by=LOAD_MONTH)
+        return write_table(digests, state).select(LOAD_MONTH)
+    if spark.table(name).columns != rows.columns:
+        raise ValueError(f"{name} has other columns than the load")
+    known = spark.table(state)
+    changed = stage(digests.join(known, LOAD_MONTH if not refresh else [LOAD_MONTH, "Rows", "Digest1", "Digest2"], "left_anti"))
+    # One row per month.
+    part = rows.join(F.broadcast(changed.select(LOAD_MONTH)), LOAD_MONTH, "left_semi").select(rows.columns)
+    if not changed.isEmpty():
+        _write_partitions(part, name)
+        write_table(stage(known.join(changed, LOAD_MONTH, "left_anti").unionByName(changed)), state)
+    return changed.select(LOAD_MONTH)
+
+
 def build_if_missing(spark: SparkSession, name: str, build: Callable[[], object]) -> DataFrame:
     if not table_exists(spark, name):
         build()
