@@ -10,7 +10,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType, TimestampType
 
 from .. import fixtures as X
 from ..functions import curves, text
@@ -26,7 +26,7 @@ from ..operators import quality as Q
 from ..operators.periods import normalize_periods
 from ..schemas import MAIN_VOLUMES, PRODUCTION_COLUMNS
 from ..sources.staging import stage
-from ..sources.tables import loaded_months, missing_months, month_range
+from ..sources.tables import loaded_months, measure_views, missing_months, month_range, register_views
 from .forecasting import ForecastSettings, fit_table, forecast_input
 from .oracles import CTES, HALF, MAIN, MEASURES, PRODUCTION, rounded, sql
 
@@ -143,12 +143,15 @@ def days_from_first(spark, sf):
     return offsets.groupBy("WellID", "ProductionMonth", "DaysFromFirst").agg(F.count("*").alias("lines"))
 
 
+_TO_IMPERIAL = {"GasProduction": "0.035315e0", "OilProduction": "6.28981e0", "CondensateProduction": "6.28981e0"}
+
+
 @register("SELECT WellID, ProductionMonth, " + ", ".join(
-    f"rnd({c} * {k}e0, 4) AS {c}" for c, k in
-    {"GasProduction": 0.035315, "OilProduction": 6.28981, "CondensateProduction": 6.28981}.items())
-    + " FROM well_month")
+    f"rnd({c}{x} * {k}, 4) AS {c}{x}" for x in ("", "Cumulative") for c, k in _TO_IMPERIAL.items()) + " FROM calendar")
 def imperial_units(spark, sf):
-    return to_imperial(X.well_month(spark, sf)).select("WellID", "ProductionMonth", *r(MAIN_VOLUMES[:3]))
+    """Volumes and running totals of the calendar."""
+    columns = [c + x for x in ("", "Cumulative") for c in _TO_IMPERIAL]
+    return to_imperial(_calendar(spark, sf)).select("WellID", "ProductionMonth", *r(columns))
 
 
 @register("""SELECT WellID, ProductionMonth, rnd(qi * exp(-di * t / 365.25e0), 4) AS exponential,
@@ -297,11 +300,11 @@ def calendar_checks(spark, sf):
     return _numeric_values(C.check_cumulatives(_reported(spark, sf)).issues)
 
 
-@register("""SELECT WellID, count(*) AS months, max(ProductionMonth) AS last_month FROM lagged
-  WHERE NOT coalesce(HoursCumulative < prevHours, false) GROUP BY WellID""")
+@register(f"""SELECT WellID, ProductionMonth, {', '.join(MAIN)}, Hours, {rounded(_CUMULATIVE)}, DaysFromFirst FROM lagged
+  WHERE NOT coalesce(HoursCumulative < prevHours, false)""")
 def calendar_clean(spark, sf):
-    clean = C.check_cumulatives(_reported(spark, sf)).clean
-    return clean.groupBy("WellID").agg(F.count("*").alias("months"), F.max("ProductionMonth").alias("last_month"))
+    return C.check_cumulatives(_reported(spark, sf)).clean.select(
+        "WellID", "ProductionMonth", *MAIN, "Hours", *r(_CUMULATIVE), "DaysFromFirst")
 
 
 # ---- equal-hour periods ---------------------------------------------------------------------
@@ -550,22 +553,19 @@ def extend_forecast(spark, sf):
     return extended.select(*_KEYS, "ProductionMonth", *r(["Rate"], 2), "Extended")
 
 
-_GAS_ONLY = "SELECT WellID, 'GasProduction' AS ProductionType, ProductionMonth, t, GasProduction AS q FROM trended"
-
-
-@register("""SELECT WellID, DataType, ProductionMonth, Step, rnd(sum(q) OVER (PARTITION BY WellID
-  ORDER BY DataType DESC, ProductionMonth, Step ROWS UNBOUNDED PRECEDING), 1) AS GasProduction_Cumulative FROM (
-  SELECT WellID, 'Historical' AS DataType, ProductionMonth, 0 AS Step, GasProduction AS q FROM trended
-  UNION ALL SELECT WellID, 'Forecast', ProductionMonth, CAST(i + 1 AS INTEGER), Rate FROM ahead)""", points=_GAS_ONLY)
+@register("""SELECT WellID, ProductionType, DataType, ProductionMonth, Step, rnd(sum(coalesce(q, 0)) OVER (PARTITION BY WellID, ProductionType
+  ORDER BY DataType DESC, ProductionMonth, Step ROWS UNBOUNDED PRECEDING), 1) AS Volume_Cumulative FROM (
+  SELECT WellID, ProductionType, 'Historical' AS DataType, ProductionMonth, 0 AS Step, q FROM points
+  UNION ALL SELECT WellID, ProductionType, 'Forecast', ProductionMonth, CAST(i + 1 AS INTEGER), Rate FROM ahead)""")
 def running_total(spark, sf):
-    history = stage(X.decline(spark, sf))
-    fits = D.fit_series(D.stack_measures(history, ["GasProduction"]))
-    ahead = FC.forecast_points(fits, MONTHS).select(
-        "WellID", F.lit("Forecast").alias("DataType"), "ProductionMonth", "Step", F.col("Rate").alias("GasProduction"))
-    both = history.select("WellID", F.lit("Historical").alias("DataType"), "ProductionMonth",
-                          F.lit(0).alias("Step"), "GasProduction").unionByName(ahead)
-    return V.running_total(both, "GasProduction", ["WellID"], tie=["Step"]).select(
-        "WellID", "DataType", "ProductionMonth", "Step", *r(["GasProduction_Cumulative"], 1))
+    """All measures, through history and on through the forecast."""
+    points = stage(_points(spark, sf))
+    ahead = FC.forecast_points(D.fit_series(points), MONTHS).select(
+        *_KEYS, F.lit("Forecast").alias("DataType"), "ProductionMonth", "Step", F.col("Rate").alias("Volume"))
+    past = points.select(*_KEYS, F.lit("Historical").alias("DataType"), F.col("ProductionMonth").cast("date").alias("ProductionMonth"),
+                         F.lit(0).alias("Step"), F.col("q").alias("Volume"))
+    return V.running_total(past.unionByName(ahead), "Volume", _KEYS, tie=["Step"]).select(
+        *_KEYS, "DataType", "ProductionMonth", "Step", *r(["Volume_Cumulative"], 1))
 
 
 @register("SELECT DISTINCT WellID FROM (SELECT WellID FROM merged UNION ALL SELECT WellID FROM attributes) ORDER BY 1")
@@ -697,6 +697,36 @@ def audit_report(spark, sf):
     return H.audit_report(_validated(spark, sf).issues, changes)
 
 
+@register("""SELECT l_orderkey, l_linenumber, try_cast(nullif(CASE l_linenumber WHEN 5 THEN concat(ProductionMonth, '-01 10:30:00')
+  ELSE concat(ProductionMonth, '-01') END, '') AS TIMESTAMP) AS Stamp FROM dirty""")
+def timestamp_clean(spark, sf):
+    """Texts of dates and times, some unreadable."""
+    month = F.col("ProductionMonth")
+    given = X.well_text(spark, sf).select("l_orderkey", "l_linenumber", F.when(
+        F.col("l_linenumber") == 5, F.concat(month, F.lit("-01 10:30:00"))).otherwise(F.concat(month, F.lit("-01"))).alias("Stamp"))
+    return P.apply_schema(given, StructType([StructField("Stamp", TimestampType())]))
+
+
+@register(f"SELECT WellID, ProductionMonth, {', '.join(MAIN)}, Hours FROM merged WHERE WellID = 'W000000000007'")
+def one_well(spark, sf):
+    """One entity's months; the equality is applied below the merge."""
+    months = Q.merge_duplicates(X.well_line(spark, sf), ["WellID", "ProductionMonth"], X.EXACT_SCALE)
+    return V.one_entity(months, "W000000000007").select("WellID", "ProductionMonth", *MAIN, "Hours")
+
+
+@register("""SELECT ProductionType, count(*) AS rows, count(DISTINCT WellID) AS wells, rnd(sum(q), 2) AS volume FROM points
+  WHERE q > 0 GROUP BY ProductionType""")
+def view_totals(spark, sf):
+    """SQL over a result that was registered as a view, one view per measure."""
+    points = _points(spark, sf)
+    names = measure_views(spark, "history", points, PRODUCTION_COLUMNS)
+    register_views({"production_history": points})
+    parts = " UNION ALL ".join(f"SELECT '{m}' AS ProductionType, count(*) AS n FROM {v} WHERE q > 0" for m, v in zip(PRODUCTION_COLUMNS, names))
+    return spark.sql(f"""SELECT h.ProductionType, max(v.n) AS rows, count(DISTINCT WellID) AS wells, sum(q) AS volume
+      FROM production_history h JOIN ({parts}) v ON h.ProductionType = v.ProductionType WHERE q > 0
+      GROUP BY h.ProductionType""").withColumn("volume", near("volume", 2))
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Raw rows to the validated calendar with running totals."""
     return calendar_cumulative(spark, sf)
