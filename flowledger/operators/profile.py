@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, GroupedData, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType, IntegerType, NumericType, StringType, StructType, TimestampType,
@@ -12,11 +13,13 @@ from pyspark.sql.types import (
 
 from ..functions import text
 from ..functions.text import YEAR_MONTH
-from ..sources.staging import stage
 
 QUARTILES = (0.25, 0.5, 0.75)
 BINS = 4096
-PASSES = 5
+# Size of the quantile sketch, and the share of rows around a quartile that its bracket takes in: several times its error.
+SKETCH, MARGIN = 4096, 0.004
+# Values of a bracket that are sorted.
+SETTLED = 1_000_000
 
 
 def measure_summary(df: DataFrame, entity: str = "WellID") -> DataFrame:
@@ -77,63 +80,130 @@ def schema_profile(df: DataFrame, schema: StructType) -> DataFrame:
     return one_row.select("Rows", F.explode(F.array(*entries)).alias("e")).select("Rows", "e.*")
 
 
-def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """count, mean, std, min, exact quartiles and max of every numeric column.
+class _Bracket:
+    """What is known of the two order statistics of one quartile of one column: they lie in [low, high], `inside`
+    values do, `below` are smaller. Settled once both values are known."""
+
+    def __init__(self, column: str, p: float, n: int, nans: int):
+        self.column, self.place = column, p * (n - 1)
+        self.ranks = math.floor(self.place), math.ceil(self.place)
+        self.low, self.high, self.below, self.inside = -math.inf, math.inf, 0, n - nans
+        # NaN stands above all numbers.
+        self.values = [math.nan if r >= n - nans else None for r in self.ranks]
+
+    def settled(self) -> bool:
+        return None not in self.values
+
+    def take(self, low: float, high: float, below: int, inside: int) -> None:
+        self.low, self.high, self.below, self.inside = low, high, below, inside
+        if low == high:
+            self.values = [low if v is None else v for v in self.values]
+
+    def sums(self, v: Column, low: float, high: float) -> Column:
+        return F.struct(F.count(F.when(v < low, 1)).alias("below"), F.count(F.when(v.between(low, high), 1)).alias("inside"))
+
+    def choose(self, low: float, high: float, below: int, inside: int) -> None:
+        """Take the sketch's bracket if its exact counts hold the ranks, else what it left out."""
+        wanted = [r for r, v in zip(self.ranks, self.values) if v is None]
+        if wanted[0] < below:
+            self.take(self.low, high, 0, below + inside)
+        elif wanted[-1] >= below + inside:
+            self.take(low, self.high, below, self.inside - below)
+        else:
+            self.take(low, high, below, inside)
+
+    def bin(self, v: Column) -> Column:
+        """Bins of the bracket: equal parts where its ends are within a factor of two, else half octaves."""
+        span = self.high - self.low
+        sizes = sorted((abs(self.low), abs(self.high)))
+        near = (self.low > 0) == (self.high > 0) and 0 < sizes[1] <= 2 * sizes[0]
+        if near and 0 < span < math.inf:
+            return F.least(F.floor((v - self.low) / span * BINS), F.lit(BINS - 1)).cast("int")
+        return _half_octave(v)
+
+    def narrow(self, bins: list[tuple[int, int, float, float]]) -> None:
+        """bins: (bin, values in it, smallest, largest), in order."""
+        upto, chosen = self.below, []
+        for _, n, low, high in bins:
+            chosen += [(k, upto, n, low, high) for k, r in enumerate(self.ranks) if self.values[k] is None and upto <= r < upto + n]
+            upto += n
+        if len(chosen) == 2 and chosen[0][1] != chosen[1][1]:
+            # Neighbouring ranks in two bins are the largest value of one and the smallest of the next.
+            self.values = [chosen[0][4], chosen[1][3]]
+        else:
+            _, below, inside, low, high = chosen[0]
+            self.take(low, high, below, inside)
+
+    def quartile(self) -> float:
+        a, b = self.values
+        return a if a == b or math.isnan(a) else a + (b - a) * (self.place - self.ranks[0])
+
+
+def _inside(df: DataFrame, brackets: Sequence[_Bracket], *more) -> DataFrame:
+    """(i, v, more): the values in each bracket, i its place in the list; one scan, no other values."""
+    entries = []
+    for i, b in enumerate(brackets):
+        v = F.col(b.column).cast("double")
+        fields = [F.lit(i).alias("i"), v.alias("v"), *[make(b, v).alias(name) for name, make in more]]
+        entries.append(F.when(v.between(b.low, b.high), F.struct(*fields)))
+    return df.select(F.explode(F.filter(F.array(*entries), lambda x: x.isNotNull())).alias("x")).select("x.*")
+
 
-    A quartile lies between two order statistics. Each is searched by itself: values are counted first in
-    half octaves of their size, then PASSES times in BINS equal parts of the bracket that holds the rank.
-    A part of a half octave is below the spacing of doubles after that, so a bracket ends at one
-    value whatever the distribution. Every count is a combined aggregate with at most BINS rows per rank; no
-    column's values are sorted or gathered.
+def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """count, mean, std, min, exact quartiles and max of every numeric column; columns without values are left out.
+
+    A quartile lies between two order statistics. One scan takes the moments and a quantile sketch per column;
+    the sketch gives a bracket for each quartile, and a second scan counts exactly what is below and inside. A
+    bracket that misses is widened. A third scan counts the different values inside, which settles them.
+    Brackets with more than SETTLED values are first narrowed by bin counts; in half octaves, then in BINS equal
+    parts of what is left, which ends at one value for any distribution. Only figures per column and bin
+    come to the driver; at most SETTLED values per quartile are sorted.
     """
     columns = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
-    # Long form keyed by the column's position: a number hashes cheaper than its name.
-    values = df.select(F.posexplode(F.array(*[F.col(c).cast("double") for c in columns])).alias("at", "v")).filter(
-        "v is not null")
-    stats = values.groupBy("at").agg(
-        F.count("*").alias("n"), F.avg("v").alias("mean"), F.stddev("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
-    place = F.col("p") * (F.col("n") - 1)
-    ranks = stats.select("at", "n", F.explode(F.array(*[F.lit(p) for p in QUARTILES])).alias("p")).select(
-        "at", F.explode(F.array(F.floor(place), F.ceil(place))).alias("rank")).distinct()
-    found = _narrow(values.withColumn("bin", _half_octave(F.col("v"))).groupBy("at", "bin"), ranks.withColumn("below", F.lit(0).cast("long")))
-    for _ in range(PASSES):
-        span = F.col("hi") - F.col("lo")
-        # A bracket of one value, or of values that have no finite distance, is not divided.
-        part = F.when((span > 0) & (span < float("inf")), F.least(F.floor((F.col("v") - F.col("lo")) / span * BINS), F.lit(BINS - 1)))
-        # One row per rank: six per column of the table.
-        inside = values.join(F.broadcast(found), "at").filter(F.col("v").between(F.col("lo"), F.col("hi")))
-        counted = inside.withColumn("bin", F.coalesce(part, F.lit(0)).cast("int")).groupBy("at", "rank", "below", "bin")
-        found = _narrow(counted, None)
-    # Six rows per column, read twice below; stored, so that the passes run once.
-    value = stage(found.select("at", "rank", F.col("lo").alias("value")))
-    lower, upper = (value.select("at", F.col("rank").alias(r), F.col("value").alias(v)) for r, v in (("r0", "a"), ("r1", "b")))
-    quartile = (
-        stats.select("*", F.explode(F.array(*[F.lit(p) for p in QUARTILES])).alias("p"))
-        .withColumns({"r0": F.floor(place), "r1": F.ceil(place)})
-        .join(F.broadcast(lower), ["at", "r0"]).join(F.broadcast(upper), ["at", "r1"])
-        .withColumn("q", F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(
-            F.col("a") + (F.col("b") - F.col("a")) * (place - F.floor(place))))
-    )
-    return quartile.groupBy("at", "n", "mean", "std", "min", "max").agg(
-        *[F.max(F.when(F.col("p") == p, F.col("q"))).alias(f"q{int(p * 100)}") for p in QUARTILES]
-    ).select(F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("at") + 1).alias("Column"), F.col("n").alias("count"),
-             "mean", "std", "min", *[f"q{int(p * 100)}" for p in QUARTILES], "max")
+    values = {c: F.col(c).cast("double") for c in columns}
+    moments = [F.struct(
+        F.count(v).alias("n"), F.count(F.when(F.isnan(v), 1)).alias("nans"), F.avg(v).alias("mean"), F.stddev(v).alias("std"),
+        F.min(v).alias("min"), F.max(v).alias("max"),
+        F.kll_sketch_agg_double(F.when(~F.isnan(v), v), F.lit(SKETCH)).alias("sketch")).alias(f"c{i}") for i, v in enumerate(values.values())]
+    shares = F.array(*[F.lit(max(0.0, min(1.0, p + d))) for p in QUARTILES for d in (-MARGIN, MARGIN)])
+    told = df.agg(*moments).select(*[F.struct(*[f"c{i}.{x}" for x in ("n", "nans", "mean", "std", "min", "max")], F.when(
+        F.col(f"c{i}.n") > F.col(f"c{i}.nans"), F.kll_sketch_get_quantile_double(f"c{i}.sketch", shares)).alias("at")).alias(f"c{i}")
+        for i in range(len(columns))]).first() if columns else []
+    stats = {c: row for c, row in zip(columns, told) if row["n"]}
+    brackets = {(c, p): _Bracket(c, p, row["n"], row["nans"]) for c, row in stats.items() for p in QUARTILES}
+    guesses = {(c, p): tuple(row["at"][2 * k : 2 * k + 2]) for c, row in stats.items() if row["at"] for k, p in enumerate(QUARTILES)}
+
+    open_now = [key for key, b in brackets.items() if not b.settled()]
+    if open_now:
+        for key in open_now:
+            b, row = brackets[key], stats[key[0]]
+            b.low, b.high = row["min"], row["max"] if not row["nans"] else math.inf
+        counts = df.agg(*[brackets[key].sums(values[key[0]], *guesses[key]).alias(f"x{i}") for i, key in enumerate(open_now)]).first()
+        for key, got in zip(open_now, counts):
+            brackets[key].choose(*guesses[key], got["below"], got["inside"])
+    while wide := [b for b in brackets.values() if not b.settled() and b.inside > SETTLED]:
+        bins = _inside(df, wide, ("bin", _Bracket.bin)).groupBy("i", "bin").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        found: dict[int, list] = {}
+        for i, at, n, low, high in bins.collect():  # at most BINS or some 8800 half octaves per bracket
+            found.setdefault(i, []).append((at, n, low, high))
+        for i, rows in found.items():
+            wide[i].narrow(sorted(rows))
+    if left := [b for b in brackets.values() if not b.settled()]:
+        each = _inside(df, left).groupBy("i", "v").agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("i").orderBy("v"))
+        below = F.element_at(F.array(*[F.lit(b.below) for b in left]), F.col("i") + 1)
+        ranks = F.element_at(F.array(*[F.array(*map(F.lit, b.ranks)) for b in left]), F.col("i") + 1)
+        placed = each.withColumn("upto", below + upto).withColumn("rank", F.explode(ranks))
+        hits = placed.where((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("n") <= F.col("rank"))).select("i", "rank", "v").distinct()
+        for i, rank, v in hits.collect():  # two rows per bracket
+            left[i].values = [v if r == rank and old is None else old for r, old in zip(left[i].ranks, left[i].values)]
+    rows = [(c, s["n"], s["mean"], s["std"], s["min"], *[brackets[c, p].quartile() for p in QUARTILES], s["max"]) for c, s in stats.items()]
+    names = ["mean", "std", "min", *[f"q{int(p * 100)}" for p in QUARTILES], "max"]
+    return df.sparkSession.createDataFrame(rows, "Column string, count bigint, " + ", ".join(f"{n} double" for n in names))
 
 
 def _half_octave(v: Column) -> Column:
-    """Ascending with v: twice the binary logarithm of its size, by sign; 0, infinities and NaN have bins of their own."""
+    """Ascending with v: twice the binary logarithm of its size, by sign; 0 and infinities have bins of their own."""
     size = (F.floor(F.log2(F.abs(v)) * 2) + 2200).cast("int")
-    return (F.when(F.isnan(v), 5001).when(v == float("inf"), 5000).when(v == -float("inf"), -5000)
+    return (F.when(v == float("inf"), 5000).when(v == -float("inf"), -5000)
             .when(v == 0, 0).when(v > 0, size).otherwise(-size))
-
-
-def _narrow(counted: GroupedData, ranks: DataFrame | None) -> DataFrame:
-    """at, rank, lo, hi, below: the bin that holds each rank, with its smallest and largest value and the
-    number of values below it. Grouped by rank already, or the same bins for all ranks of a column."""
-    bins = counted.agg(F.count("*").alias("in_bin"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    if ranks is not None:
-        bins = ranks.join(bins, "at")
-    upto = Window.partitionBy("at", "rank").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counted_up = bins.withColumn("upto", F.col("below") + F.sum("in_bin").over(upto))
-    hit = (F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("in_bin") <= F.col("rank"))
-    return counted_up.filter(hit).select("at", "rank", "lo", "hi", (F.col("upto") - F.col("in_bin")).alias("below"))

@@ -19,25 +19,45 @@ from flowledger.operators.spread import PARTS, hot_keys, spread_join
 from flowledger.sources.files import read_csv
 
 
-def test_quartiles_of_any_distribution(spark):
+@pytest.mark.parametrize("settled", [R.SETTLED, 10])
+def test_quartiles_of_any_distribution(spark, monkeypatch, settled):
+    monkeypatch.setattr(R, "SETTLED", settled)
     random.seed(4)
     data = {
         "heavy": [math.exp(random.gauss(0, 10)) for _ in range(3000)],
         "equal": [7.5] * 3000,
         "signed": [random.choice([-0.0, 0.0, -1e300, 1e-300, 5.0, -3.25]) for _ in range(3000)],
         "normal": [random.gauss(1e9, 1e-3) for _ in range(3000)],
+        "halves": [1.0] * 1500 + [2.0] * 1500,
+        "ends": [random.choice([-math.inf, math.inf, 1.0]) for _ in range(3000)],
+        "tiny": [random.uniform(-5e-324, 1e-307) for _ in range(3000)],
     }
     df = spark.createDataFrame(list(zip(*data.values())), ", ".join(f"{c} double" for c in data))
     got = {r["Column"]: r for r in R.numeric_profile(df).collect()}
     for c, v in data.items():
-        want = np.quantile(np.array(v) + 0.0, [0.25, 0.5, 0.75])
-        assert np.allclose([got[c]["q25"], got[c]["q50"], got[c]["q75"]], want, rtol=1e-12, atol=0), c
+        order = np.sort(np.array(v) + 0.0)
+        for k, p in ((25, 0.25), (50, 0.5), (75, 0.75)):
+            a, b = order[math.floor(p * 2999)], order[math.ceil(p * 2999)]
+            want = a if a == b else a + (b - a) * (p * 2999 - math.floor(p * 2999))
+            assert got[c][f"q{k}"] == want or math.isclose(got[c][f"q{k}"], want, rel_tol=1e-12), (c, k)
         assert got[c]["count"] == 3000
 
 
-def test_quartiles_sort_no_values(spark):
-    plan = R.numeric_profile(spark.range(100).selectExpr("double(id) AS x"))._jdf.queryExecution().toString()
-    assert "Sort [v" not in plan and "orderBy(v" not in plan
+def test_quartiles_beside_nan_and_null(spark):
+    rows = [(float(i), None, float("nan")) for i in range(10)] + [(float("nan"), None, None)] * 10 + [(None, None, 1.0)]
+    got = {r["Column"]: r for r in R.numeric_profile(spark.createDataFrame(rows, "x double, y double, z double")).collect()}
+    assert set(got) == {"x", "z"} and got["x"]["count"] == 20
+    assert (got["x"]["q25"], got["x"]["min"]) == (4.75, 0.0) and math.isnan(got["x"]["q75"]) and math.isnan(got["x"]["max"])
+    assert got["z"]["min"] == 1.0 and math.isnan(got["z"]["q25"])
+    assert R.numeric_profile(spark.range(0)).count() == 0
+
+
+def test_quartiles_where_the_sketch_misses(spark, monkeypatch):
+    monkeypatch.setattr(R, "SKETCH", 8)
+    monkeypatch.setattr(R, "MARGIN", 0.0)
+    values = [float((i * 7919) % 100_003) for i in range(100_003)]
+    got = R.numeric_profile(spark.createDataFrame([(v,) for v in values], "x double").repartition(8)).first()
+    assert (got["q25"], got["q50"], got["q75"]) == (25000.5, 50001.0, 75001.5)
 
 
 def hot(spark):
