@@ -192,8 +192,14 @@ def _pack(doc_ids: list, ids: list[bytes], sentences: list[np.ndarray], first_se
     return pa.RecordBatch.from_arrays(columns, names), len(cuts)
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece of a document, see SCHEMA."""
+def pack_documents(
+    docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", keep_words: bool = True
+) -> DataFrame:
+    """One row per piece of a document, see SCHEMA.
+
+    Workers keep the words they know for later tasks; with keep_words=False each task forgets them at its end
+    and leaves the memory to other steps. The result is the same.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, closing = tokenizer(vocabulary), CLOSING.to_bytes(4, "little")
@@ -214,6 +220,9 @@ def pack_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
                         doc_ids, ids, sentences, size = [], [], [], 0
         if ids:
             yield _pack(doc_ids, ids, sentences, sequence)[0]
+        if not keep_words:
+            tok.cache.clear()
+            tok.heads.clear()
 
     return plain_text(docs, id_col, text_col).mapInArrow(run, SCHEMA)
 

@@ -152,9 +152,16 @@ def _encode(texts: list[str]) -> list[bytes]:
     return [t.encode("utf-8", "replace") for t in texts]
 
 
+def _small(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches in slices, so that few texts at a time are held as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bucket weights of each text: its document vector is the weighted sum of the buckets' vectors."""
-    for batch in batches:
+    for batch in _small(batches):
         ids, weights = [], []
         for text in _encode(batch.column(0).to_pylist()):
             counts, sizes = np.zeros(0, np.int32), np.zeros(KINDS)
@@ -244,7 +251,7 @@ def score_quality(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bias = shared.value
-        for batch in batches:
+        for batch in _small(batches):
             z = logits(_encode(batch.column(1).to_pylist()), table, bias)
             score = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["doc_id", "score"])
@@ -260,7 +267,7 @@ def keep_quality(docs: DataFrame, model: tuple[np.ndarray, float], least: float
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bias = shared.value
-        for batch in batches:
+        for batch in _small(batches):
             z = logits(_encode([t or "" for t in batch.column(at).to_pylist()]), table, bias)
             yield batch.filter(pa.array(z >= bound))
 
