@@ -1,7 +1,8 @@
 """Chat formatting: tool calls linked to results, ordered, validated and written as canonical JSON.
 
-Calls and results meet in a hash join on their identifier, each side reduced to one row per identifier first,
-so repeated calls and results of one identifier never multiply. A call may name the call it follows; its depth
+Results meet calls in a hash join on their identifier, each side reduced to one row per identifier first,
+so repeated calls and results of one identifier never multiply; what is built in memory there are identifiers
+without texts, one per call, and texts follow in joins that can spill. A call may name the call it follows; its depth
 (the number of calls before it) comes from pointer doubling, so a chain of n calls takes log2(n) joins. Sorted
 by (depth, turn, call_id), every call stands after the one it follows. Arguments are checked against the
 fields of the tool's schema and written as JSON with sorted keys and no white space.
@@ -104,7 +105,11 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     fields = F.struct("field", "type", "required", "minimum", "maximum")
     tools = schemas.groupBy("tool").agg(F.array_sort(F.collect_list(fields)).alias("fields"))  # as long as a schema
 
-    joined = ordered.withColumn("is_call", F.lit(True)).join(answers.hint("shuffle_hash"), ID, "full").join(tools, "tool", "left")
+    called = unique.select(*ID, F.lit(True).alias("is_call"))
+    tagged = stage(answers.join(called.hint("shuffle_hash"), ID, "left"))
+    linked = ordered.join(tagged.where("is_call").drop("is_call"), ID, "left").withColumn("is_call", F.lit(True))
+    alone = tagged.where("is_call IS NULL")
+    joined = linked.unionByName(alone, allowMissingColumns=True).join(tools, "tool", "left")
     parsed = F.try_parse_json("arguments")
     joined = joined.withColumn("parsed", F.when(F.schema_of_variant(parsed).startswith("OBJECT"), parsed))
     is_call = F.coalesce("is_call", F.lit(False))
@@ -154,7 +159,7 @@ def _calls_and_results(conversations: DataFrame) -> tuple[DataFrame, DataFrame,
     return calls, results, others
 
 
-def op3_query(conversations: DataFrame) -> DataFrame:
+def _linked_turns(conversations: DataFrame) -> DataFrame:
     """Assistant turns as calls (their text, words and lines as arguments, each after the assistant turn two
     turns back) and user turns as results of the turn before."""
     spark = conversations.sparkSession
@@ -176,15 +181,15 @@ def _unlinked(rows: DataFrame, details: list[str], kept: str = "true") -> DataFr
     return both.withColumn("more", more).where("more > 0").select(*ID, *details, F.explode(F.sequence(F.lit(1), "more")).alias("nth")).drop("nth")
 
 
-def op3_turns_query(conversations: DataFrame) -> DataFrame:
-    """op3_query and all that it leaves aside: n_rows of all rows together is the number of input rows.
+def op3_query(conversations: DataFrame) -> DataFrame:
+    """Every turn of every conversation: n_rows of all rows together is the number of input rows.
 
     kind: "call" (with its first result, if any), "result" (without a call, or not the first of its call) or
     "message" (system turns, user turns at or before turn 0 or without turn, and any other role). Messages stand
     at depth 0 before the calls of their turn; a role other than system, user and assistant is an error.
     """
     calls, results, others = _calls_and_results(conversations)
-    linked = op3_query(conversations).withColumn("kind", F.when(F.col("tool").isNotNull(), "call").otherwise("result"))
+    linked = _linked_turns(conversations).withColumn("kind", F.when(F.col("tool").isNotNull(), "call").otherwise("result"))
     linked = linked.withColumn("role", F.when(F.col("kind") == "call", "assistant").otherwise("user")).withColumn(
         "n_rows", F.lit(1).cast("bigint") + ((F.col("kind") == "call") & (F.col("n_results") > 0)).cast("bigint"))
 
@@ -210,8 +215,8 @@ ORACLE = f"""
 WITH turns AS (SELECT conv_id, turn, role, coalesce(text, '') AS text,
     CAST(len(list_filter(string_split(coalesce(text, ''), ' '), lambda x: x <> '')) AS BIGINT) AS words,
     CAST(len(string_split(coalesce(text, ''), chr(10))) AS BIGINT) AS lines FROM conversations),
-raw AS (SELECT conv_id, conv_id || ':' || turn AS call_id, turn, CASE WHEN words <= {SHORT_WORDS} THEN 'reply' ELSE 'answer' END AS tool,
-    words, lines, text, CASE WHEN turn >= 2 THEN conv_id || ':' || (turn - 2) END AS after FROM turns WHERE role = 'assistant'),
+raw AS (SELECT conv_id, concat_ws(':', conv_id, turn) AS call_id, turn, CASE WHEN words <= {SHORT_WORDS} THEN 'reply' ELSE 'answer' END AS tool,
+    words, lines, text, CASE WHEN turn >= 2 THEN concat_ws(':', conv_id, turn - 2) END AS after FROM turns WHERE role = 'assistant'),
 numbered AS (SELECT *, count(*) OVER (PARTITION BY conv_id, call_id) AS n_calls,
     row_number() OVER (PARTITION BY conv_id, call_id ORDER BY turn, tool, '{{"words":' || words || ',"text":' || to_json(text)) AS nth FROM raw),
 calls AS (SELECT c.*, p.call_id IS NULL AND c.after IS NOT NULL AS lost, p.call_id AS parent
@@ -219,12 +224,14 @@ calls AS (SELECT c.*, p.call_id IS NULL AND c.after IS NOT NULL AS lost, p.call_
 starts AS (SELECT *, sum(CASE WHEN parent IS NULL THEN 1 ELSE 0 END)
     OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS chain FROM calls),
 levels AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 2, chain ORDER BY turn) - 1 AS depth FROM starts),
-answers AS (SELECT conv_id, conv_id || ':' || (turn - 1) AS call_id, count(*) AS n_results, min(text) AS content
-    FROM turns WHERE role = 'user' AND turn > 0 GROUP BY ALL),
+replies AS (SELECT conv_id, concat_ws(':', conv_id, turn - 1) AS call_id, text,
+    row_number() OVER (PARTITION BY conv_id, turn ORDER BY text) AS nth FROM turns WHERE role = 'user' AND turn > 0),
+answers AS (SELECT conv_id, call_id, count(*) AS n_results, min(text) AS content FROM replies GROUP BY ALL),
 both_sides AS (SELECT coalesce(l.conv_id, a.conv_id) AS conv_id, coalesce(l.call_id, a.call_id) AS call_id, l.turn, l.tool, l.depth,
     l.words, l.lines, l.text, l.parent, l.lost, l.n_calls, l.call_id IS NOT NULL AS is_call, coalesce(a.n_results, 0) AS n_results, a.content
     FROM levels l FULL JOIN answers a ON l.conv_id = a.conv_id AND l.call_id = a.call_id)
-SELECT conv_id, call_id, turn, tool, depth, n_results,
+SELECT conv_id, call_id, turn, tool, depth, n_results, CASE WHEN is_call THEN 'call' ELSE 'result' END AS kind,
+    CASE WHEN is_call THEN 'assistant' ELSE 'user' END AS role, CAST(CASE WHEN is_call AND n_results > 0 THEN 2 ELSE 1 END AS BIGINT) AS n_rows,
     array_to_string(list_filter([
         CASE WHEN lines > CASE tool WHEN 'answer' THEN 12 ELSE 2 END THEN 'lines: too large' END,
         CASE WHEN NOT is_call THEN 'no call' END,
@@ -238,4 +245,19 @@ SELECT conv_id, call_id, turn, tool, depth, n_results,
         '"call_id":' || to_json(call_id), '"conv_id":' || conv_id, '"result":' || to_json(content),
         '"tool":' || to_json(tool)], lambda x: x IS NOT NULL), ',') || '}}' AS message
 FROM both_sides
+UNION ALL
+SELECT conv_id, call_id, turn, tool, NULL, 0, 'call', 'assistant', 1, 'repeated call',
+    '{{' || array_to_string(list_filter([
+        '"after":' || to_json(after), '"arguments":{{"lines":' || lines || ',"text":' || to_json(text) || ',"words":' || words || '}}',
+        '"call_id":' || to_json(call_id), '"conv_id":' || conv_id, '"tool":' || to_json(tool)], lambda x: x IS NOT NULL), ',') || '}}'
+FROM numbered WHERE nth > 1
+UNION ALL
+SELECT conv_id, call_id, NULL, NULL, NULL, 0, 'result', 'user', 1, 'repeated result',
+    '{{"call_id":' || to_json(call_id) || ',"conv_id":' || conv_id || ',"result":' || to_json(text) || '}}'
+FROM replies WHERE nth > 1
+UNION ALL
+SELECT conv_id, NULL, turn, NULL, 0, 0, 'message', role, 1, CASE WHEN coalesce(role IN ('system', 'user'), false) THEN '' ELSE 'unknown role' END,
+    '{{' || array_to_string(list_filter(['"content":' || to_json(text), '"conv_id":' || conv_id, '"role":' || to_json(role), '"turn":' || turn],
+        lambda x: x IS NOT NULL), ',') || '}}'
+FROM turns WHERE NOT coalesce(role = 'assistant' OR role = 'user' AND turn > 0, false)
 """

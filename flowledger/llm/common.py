@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..session import shared_folder
 from ..sources.staging import stage
 
-__all__ = ["LOWER", "batches_of", "hash_lanes", "plain_text", "read_table", "release", "shared_folder", "shuffles_dropped", "stage", "words_of"]
+__all__ = ["LOWER", "batches_of", "free_names", "hash_lanes", "plain_text", "read_table", "release", "shared_folder", "shuffles_dropped", "stage", "words_of"]
 
 # A-Z to a-z and nothing else.
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -34,6 +34,12 @@ def hash_lanes(*columns: Column) -> list[Column]:
     return [F.xxhash64(F.lit(lane), *columns) for lane in (1, 2)]
 
 
+def free_names(taken: Iterable[str], *names: str) -> list[str]:
+    """The names, each with as many underscores before it as it takes to be none of the taken ones."""
+    used = {c.lower() for c in taken}
+    return [next(c for n in range(1, len(used) + 2) if (c := "_" * n + name) not in used) for name in names]
+
+
 def words_of(text: str) -> list[bytes]:
     """A-Z lower-cased, split at ASCII white space (20, 09-0D); empty for no words."""
     return text.encode("utf-8", "surrogatepass").translate(LOWER).split()

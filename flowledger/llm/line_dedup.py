@@ -6,11 +6,7 @@ order for all suffixes; the rank of twice as many lines is the rank of the pair
 on). Suffixes of equal rank are an interval of the suffix array with a longest common prefix of at least
 2^k lines. The rounds end when no two suffixes share a rank.
 
-Every other member of an interval starts a copy: its 2^k lines are deleted if they have at least min_words
-words together. A repeated run of n lines is covered by the two windows of the largest power of two within
-n, so windows of powers of two reach all lines of a run; the word limit counts for windows.
-
-With whole_runs the word limit counts for whole repeated runs. The stored ranks then give each suffix the length of its longest common prefix with an earlier one, from the
+The stored ranks then give each suffix the length of its longest common prefix with an earlier one, from the
 largest power of two down: suffixes with one common prefix are a node, those of a node that share the rank of the
 2^k lines after it move on to a node that is 2^k lines longer, and the first of them stays behind in the node as
 well, to be met by others in smaller steps. A node with one member left has nothing to compare; together nodes have
@@ -33,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import hash_lanes, release, stage
+from .common import free_names, hash_lanes, release, stage
 
 MIN_WORDS = 8
 
@@ -91,18 +87,6 @@ def _levels(sequence: DataFrame) -> list[DataFrame]:
     return levels
 
 
-def repeated_windows(sequence: DataFrame, min_words: int) -> DataFrame:
-    """(g, reach): the longest window of 2^k lines at g that occurs earlier and has enough words ends before reach."""
-    levels = _levels(sequence)
-    found = sequence.select("g", F.col("g").alias("reach")).limit(0)
-    for k, level in enumerate(levels):
-        found = found.union(level.where((F.col("first") < F.col("g")) & (F.col("w") >= min_words)).select("g", (F.col("g") + (1 << k)).alias("reach")))
-    windows = stage(found.groupBy("g").agg(F.max("reach").alias("reach")))
-    for old in levels:
-        release(old)
-    return windows
-
-
 def repeated_runs(sequence: DataFrame, min_words: int) -> DataFrame:
     """(g, reach): the longest run of lines at g that occurs earlier as well ends before reach and has enough words."""
     levels = _levels(sequence)
@@ -143,65 +127,66 @@ def repeated_runs(sequence: DataFrame, min_words: int) -> DataFrame:
 
 def remove_repeated_lines(
     docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", counts: tuple[str, str] | None = None,
-    whole_runs: bool = False,
 ) -> DataFrame:
     """docs with later copies of line runs deleted from the text; counts names two more columns for the
     number of lines before and of lines deleted."""
     text = F.col(f"`{text_col}`")
     t1, t2 = hash_lanes(text)
     key = F.struct(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), t1.alias("t1"), t2.alias("t2"))
+    own, masked, gone_at = free_names(docs.columns, "key", "masked", "deleted")
     slim = docs.select(key.alias("k"), text.alias("text")).select("k.*", "text")
     sequence = stage(_sequence(slim))
-    runs = (repeated_runs if whole_runs else repeated_windows)(sequence, min_words)
+    runs = repeated_runs(sequence, min_words)
     before = Window.partitionBy("start").orderBy("g")
     marked = sequence.join(runs, "g", "left").withColumn("deleted", F.coalesce(F.max("reach").over(before) > F.col("g"), F.lit(False)))
     masks = marked.groupBy("start").agg(
         F.first("doc_id").alias("doc_id"), F.first("t1").alias("t1"), F.first("t2").alias("t2"),
         F.array_sort(F.collect_list(F.struct("g", "deleted"))).alias("lines"),
     ).where(F.exists("lines", lambda x: x["deleted"])).select(
-        F.struct("doc_id", "t1", "t2").alias("__key"), F.transform("lines", lambda x: x["deleted"]).alias("__deleted")
+        F.struct("doc_id", "t1", "t2").alias(masked), F.transform("lines", lambda x: x["deleted"]).alias(gone_at)
     )
     masks = stage(masks)
     for old in (sequence, runs):
         release(old)
-    out = docs.withColumn("__key", key)
-    joined = out.join(masks.withColumnRenamed("__key", "__masked"), out["__key"].eqNullSafe(F.col("__masked")), "left")
+    joined = docs.withColumn(own, key).join(masks, F.col(own).eqNullSafe(F.col(masked)), "left")
     lines = F.split(text, "\n")
-    kept = F.filter(F.zip_with(lines, F.col("__deleted"), lambda x, gone: F.when(~gone, x)), lambda x: x.isNotNull())
-    new_text = F.when(F.col("__deleted").isNull(), text).otherwise(F.array_join(kept, "\n"))
+    kept = F.filter(F.zip_with(lines, F.col(gone_at), lambda x, gone: F.when(~gone, x)), lambda x: x.isNotNull())
+    new_text = F.when(F.col(gone_at).isNull(), text).otherwise(F.array_join(kept, "\n"))
     more = []
     if counts:
-        gone = F.size(F.filter(F.coalesce("__deleted", F.array().cast("array<boolean>")), lambda x: x))
+        gone = F.size(F.filter(F.coalesce(gone_at, F.array().cast("array<boolean>")), lambda x: x))
         more = [F.when(text.isNull(), 0).otherwise(F.size(lines)).alias(counts[0]), gone.alias(counts[1])]
     columns = [new_text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
     return joined.select(*columns, *more)
 
 
-def op1_query(docs: DataFrame, whole_runs: bool = False) -> DataFrame:
-    found = remove_repeated_lines(docs.select("doc_id", "text"), counts=("n_lines", "n_removed"), whole_runs=whole_runs)
+def op1_query(docs: DataFrame) -> DataFrame:
+    found = remove_repeated_lines(docs.select("doc_id", "text"), counts=("n_lines", "n_removed"))
     return found.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("n_lines").cast("bigint").alias("n_lines"),
         F.col("n_removed").cast("bigint").alias("n_removed"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"),
     )
 
 
-# Windows of 1, 2, 4, ... lines by their text; the document order is that of doc_id, which is unique here.
+# Pairs of equal lines, those on one diagonal of two documents without a gap as one run; doc_id is unique here.
 ORACLE = f"""
-WITH lines AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
-each AS (SELECT doc_id, l, len(l) AS n, unnest(range(1, len(l) + 1)) AS pos FROM lines),
-wide AS (SELECT doc_id, l, n, pos, unnest([CAST(1 << k AS BIGINT) FOR k IN range(0, 40) IF (1 << k) <= n - pos + 1]) AS w FROM each),
-windows AS (
-  SELECT doc_id, pos, w, md5(array_to_string(l[pos:pos + w - 1], chr(10))) AS h,
-         len(list_filter(string_split(array_to_string(l[pos:pos + w - 1], ' '), ' '), lambda x: x <> '')) AS words FROM wide),
-copies AS (
-  SELECT doc_id, pos, w, words,
-         row_number() OVER (PARTITION BY w, h ORDER BY doc_id, pos) AS nth FROM windows),
-gone AS (
-  SELECT DISTINCT doc_id, unnest(range(pos, pos + w)) AS pos FROM copies WHERE nth > 1 AND words >= {MIN_WORDS}),
+WITH each AS (
+  SELECT row_number() OVER (ORDER BY doc_id, pos) AS g, doc_id, line, len(list_filter(string_split(line, ' '), lambda x: x <> '')) AS words
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos
+        FROM documents WHERE text IS NOT NULL)),
+summed AS (SELECT *, sum(words) OVER (ORDER BY g) AS upto FROM each),
+pairs AS (SELECT a.g, a.g - b.g AS back, a.doc_id, b.doc_id AS earlier FROM each a JOIN each b ON a.line = b.line AND b.g < a.g),
+islands AS (SELECT *, g - row_number() OVER (PARTITION BY doc_id, earlier, back ORDER BY g) AS island FROM pairs),
+ends AS (SELECT g, max(g) OVER (PARTITION BY doc_id, earlier, back, island) AS last FROM islands),
+runs AS (SELECT g, max(last) AS last FROM ends GROUP BY g),
+reaches AS (
+  SELECT r.g, r.last FROM runs r JOIN summed f ON f.g = r.g JOIN summed t ON t.g = r.last WHERE t.upto - f.upto + f.words >= {MIN_WORDS}),
+marked AS (
+  SELECT e.doc_id, e.g, e.line, coalesce(max(r.last) OVER (PARTITION BY e.doc_id ORDER BY e.g) >= e.g, false) AS gone
+  FROM each e LEFT JOIN reaches r ON r.g = e.g),
 kept AS (
-  SELECT e.doc_id, coalesce(string_agg(CASE WHEN g.pos IS NULL THEN e.l[e.pos] END, chr(10) ORDER BY e.pos), '') AS t,
-         count(g.pos) AS n_removed, count(*) AS n_lines
-  FROM each e LEFT JOIN gone g ON e.doc_id = g.doc_id AND e.pos = g.pos GROUP BY e.doc_id)
+  SELECT doc_id, coalesce(string_agg(CASE WHEN NOT gone THEN line END, chr(10) ORDER BY g), '') AS t,
+         count(*) FILTER (WHERE gone) AS n_removed, count(*) AS n_lines FROM marked GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(t) AS text_sha256
 FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """

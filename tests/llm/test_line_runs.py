@@ -25,7 +25,7 @@ def brute(texts: list[str], least: int) -> list[str]:
 
 def cleaned(spark, texts: list[str]) -> list[str]:
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    return [r.text for r in line_dedup.remove_repeated_lines(df, whole_runs=True).orderBy("doc_id").collect()]
+    return [r.text for r in line_dedup.remove_repeated_lines(df).orderBy("doc_id").collect()]
 
 
 def test_words_count_for_the_whole_run(spark):
@@ -39,3 +39,10 @@ def test_equals_brute_force(spark):
     lines = ["a b c", "d e", "f", "g h i j", ""]
     texts = ["\n".join(rng.choices(lines, k=rng.randint(1, 14))) for _ in range(40)] + ["\n".join(["a b c", "f"] * 9)]
     assert cleaned(spark, texts) == brute(texts, line_dedup.MIN_WORDS)
+
+
+def test_names_of_other_columns(spark):
+    rows = [(1, "a b c d e f g h", 1, 2, "x"), (2, "a b c d e f g h", 3, 4, "y")]
+    names = "doc_id bigint, text string, __deleted int, _key int, _Masked string"
+    got = line_dedup.remove_repeated_lines(spark.createDataFrame(rows, names), counts=("before", "gone")).orderBy("doc_id").collect()
+    assert [tuple(r) for r in got] == [(*rows[0], 1, 0), (2, "", 3, 4, "y", 1, 1)]

@@ -49,19 +49,17 @@ def test_components(spark):
 def brute_lines(rows, min_words):
     """(id, text) pairs to their texts after deletion; equal pairs are one document."""
     order = sorted({(i is not None, i or 0, t) for i, t in rows if t is not None})
-    seen, out = {}, {}
+    seen, out = set(), {}
     for known, i, t in order:
         lines = t.split("\n")
         gone = [False] * len(lines)
         for p in range(len(lines)):
-            w = 1
-            while p + w <= len(lines):
-                run = tuple(lines[p : p + w])
-                copy = run in seen
-                seen.setdefault(run, True)
-                if copy and sum(bool(x) for line in run for x in line.split(" ")) >= min_words:
-                    gone[p : p + w] = [True] * w
-                w *= 2
+            longest = 0
+            while p + longest < len(lines) and tuple(lines[p : p + longest + 1]) in seen:
+                longest += 1
+            if sum(bool(x) for line in lines[p : p + longest] for x in line.split(" ")) >= min_words:
+                gone[p : p + longest] = [True] * longest
+            seen.update(tuple(lines[p:q]) for q in range(p + 1, len(lines) + 1))
         out[i if known else None, t] = "\n".join(x for x, g in zip(lines, gone) if not g)
     return out
 
@@ -93,7 +91,7 @@ def test_line_dedup_ranks_are_a_suffix_order(spark):
         {"t1": F.lit(1).cast("bigint"), "t2": F.lit(2).cast("bigint")}))
     rows = {r.g: r for r in sequence.collect()}
     assert [rows[g].left for g in sorted(rows)] == [6, 5, 4, 3, 2, 1, 0]
-    windows = {r.g - min(rows): r.reach - min(rows) for r in line_dedup.repeated_windows(sequence, 1).collect()}
+    windows = {r.g - min(rows): r.reach - min(rows) for r in line_dedup.repeated_runs(sequence, 1).collect()}
     assert windows == {2: 4, 3: 4, 5: 7, 6: 7}
 
 
