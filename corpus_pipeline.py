@@ -8,6 +8,10 @@ Every stage takes all that the one before kept; all but the last return the colu
 - near_dedup: of each group of near duplicates (five-word shingles, similarity 0.8) the smallest id stays.
   Rows that repeat id and text count once. Rows without an id stay.
 - packing: what is left is cut into sequences of at most 4096 tokens.
+
+Null and empty texts are scored like texts without words, have nothing to cut and are near no other text; packed,
+they are their end token. Very long texts are handled whole in every stage. Between near duplicates the smallest
+id decides, so there are no ties. An empty table gives an empty one, and columns of any further name go along.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowledger.llm import line_dedup, minhash, packing, quality
-from flowledger.llm.common import hash_lanes, read_table, stage
+from flowledger.llm.common import free_names, hash_lanes, read_table, stage
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,18 +31,18 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    counts = ("__lines", "__removed")
-    cut = line_dedup.remove_repeated_lines(docs, counts=counts, whole_runs=True).where("__removed = 0 OR text != ''")
+    lines, removed = free_names(docs.columns, "lines", "removed")
+    cut = line_dedup.remove_repeated_lines(docs, counts=(lines, removed)).where((F.col(removed) == 0) | (F.col("text") != ""))
     length = F.length("text").cast(docs.schema["n_chars"].dataType)
-    return cut.withColumn("n_chars", F.when(F.col("__removed") > 0, length).otherwise(F.col("n_chars"))).drop(*counts)
+    return cut.withColumn("n_chars", F.when(F.col(removed) > 0, length).otherwise(F.col("n_chars"))).drop(lines, removed)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     gone = minhash.near_duplicates(docs, size=5, percent=80).where("NOT kept").select("doc_id")
     left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    first, second = hash_lanes(F.col("text"))
-    keyed = left.withColumns({"__first": first, "__second": second})
-    return keyed.dropDuplicates(["doc_id", "__first", "__second"]).drop("__first", "__second")
+    lanes = free_names(docs.columns, "first", "second")
+    keyed = left.withColumns(dict(zip(lanes, hash_lanes(F.col("text")))))
+    return keyed.dropDuplicates(["doc_id", *lanes]).drop(*lanes)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
