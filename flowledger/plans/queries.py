@@ -23,6 +23,7 @@ from ..operators import forecast as FC
 from ..operators import presentation as V
 from ..operators import profile as R
 from ..operators import quality as Q
+from ..operators import ranges as G
 from ..operators.periods import normalize_periods
 from ..schemas import MAIN_VOLUMES, PRODUCTION_COLUMNS
 from ..sources.staging import stage
@@ -323,6 +324,50 @@ def normalized_periods(spark, sf):
         "DaysFromFirstProducing")
 
 
+@register("""SELECT n.WellID, CAST(n.k AS INTEGER) AS NormalizedPeriod, n.target AS HoursCumulative, c.h AS RowHours, c.ProductionMonth
+  FROM normalized n ASOF LEFT JOIN (SELECT WellID, HoursCumulative AS h, min(ProductionMonth) AS ProductionMonth FROM calendar GROUP BY ALL) c
+  ON n.WellID = c.WellID AND n.target <= c.h""")
+def period_rows(spark, sf):
+    """The calendar row in which each period ends: the first with as many hours."""
+    calendar = stage(C.validate_calendar(_validated(spark, sf).clean).clean)
+    rows = calendar.groupBy("WellID", F.col("HoursCumulative").alias("RowHours")).agg(F.min("ProductionMonth").alias("ProductionMonth"))
+    periods = normalize_periods(calendar).select("WellID", "NormalizedPeriod", "HoursCumulative")
+    return G.as_of(periods, rows, ["WellID"], "HoursCumulative", ["RowHours", "ProductionMonth"], "RowHours", forward=True)
+
+
+def _readings(spark, sf) -> DataFrame:
+    """Raw rows by day; three pools, two areas, whatever the number of rows."""
+    return X.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_returnflag").alias("Pool"), F.col("l_linestatus").alias("Area"),
+        F.col("l_shipdate").cast("date").alias("Day"), F.col("l_quantity").alias("OilProduction"),
+        F.col("l_extendedprice").alias("GasProduction"))
+
+
+_READINGS = """(SELECT l_orderkey, l_linenumber, l_returnflag AS Pool, l_linestatus AS Area, CAST(l_shipdate AS DATE) AS Day,
+  l_quantity AS OilProduction, l_extendedprice AS GasProduction FROM lineitem)"""
+
+
+@register(f"""SELECT l_orderkey, l_linenumber, Pool, Day, rnd(sum(OilProduction) OVER w, 2) AS OilProductionCumulative,
+  rnd(sum(GasProduction) OVER w, 2) AS GasProductionCumulative FROM {_READINGS}
+  WINDOW w AS (PARTITION BY Pool ORDER BY Day, l_orderkey, l_linenumber, OilProduction, GasProduction ROWS UNBOUNDED PRECEDING)""")
+def raw_running_totals(spark, sf):
+    """Running totals over raw rows of keys that hold a quarter to half of them each; order and line may repeat."""
+    measures = ["OilProduction", "GasProduction"]
+    totals = G.running_sums(_readings(spark, sf), measures, ["Pool"], ["Day", "l_orderkey", "l_linenumber", *measures])
+    return totals.select("l_orderkey", "l_linenumber", "Pool", "Day", *r([f"{m}Cumulative" for m in measures], 2))
+
+
+@register(f"""SELECT t.l_orderkey, t.l_linenumber, t.Area, t.Day, f.Day AS LastDay, f.GasProduction AS LastGas
+  FROM {_READINGS} t ASOF LEFT JOIN (SELECT Area, Day, max(GasProduction) AS GasProduction FROM {_READINGS} WHERE Pool <> 'R' GROUP BY ALL) f
+  ON t.Area = f.Area AND t.Day >= f.Day WHERE t.Pool = 'R'""")
+def reading_as_of(spark, sf):
+    """For rows of one pool the last reading of the others in their area, its largest on that day."""
+    readings = _readings(spark, sf)
+    others = readings.where("Pool <> 'R'").select("Area", F.col("Day").alias("LastDay"), F.col("GasProduction").alias("LastGas"))
+    targets = readings.where("Pool = 'R'").select("l_orderkey", "l_linenumber", "Area", "Day")
+    return G.as_of(targets, others, ["Area"], "Day", ["LastDay", "LastGas"], "LastDay")
+
+
 # ---- decline fit ----------------------------------------------------------------------------
 
 _KEYS = ["WellID", "ProductionType"]
