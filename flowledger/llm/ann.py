@@ -14,7 +14,8 @@ verified on the original vectors in double precision and shrink d, then the othe
 stops. A neighbour is missed with probability 1 - CONFIDENCE at most.
 
 Vectors that are null, empty, zero, or hold null or non-finite components take no part, as query or as
-candidate; nor do rows with a null id. A table of different lengths is searched by length. Queries with fewer than k other
+candidate; nor do rows with a null id. A table of different lengths is searched by length, however
+many there are. Queries with fewer than k other
 rows get all they have. Equal scores are ordered by the smaller id; rows that share an id are never each
 other's neighbours and appear once. Other columns are not read.
 """
@@ -185,24 +186,51 @@ def nearest(
     table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every query row; see the module."""
-    vectors = stage(clean_vectors(table, id_col, vector_col).withColumn("size", F.size("vector")))
-    # Almost always one length; every length is a search of its own.
-    lengths = sorted(r[0] for r in vectors.select("size").distinct().limit(1000).collect())
-    parts = [_nearest(vectors.where(F.col("size") == n), n, is_query, k, id_col) for n in lengths]
+    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
+    vectors = stage(clean_vectors(table, id_col, vector_col).withColumns({"size": F.size("vector"), "norm": norm}))
+    # Lengths of at least two blocks have a tree each; all others, one leaf each, are searched together.
+    sizes = vectors.groupBy("size").agg(F.count(F.lit(1)).alias("n"))
+    many = sorted(r["size"] for r in sizes.where(F.col("n") >= 2 * BLOCK).collect())
+    parts = [_nearest(vectors.where(F.col("size") == n), n, is_query, k, id_col) for n in many]
+    out = _nearest_in_leaf(vectors.where(~F.col("size").isin(many)), is_query, k, id_col)
     release(vectors)
-    if not parts:
-        return table.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    out = parts[0]
-    for p in parts[1:]:
+    for p in parts:
         out = out.unionByName(p)
     return out
 
 
+def _nearest_in_leaf(vectors: DataFrame, is_query: Column, k: int, id_col: str) -> DataFrame:
+    """Lengths of fewer than two blocks: each is one leaf, so blocks and chunks of queries meet by length."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                ids, x = _unpack(batch.column(0)[r].values)
+                query_ids, q = _unpack(batch.column(1)[r].values)
+                projection = Projection(x.shape[1], batch.column(2)[r].as_py() * (1 + 1e-12))
+                row, found, score = search_block(ids, x, query_ids, q, np.full(len(q), -np.inf), k, projection)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(query_ids[row]), pa.array(found), pa.array(score)], ["query_id", "vec_id", "score"])
+
+    items = F.collect_list(F.struct("id", "vector"))
+    blocks = vectors.groupBy("size", F.pmod(F.xxhash64("id", "vector"), F.lit(2)).alias("block")).agg(items.alias("items"))
+    largest = vectors.groupBy("size").agg(F.max("norm").alias("largest"))
+    asked = vectors.withColumn("_id", F.col("id")).select(F.col("_id").alias(id_col), "id", "vector", "size").where(is_query)
+    chunks = asked.groupBy("size", F.pmod(F.xxhash64("id"), F.lit(2 * BLOCK // CHUNK)).alias("chunk")).agg(
+        F.collect_list(F.struct("id", "vector")).alias("queries"))
+    met = chunks.join(largest, "size").join(blocks, "size").select("items", "queries", "largest")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    with batches_of(vectors.sparkSession, 16):
+        every = stage(met.mapInArrow(run, "query_id bigint, vec_id bigint, score double"))
+    one_each = every.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    best = stage(one_each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k))
+    release(every)
+    return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
 def _nearest(vectors: DataFrame, size: int, is_query: Column, k: int, id_col: str) -> DataFrame:
     spark = vectors.sparkSession
-    n, largest = vectors.agg(
-        F.count(F.lit(1)), F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)))
-    ).first()
+    n, largest = vectors.agg(F.count(F.lit(1)), F.max("norm")).first()
     projection = Projection(size, largest * (1 + 1e-12))
     sample = vectors.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("vector").toPandas()["vector"]
     points = projection.rows(np.stack(sample.to_list()).astype(float))
