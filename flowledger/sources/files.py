@@ -26,15 +26,23 @@ def read_csv(spark: SparkSession, folder: str) -> DataFrame:
     Columns are matched by name: files with the same header line are one scan, scans are united and
     columns that a file lacks are null. Quotes are doubled inside quotes, as in archives; quoted line breaks
     belong to the field. A file without a header line adds nothing.
+
+    One aggregate over the lines finds each file's header and whether some line has an odd number of quotes.
+    Where none has, no field runs over a line's end and the file is split between tasks at any line; the other files
+    are one task each. Lines of blanks alone are rows too, which only the scan of whole files gives, so they
+    count as odd.
     """
     files = spark.read.option("pathGlobFilter", "*.[cC][sS][vV]")
     lines = files.option("wholetext", False).text(folder).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value")
-    # One row per file, then one per distinct header: as many as there are layouts.
-    first = lines.filter("block = 0").groupBy("path").agg(F.first("value").alias("header"))
-    layouts = first.groupBy("header").agg(F.collect_list("path").alias("paths")).orderBy("header").collect()
+        F.col("_metadata.file_path").alias("path"), "value",
+        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("place"))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    odd = (quotes % 2 == 1) | ((F.col("value") != "") & (F.trim("value", F.lit(" \t")) == ""))
+    # One row per file, then one per distinct header and way to read: as many as there are layouts.
+    first = lines.groupBy("path").agg(F.min_by("value", "place").alias("header"), F.max(odd).alias("whole"))
+    layouts = first.groupBy("header", "whole").agg(F.collect_list("path").alias("paths")).orderBy("header", "whole").collect()
     parts = [
-        spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(row["paths"])
+        spark.read.option("header", True).option("escape", '"').option("multiLine", row["whole"]).csv(row["paths"])
         for row in layouts
     ]
     if not parts:
