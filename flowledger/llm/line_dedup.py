@@ -90,15 +90,16 @@ def _levels(sequence: DataFrame) -> list[DataFrame]:
 def repeated_runs(sequence: DataFrame, min_words: int) -> DataFrame:
     """(g, reach): the longest run of lines at g that occurs earlier as well ends before reach and has enough words."""
     levels = _levels(sequence)
-    # Members of nodes: the node and its least member, the place, lines after it, and lines and words of the common prefix.
-    kind = "node bigint, least bigint, g bigint, left bigint, length bigint, words bigint"
+    # Members of nodes: the least member, which names a node together with its length, the place, lines after it, and
+    # lines and words of the common prefix. Two nodes of one length with one least member would be the same suffixes.
+    kind = "least bigint, g bigint, left bigint, length bigint, words bigint"
     nodes = sequence.sparkSession.createDataFrame([], kind)
     done = []
     for k in range(len(levels) - 1, -1, -1):
         width, level = 1 << k, levels[k]
         # Suffixes without common prefix so far: all windows of this level but those that follow a first one in a longer level.
         # The first of equal windows is first among the longer ones too, so the level above knows all that have moved on.
-        roots = level.select(F.lit(-1).cast("bigint").alias("node"), F.lit(None).cast("bigint").alias("least"), "g", F.col("left").cast("bigint").alias("left"),
+        roots = level.select(F.lit(-1).cast("bigint").alias("least"), "g", F.col("left").cast("bigint").alias("left"),
                              F.lit(0).cast("bigint").alias("length"), F.lit(0).cast("bigint").alias("words"), "w", "rank")
         if k + 1 < len(levels):
             roots = roots.join(levels[k + 1].where("g <> first").select("g"), "g", "left_anti")
@@ -106,16 +107,17 @@ def repeated_runs(sequence: DataFrame, min_words: int) -> DataFrame:
         below = nodes.select(*nodes.columns, F.when(F.col("left") >= F.col("length"), F.col("g") + F.col("length")).alias("at")).join(
             after.withColumnRenamed("g", "at"), "at", "left").drop("at")
         members = stage(below.unionByName(roots))
-        key = ["node", "rank"]
+        key = ["least", "length", "rank"]
+        # Stored, so that the join has plain exchanges on both sides and a hot rank is split.
         groups = members.where("rank IS NOT NULL").groupBy(*key).agg(F.count(F.lit(1)).alias("members"), F.min("g").alias("first"))
-        groups = stage(groups.where("members > 1").repartitionByRange(*key).sortWithinPartitions(*key).withColumn(
-            "next", F.monotonically_increasing_id() * 64 + k))
+        groups = stage(groups.where("members > 1").drop("members"))
         # One row of each member for the longer node it moves to, one for the node it stays in.
-        longer = F.struct(F.col("next").alias("node"), F.col("first").alias("least"), "g", "left",
+        longer = F.struct(F.col("first").alias("least"), "g", "left",
                           (F.col("length") + width).alias("length"), (F.col("words") + F.col("w")).alias("words"))
-        moves, stays = F.col("next").isNotNull(), F.expr("node >= 0 AND (next IS NULL OR g = first)")
+        moves, stays = F.col("first").isNotNull(), F.expr("least >= 0 AND (first IS NULL OR g = first)")
         places = F.filter(F.array(F.when(moves, longer), F.when(stays, F.struct(*nodes.columns))), lambda x: x.isNotNull())
-        nodes = members.join(groups, key, "left").select(F.explode(places).alias("m")).select("m.*")
+        both = members.join(groups, key, "left")
+        nodes = both.select(F.explode(places).alias("m")).select("m.*")
         done += [members, groups]
     copies = nodes.where("g > least")
     found = copies.groupBy("g").agg(F.max(F.struct("length", "words")).alias("run"))
