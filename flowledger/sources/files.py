@@ -7,13 +7,17 @@ import io
 import sys
 import zipfile
 from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
 import pandas as pd
+from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from .staging import stage
+
 # Task code is shipped with the job, so executors need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -57,41 +61,89 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _csv_entries(archive: zipfile.ZipFile, prefix: str = "") -> Iterator[tuple[str, io.BufferedIOBase]]:
-    """CSV members, and those of nested *.csv.zip members; anything else is skipped."""
-    for name in archive.namelist():
-        lowered = name.lower()
-        if lowered.endswith(".csv.zip"):
-            with zipfile.ZipFile(io.BytesIO(archive.read(name))) as nested:
-                for inner in nested.namelist():
-                    if inner.lower().endswith(".csv"):
-                        with nested.open(inner) as stream:
-                            yield f"{prefix}{name}/{inner}", stream
-        elif lowered.endswith(".csv"):
-            with archive.open(name) as stream:
-                yield prefix + name, stream
+# Schemes whose files tasks open by themselves and read by ranges; other archives come whole through Spark's reader.
+RANGED_SCHEMES = ("file", "hdfs", "viewfs", "s3", "s3a", "gs", "abfs", "abfss")
+MAX_ARCHIVE_TASKS = 10_000
+
+
+def _open_ranged(path: str):
+    """A seekable file that reads only what is asked for."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        return open("/" + rest.lstrip("/"), "rb")
+    uri = quote(path.replace("s3a:", "s3:", 1), safe=":/")
+    system, inner = fs.FileSystem.from_uri(uri)
+    return system.open_input_file(inner)
+
+
+def _csv_members(archive: zipfile.ZipFile) -> list[str]:
+    """Members that hold rows: *.csv and nested *.csv.zip; anything else is skipped. A name that occurs twice counts once."""
+    return [n for n in dict.fromkeys(archive.namelist()) if n.lower().endswith((".csv", ".csv.zip"))]
+
+
+def _member_streams(archive: zipfile.ZipFile, name: str) -> Iterator[tuple[str, io.BufferedIOBase]]:
+    """The CSV streams of one member. A nested archive is read through its decompressing stream, which can go back to
+    its start, so it is never held whole."""
+    with archive.open(name) as stream:
+        if not name.lower().endswith(".csv.zip"):
+            yield name, stream
+            return
+        with zipfile.ZipFile(stream) as nested:
+            for inner in nested.namelist():
+                if inner.lower().endswith(".csv"):
+                    with nested.open(inner) as rows:
+                        yield f"{name}/{inner}", rows
 
 
-def read_archives(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Rows of all CSV files inside the zip archives under `path`, as text, one task per archive set.
+def read_archives(spark: SparkSession, path: str, schema: StructType,
+                  ranged_schemes: Sequence[str] = RANGED_SCHEMES) -> DataFrame:
+    """Rows of all CSV files inside the zip archives under `path`, as text, one task per archive member.
 
     Columns are matched by header name per file, absent ones are null. Members are decompressed as
     streams and handed on in batches. Adds Archive, Entry and LineNo.
+
+    One pass reads the directories at the archives' ends and stores the list of members; then every member is a
+    task (each of MAX_ARCHIVE_TASKS takes several if there are more) that reads its own byte range, so neither the
+    size of an archive nor a limit of binary values counts. That needs a path that tasks can open: archives of a
+    scheme not in `ranged_schemes` are read whole by Spark, one task an archive, each below 2 GiB.
     """
     names = [f.name for f in schema.fields]
     out = StructType([StructField("Archive", StringType()), StructField("Entry", StringType()),
                       *[StructField(n, StringType()) for n in names]]).add("LineNo", "long")
+    archives = (spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]")
+                .option("recursiveFileLookup", "true").load(path))
+    ranged = F.substring_index("path", ":", 1).isin(*ranged_schemes)
 
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def unpack_whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for source, content in zip(batch["path"], batch["content"]):
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    for entry, stream in _csv_entries(archive):
+                    for member in _csv_members(archive):
+                        for entry, stream in _member_streams(archive, member):
+                            yield from _entry_batches(source, entry, stream, names)
+
+    def list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for source in batch["path"]:
+                with _open_ranged(source) as file, zipfile.ZipFile(file) as archive:
+                    yield pd.DataFrame([(source, m) for m in _csv_members(archive)], columns=["path", "member"], dtype=str)
+
+    def unpack_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for source, member in zip(batch["path"], batch["member"]):
+                with _open_ranged(source) as file, zipfile.ZipFile(file) as archive:
+                    for entry, stream in _member_streams(archive, member):
                         yield from _entry_batches(source, entry, stream, names)
 
-    archives = (spark.read.format("binaryFile").option("pathGlobFilter", "*.[zZ][iI][pP]")
-                .option("recursiveFileLookup", "true").load(path).select("path", "content"))
-    return archives.mapInPandas(unpack, out)
+    whole = archives.where(~ranged)
+    if not whole.select("path").isEmpty():
+        if not archives.where(ranged).select("path").isEmpty():
+            raise ValueError("archives of one read must all be of schemes that tasks open, or none")
+        return whole.select("path", "content").mapInPandas(unpack_whole, out)
+    members = stage(archives.select("path").mapInPandas(list_members, "path string, member string"))
+    tasks = min(max(members.count(), 1), MAX_ARCHIVE_TASKS)
+    # Ranges of as many members as there are tasks hold one each, where a hash would put some together.
+    return members.repartitionByRange(tasks, "path", "member").mapInPandas(unpack_members, out)
 
 
 def _entry_batches(source: str, entry: str, stream, names: Sequence[str]) -> Iterator[pd.DataFrame]:

@@ -133,6 +133,23 @@ def test_large_entry_streams_in_batches(spark, tmp_path):
     assert tuple(row) == (n, n, n * (n - 1) // 2)
 
 
+def test_members_are_tasks(spark, tmp_path):
+    inner = zipped({f"{i}.csv": f"WellID,Hours\nN{i},{i}\n" for i in range(3)})
+    members = {f"dir/m {i:02d}.csv": f"WellID,Hours\nW{i},{i}\n" for i in range(49)}
+    (tmp_path / "a b%20c.zip").write_bytes(zipped({**members, "nested.csv.zip": inner, "empty.csv": "", "no.txt": "x"}))
+    df = files.read_archives(spark, str(tmp_path), WELL_RAW)
+    got = df.select("WellID", "Entry", F.spark_partition_id().alias("task")).collect()
+    assert {r.WellID for r in got} == {f"W{i}" for i in range(49)} | {"N0", "N1", "N2"} and len(got) == 52
+    assert len({r.task for r in got}) == 50
+    whole = files.read_archives(spark, str(tmp_path), WELL_RAW, ranged_schemes=())
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_no_archives(spark, tmp_path):
+    (tmp_path / "none.zip").write_bytes(zipped({"readme.txt": "no"}))
+    assert files.read_archives(spark, str(tmp_path), WELL_RAW).count() == 0
+
+
 def test_csv_to_forecast_tables(spark, namespace, tmp_path):
     rows = raw_rows(months=30)
     broken = [{**rows[0], "WellID": None}, {**rows[1], "ProductionMonth": "n/a"}, {**rows[2]}]
