@@ -90,3 +90,8 @@ def fluid_coverage(summary: DataFrame, measures: Sequence[str] = tuple(PRODUCTIO
 def one_entity(df: DataFrame, value: str, entity: str = "WellID") -> DataFrame:
     """Rows of one entity: a plain equality, so it reaches the scan."""
     return df.filter(F.col(entity) == F.lit(value))
+
+
+def entities(df: DataFrame, values: Sequence[str], entity: str = "WellID") -> DataFrame:
+    """Rows of a few entities: one IN list, so it reaches the scan and selects buckets of a clustered table."""
+    return df.filter(F.col(entity).isin(*values))

@@ -20,6 +20,7 @@ from ..operators.quality import merge_duplicates, no_issues, validate_merged
 from ..schemas import (
     ISSUES, PRODUCTION_COLUMNS, WELL_CALENDAR, WELL_NORMALIZED, get_schema,
 )
+from ..sources.clustered import BUCKETS, write_clustered
 from ..sources.files import read_csv
 from ..sources.staging import stage
 from ..sources.tables import LOAD_MONTH, load_changed_months, table_exists, write_table
@@ -122,18 +123,20 @@ def _typed_month(df: DataFrame) -> DataFrame:
     return df.withColumn("ProductionMonth", F.col("ProductionMonth").cast("timestamp"))
 
 
-def silver_to_calendar(spark: SparkSession, namespace: str, dataset: str = "ngl") -> DataFrame:
-    """`<dataset>_silver` -> `<dataset>_calendar` and `<dataset>_calendar_quality_issues`."""
+def silver_to_calendar(spark: SparkSession, namespace: str, dataset: str = "ngl", buckets: int = BUCKETS) -> DataFrame:
+    """`<dataset>_silver` -> `<dataset>_calendar`, clustered by entity, and `<dataset>_calendar_quality_issues`."""
     staged = write_table(build_calendar(spark.table(f"{namespace}.{dataset}_silver")),
                          f"{namespace}.{dataset}_calendar_staged")
     clean, issues = check_cumulatives(staged)
     write_table(issues, f"{namespace}.{dataset}_calendar_quality_issues", ISSUES)
-    return write_table(clean.drop(BACKFILLED), f"{namespace}.{dataset}_calendar", WELL_CALENDAR)
+    return write_clustered(clean.drop(BACKFILLED), f"{namespace}.{dataset}_calendar", WELL_CALENDAR, buckets=buckets)
 
 
-def calendar_to_normalized(spark: SparkSession, namespace: str, dataset: str = "ngl") -> DataFrame:
-    return write_table(normalize_periods(spark.table(f"{namespace}.{dataset}_calendar")),
-                       f"{namespace}.{dataset}_normalized", WELL_NORMALIZED)
+def calendar_to_normalized(spark: SparkSession, namespace: str, dataset: str = "ngl", buckets: int = BUCKETS) -> DataFrame:
+    """`<dataset>_calendar` -> `<dataset>_normalized`; periods follow the calendar's buckets without a shuffle."""
+    return write_clustered(normalize_periods(spark.table(f"{namespace}.{dataset}_calendar")),
+                           f"{namespace}.{dataset}_normalized", WELL_NORMALIZED,
+                           order=("NormalizedPeriod",), buckets=buckets)
 
 
 def build_calendar_and_normalized(spark: SparkSession, namespace: str, dataset: str = "ngl") -> tuple[str, str]:

@@ -6,6 +6,7 @@ same result. Doubles are rounded on both sides because the engines add in differ
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +27,8 @@ from ..operators import quality as Q
 from ..operators import ranges as G
 from ..operators.periods import normalize_periods
 from ..schemas import MAIN_VOLUMES, PRODUCTION_COLUMNS
+from ..session import shared_folder
+from ..sources.clustered import write_clustered
 from ..sources.staging import stage
 from ..sources.tables import loaded_months, measure_views, missing_months, month_range, register_views
 from .forecasting import ForecastSettings, fit_table, forecast_input
@@ -759,6 +762,15 @@ def one_well(spark, sf):
     return V.one_entity(months, "W000000000007").select("WellID", "ProductionMonth", *MAIN, "Hours")
 
 
+@register(f"SELECT WellID, ProductionMonth, {', '.join(MAIN)}, Hours FROM merged WHERE WellID IN ('W000000000003', 'W000000000007', 'W000000000011')")
+def wells_of_clustered(spark, sf):
+    """Some entities' months from a table that is laid out by entity; files of other buckets stay closed."""
+    months = Q.merge_duplicates(X.well_line(spark, sf), ["WellID", "ProductionMonth"], X.EXACT_SCALE)
+    name = f"clustered_{uuid.uuid4().hex}"
+    table = write_clustered(months, name, path=f"{shared_folder(spark)}/{name}")
+    return V.entities(table, ["W000000000003", "W000000000007", "W000000000011"]).select("WellID", "ProductionMonth", *MAIN, "Hours")
+
+
 @register("""SELECT ProductionType, count(*) AS rows, count(DISTINCT WellID) AS wells, rnd(sum(q), 2) AS volume FROM points
   WHERE q > 0 GROUP BY ProductionType""")
 def view_totals(spark, sf):

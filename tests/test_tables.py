@@ -165,6 +165,8 @@ def test_csv_to_forecast_tables(spark, namespace, tmp_path):
     issues = {(r.Rule, r["count"]) for r in spark.table(f"{namespace}.ngl_silver_quality_issues").groupBy("Rule").count().collect()}
     assert ("aggregated_duplicate", 1) in issues
     normalized = spark.table(f"{namespace}.ngl_normalized")
+    for name in ("ngl_calendar", "ngl_normalized"):
+        assert spark.sql(f"DESCRIBE EXTENDED {namespace}.{name}").where("col_name = 'Bucket Columns' AND data_type = '[`WellID`]'").count() == 1
     assert [f.name for f in normalized.schema] == [f.name for f in WELL_NORMALIZED]
     assert normalized.count() > 50
     fits = out["forecast_fits"]
