@@ -39,6 +39,8 @@ FILTER_BITS = 1 << 22
 CACHE_WORDS = 500_000
 # Rows of one shingle, in order of size, that a row is compared with before all are.
 NEAR_ROWS = 8
+# Tokens of one set whose bitmaps are made at a time.
+BEHIND_ROWS = 4096
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -109,11 +111,14 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     return plain_text(docs).mapInArrow(run, "doc_id bigint, n bigint, first bigint, second bigint, signature array<bigint>")
 
 
+def _bit_of(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(20)).astype(np.int64) % BITS
+
+
 def _bitmap(shingles: np.ndarray) -> np.ndarray:
-    """BITS bits with one set for each shingle: two sets differ in at least as many shingles as bits."""
-    bits = np.zeros(BITS, np.uint8)
-    bits[(shingles >> np.uint64(20)).astype(np.int64) % BITS] = 1
-    return np.packbits(bits).view(np.int64)
+    """BITS bits, one flipped for each shingle: two sets differ in at least as many shingles as bits."""
+    bits = np.bincount(_bit_of(shingles), minlength=BITS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
 def _filter_of(ids: DataFrame) -> np.ndarray:
@@ -260,14 +265,17 @@ def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _rare_tokens(sets: DataFrame, percent: int) -> DataFrame:
-    """(rep, n, h) for the rarest part of each set, in which similar sets share a shingle (prefix filter)."""
+    """(rep, n, place, h) for the rarest part of each set, in which similar sets share a shingle (prefix filter).
+
+    place is the rank of h in the part; all parts follow one order, and each is what its set has first in it.
+    """
     each = sets.select("rep", "n", F.explode("shingles").alias("h"))
     common = stage(each.groupBy("h").count().where("count > 1"))
     # Shingles of one set only cannot be shared; they come first in the order and shorten the prefix.
     ranked = each.join(common, "h").groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("count", "h"))).alias("by_rarity"))
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("by_rarity"))
     rare = stage(ranked.withColumn("prefix", prefix.cast("int")).where("prefix > 0").select(
-        "rep", "n", F.explode(F.transform(F.slice("by_rarity", 1, F.col("prefix")), lambda x: x["h"])).alias("h")
+        "rep", "n", F.posexplode(F.transform(F.slice("by_rarity", 1, F.col("prefix")), lambda x: x["h"])).alias("place", "h")
     ))
     release(common)
     return rare
@@ -326,26 +334,62 @@ def _bridges(tokens: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return least.select("m.a", "m.b").distinct()
 
 
+def _behind(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, before, n, rep, component, bits) per token of a set: how many tokens come before h, bitmap of the set without those."""
+    schema = pa.schema([*((c, pa.int64()) for c in ("h", "before", "n", "rep", "component")), ("bits", pa.list_(pa.int64()))])
+    for batch in batches:
+        n, rep, component = (batch.column(c).to_numpy() for c in range(3))
+        for k in range(len(rep)):
+            tokens, shingles, bits = (batch.column(c)[k].values.to_numpy() for c in range(3, 6))
+            # Sets of rows that share an id and a size come with the tokens of all of them.
+            tokens = tokens[np.isin(tokens, shingles)]
+            tokens = tokens[np.concatenate([[True], tokens[1:] != tokens[:-1]])] if len(tokens) else tokens
+            bits = bits.view(np.uint8)
+            for at in range(0, len(tokens), BEHIND_ROWS):
+                h = tokens[at : at + BEHIND_ROWS]
+                bit = _bit_of(h.view(np.uint64))
+                flips = np.zeros((len(h) + 1, BITS // 8), np.uint8)
+                flips[0] = bits
+                flips[np.arange(1, len(h) + 1), bit >> 3] = 0x80 >> (bit & 7)
+                rest = np.bitwise_xor.accumulate(flips, axis=0)
+                bits = rest[-1]
+                words = BITS // 64
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h), pa.array(np.arange(at, at + len(h))), *(pa.array(np.full(len(h), c[k])) for c in (n, rep, component)),
+                     pa.ListArray.from_arrays(pa.array(np.arange(len(h) + 1, dtype=np.int32) * words), pa.array(rest[:-1].reshape(-1).view(np.int64)))],
+                    schema=schema,
+                )
+
+
 def _all_left(tokens: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """All pairs (a, b) of different components that share a rare shingle and that no bound rules out.
 
     Of each shingle's component with the most rows only the pairs with other components are met, and rows
     meet within neighbouring bands of size only, so a shingle of a large group is dealt out and costs its
-    few other rows times the group.
+    few other rows times the group. Each meeting is judged as the first of its pair: then the sets share
+    nothing before the shingle, and what both have there counts as different. That rules out nearly all
+    later meetings of a pair, however many shingles it shares, and never the first one of a similar pair.
     """
     per_component = tokens.groupBy("h", "component").count()
     top = per_component.groupBy("h").agg(F.max(F.struct("count", "component"))["component"].alias("top"))
     # Similar sizes differ by at most one band; for 100 percent they are equal.
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)) + 1e-9) if percent < 100 else F.col("n")
-    rows = tokens.join(top, "h").withColumn("band", band).join(sets.select("rep", "bits"), "rep")
-    rows = stage(rows.select("h", "band", "n", "rep", "component", "bits", (F.col("component") != F.col("top")).alias("other")))
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("place", "h"))), lambda x: x["h"])
+    per_set = tokens.groupBy("rep", "n", "component").agg(in_order.alias("tokens")).join(sets, ["rep", "n"])
+    behind = per_set.select("n", "rep", "component", "tokens", "shingles", "bits").mapInArrow(
+        _behind, "h bigint, before bigint, n bigint, rep bigint, component bigint, bits array<bigint>")
+    columns = ("n", "before", "rep", "component", "bits")
+    rows = behind.join(top, "h").withColumn("band", band)
+    rows = stage(rows.select("h", "band", *columns, (F.col("component") != F.col("top")).alias("other")))
     one = rows.where("other").select("h", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
-                                     *(F.col(c).alias(f"{c}_a") for c in ("n", "rep", "component", "bits")))
-    two = rows.select("h", "band", "other", *(F.col(c).alias(f"{c}_b") for c in ("n", "rep", "component", "bits")))
+                                     *(F.col(c).alias(f"{c}_a") for c in columns))
+    two = rows.select("h", "band", "other", *(F.col(c).alias(f"{c}_b") for c in columns))
     fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
     # Similar sets differ in at most this share of both sizes, and bitmaps differ no more than the sets.
+    before = F.col("before_a") + F.col("before_b")
     apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    close = apart * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)
+    limit = (F.col("n_a") + F.col("n_b")) * (100 - percent)
+    close = (before * (100 + percent) <= limit) & ((before + apart) * (100 + percent) <= limit)
     once = (F.col("component_a") != F.col("component_b")) & (~F.col("other") | (F.col("rep_a") > F.col("rep_b")))
     met = one.join(two, ["h", "band"]).where(once & fits & close)
     pairs = stage(met.select(F.greatest("rep_a", "rep_b").alias("a"), F.least("rep_a", "rep_b").alias("b")).distinct())

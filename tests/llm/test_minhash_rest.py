@@ -77,3 +77,41 @@ def test_mixed_keeps_only_shingles_of_several_components(spark):
     got = minhash._mixed(tokens, found).select("h", "rep", "component").orderBy("h", "rep")
     assert [tuple(r) for r in got.collect()] == [(11, 3, 3), (11, 4, 4)]
     assert not minhash._mixed(tokens.where(F.lit(False)), found).count()
+
+
+def test_rest_meets_a_pair_few_times(spark, monkeypatch):
+    """Variants of one text just below the limit share most of their rare shingles; each pair may pass at few of them."""
+    rng, sets = random.Random(2), {}
+    base = rng.sample(range(1 << 40), 400)
+    for i in range(60):
+        changed = set(rng.sample(range(400), 24))
+        sets[i] = {rng.randrange(1 << 40) if k in changed else x for k, x in enumerate(base)}
+    near = {rng.randrange(1 << 40) if k < 30 else x for k, x in enumerate(sorted(sets[7]))}
+    known = table(spark, sets | {100: near})
+    met, distinct = [], type(known).distinct
+
+    def counted(df):
+        if df.columns == ["a", "b"]:
+            met.append(df.count())
+        return distinct(df)
+
+    none = spark.createDataFrame([], "id bigint, component bigint")
+    tokens = stage(minhash._mixed(minhash._rare_tokens(known, 80), none))
+    monkeypatch.setattr(type(known), "distinct", counted)
+    pairs = {tuple(r) for r in minhash._all_left(tokens, known, 80).collect()}
+    assert (100, 7) in pairs
+    assert met[0] <= 61 * 60
+
+
+def test_rest_keeps_sets_of_one_id_apart(spark):
+    """Two sets under one id, as large and with shingles in common, each meet what is near them."""
+    rng = random.Random(3)
+    one = rng.sample(range(1 << 40), 40)
+    two = one[:8] + rng.sample(range(1 << 40), 32)
+    rows = [(5, one), (5, two), (6, [*one[:-2], 1 << 41, 1 << 42]), (7, [*two[2:], 1 << 43, 1 << 44])]
+    rows = [(i, len(s), sorted(s), [int(x) for x in minhash._bitmap(minhash.np.array(sorted(s), "u8"))]) for i, s in rows]
+    known = stage(spark.createDataFrame(rows, "rep bigint, n bigint, shingles array<bigint>, bits array<bigint>"))
+    none = spark.createDataFrame([], "id bigint, component bigint")
+    tokens = stage(minhash._mixed(minhash._rare_tokens(known, 80), none))
+    pairs = {tuple(r) for r in minhash._all_left(tokens, known, 80).collect()}
+    assert {(6, 5), (7, 5)} <= pairs
