@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import plain_text, release, stage, words_of
+from .common import batches_of, plain_text, release, stage, words_of
 from .components import components
 
 TREES, ROOT, DEPTH, CROWD = 32, 4, 8, 16
@@ -340,10 +340,7 @@ def _behind(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n, rep, component = (batch.column(c).to_numpy() for c in range(3))
         for k in range(len(rep)):
-            tokens, shingles, bits = (batch.column(c)[k].values.to_numpy() for c in range(3, 6))
-            # Sets of rows that share an id and a size come with the tokens of all of them.
-            tokens = tokens[np.isin(tokens, shingles)]
-            tokens = tokens[np.concatenate([[True], tokens[1:] != tokens[:-1]])] if len(tokens) else tokens
+            tokens, bits = (batch.column(c)[k].values.to_numpy() for c in (3, 4))
             bits = bits.view(np.uint8)
             for at in range(0, len(tokens), BEHIND_ROWS):
                 h = tokens[at : at + BEHIND_ROWS]
@@ -376,11 +373,14 @@ def _all_left(tokens: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)) + 1e-9) if percent < 100 else F.col("n")
     in_order = F.transform(F.array_sort(F.collect_list(F.struct("place", "h"))), lambda x: x["h"])
     per_set = tokens.groupBy("rep", "n", "component").agg(in_order.alias("tokens")).join(sets, ["rep", "n"])
-    behind = per_set.select("n", "rep", "component", "tokens", "shingles", "bits").mapInArrow(
+    # Sets of rows that share an id and a size come with the tokens of all of them, in one order.
+    own = F.array_intersect("tokens", "shingles")
+    behind = per_set.select("n", "rep", "component", own.alias("tokens"), "bits").mapInArrow(
         _behind, "h bigint, before bigint, n bigint, rep bigint, component bigint, bits array<bigint>")
     columns = ("n", "before", "rep", "component", "bits")
     rows = behind.join(top, "h").withColumn("band", band)
-    rows = stage(rows.select("h", "band", *columns, (F.col("component") != F.col("top")).alias("other")))
+    with batches_of(tokens.sparkSession, 256):
+        rows = stage(rows.select("h", "band", *columns, (F.col("component") != F.col("top")).alias("other")))
     one = rows.where("other").select("h", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
                                      *(F.col(c).alias(f"{c}_a") for c in columns))
     two = rows.select("h", "band", "other", *(F.col(c).alias(f"{c}_b") for c in columns))
