@@ -5,14 +5,15 @@ sorted order of the classes by its own sequence of up to DEPTH of them. Neighbou
 longest common prefix has at least ROOT hashes form a region. A region of at most CROWD classes proposes
 all its pairs; a larger one proposes neighbours in the order and is split by the next hash, so the depth
 adapts to how crowded a region is. Orders are dealt out by range, with the id as last key, so no region,
-however large, is tied to one task.
+however large, is tied to one task. Bitmaps of the sets, of a fixed size, rule out most proposals before any full
+set is made or moved.
 
 What a crowded or cut region does not propose is left to an exact way: among the members of such
 regions that are still in different components, classes that share a shingle in the rarest part of
 both their sets (prefix filter) are proposed too, unless bitmaps of the sets prove them too different: first
-one pair for each two components that stand side by side, round by round, then all that is still apart. Every proposal is confirmed on the full sets; those
-between classes already in one component need no confirmation, so thousands of near copies cost about
-as many confirmations as there are copies.
+one pair for each two components that stand side by side, then all that is still apart. Every proposal is
+confirmed on the full sets; those between classes already in one component need no confirmation, so thousands
+of near copies cost about as many confirmations as there are copies.
 
 Null or empty text has no shingles, is linked with nothing and keeps itself. Rows with a null id are
 linked with nothing. Rows that share an id are one document: links of each hold for the id. Other columns
@@ -26,10 +27,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches_of, plain_text, release, stage, words_of
+from .common import batches_of, plain_text, release, shuffles_dropped, stage, words_of
 from .components import components
 
 TREES, ROOT, DEPTH, CROWD = 32, 4, 8, 16
@@ -132,8 +133,8 @@ def _filter_of(ids: DataFrame) -> np.ndarray:
     return out
 
 
-def shingle_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """rep, n, shingles, bitmap of the documents whose id is in ids (rep).
+def shingle_sets(docs: DataFrame, ids: DataFrame, size: int, whole: bool = True) -> DataFrame:
+    """rep, n, shingles (null unless whole), bits of the documents whose id is in ids (rep, each once), and what else ids holds.
 
     Texts are not shuffled: a filter of fixed size goes to the tasks, and what it lets through besides is
     dropped by a join of the small result.
@@ -150,13 +151,13 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
             sets = [shingles(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                 pa.array([s.view(np.int64) if whole else None for s in sets], pa.list_(pa.int64())),
                  pa.array([_bitmap(s) for s in sets], pa.list_(pa.int64()))],
                 ["rep", "n", "shingles", "bits"],
             )
 
     found = plain_text(docs).mapInArrow(run, "rep bigint, n bigint, shingles array<bigint>, bits array<bigint>")
-    return found.join(ids.select("rep"), "rep", "left_semi")
+    return found.join(ids, "rep")
 
 
 def _similar_sizes(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -247,6 +248,19 @@ def propose(classes: DataFrame, percent: int) -> DataFrame:
     return ordered.mapInArrow(_neighbours(percent), "a bigint, b bigint").distinct()
 
 
+def _bits_apart(a: str, b: str) -> Column:
+    """Different bits of two bitmaps: a lower bound of how many shingles differ."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+
+
+def possible(pairs: DataFrame, bitmaps: DataFrame, percent: int) -> DataFrame:
+    """(a, b, apart): the pairs that bitmaps (rep, n, bits) do not rule out, once for each two rows of their ids."""
+    one = bitmaps.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
+    two = bitmaps.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
+    both = pairs.join(one, "a").join(two, "b").withColumn("apart", _bits_apart("bits_a", "bits_b"))
+    return both.where(F.col("apart") * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)).select("a", "b", "apart")
+
+
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets have 100 * intersection >= percent * union."""
     one = sets.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
@@ -387,7 +401,7 @@ def _all_left(tokens: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
     # Similar sets differ in at most this share of both sizes, and bitmaps differ no more than the sets.
     before = F.col("before_a") + F.col("before_b")
-    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    apart = _bits_apart("bits_a", "bits_b")
     limit = (F.col("n_a") + F.col("n_b")) * (100 - percent)
     close = (before * (100 + percent) <= limit) & ((before + apart) * (100 + percent) <= limit)
     once = (F.col("component_a") != F.col("component_b")) & (~F.col("other") | (F.col("rep_a") > F.col("rep_b")))
@@ -401,19 +415,19 @@ def _link_rest(sets: DataFrame, found: DataFrame, links: DataFrame, percent: int
     """Links among members of crowded regions that are still in different components, and all components with them.
 
     First the closest pair of each two components that stand side by side is confirmed and the components
-    are merged, until that links nothing more; only what is still apart then meets in full.
+    are merged; what is still apart then meets in full. Merging brings no other rows side by side and leaves
+    no pair to confirm that was not tried, so this is done once.
     """
-    tokens, added = _rare_tokens(sets, percent), []
-    while True:
-        left = stage(_mixed(tokens, found))
-        new = stage(confirm(_bridges(left, sets, percent), sets, percent))
-        if new.isEmpty():
-            break
-        added.append(new)
-        links = links.union(new)
-        release(left)
-        release(found)
+    tokens = _rare_tokens(sets, percent)
+    left = stage(_mixed(tokens, found))
+    new = stage(confirm(_bridges(left, sets, percent), sets, percent))
+    added = [new]
+    if not new.isEmpty():
+        links, old = links.union(new), [left, found]
         found = components(links)
+        left = stage(_mixed(left.drop("component"), found))
+        for each in old:
+            release(each)
     pairs = _all_left(left, sets, percent)
     if not pairs.isEmpty():
         new = stage(confirm(pairs, sets, percent))
@@ -433,7 +447,11 @@ def near_duplicates(
     Linked: 100 * intersection >= percent * union of the sets of `size`-word shingles (A-Z lower-cased;
     fewer words make one shingle).
     """
-    docs = plain_text(docs, id_col, text_col)
+    with shuffles_dropped(docs.sparkSession):
+        return _near_duplicates(plain_text(docs, id_col, text_col), size, percent)
+
+
+def _near_duplicates(docs: DataFrame, size: int, percent: int) -> DataFrame:
     signed = stage(signatures(docs, size))
     set_key = ["n", "first", "second"]
     usable = signed.where("n > 0 AND doc_id IS NOT NULL")
@@ -445,20 +463,27 @@ def near_duplicates(
     lowest = members.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low != high")
     same_id = members.join(stage(lowest), "doc_id").where("rep != low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
 
-    involved = stage(proposed.select(F.col("a").alias("rep")).union(proposed.select("b")).where("rep IS NOT NULL").distinct())
+    ends = stage(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct())
+    bitmaps = stage(shingle_sets(docs, ends, size, whole=False).drop("shingles"))
+    close = stage(possible(pairs, bitmaps, percent))
+    release(ends)
+    release(bitmaps)
+    marked = close.select(F.col("a").alias("rep")).union(close.select("b")).withColumn("crowded", F.lit(False))
+    marked = marked.union(crowded.withColumn("crowded", F.lit(True)))
+    involved = stage(marked.groupBy("rep").agg(F.max("crowded").alias("crowded")))
     sets = stage(shingle_sets(docs, involved, size))
 
-    # First the smallest proposed partner of each class, then whatever is still between components.
-    nearest = pairs.groupBy("a").agg(F.min("b").alias("b")).select("a", "b")
+    # First the closest partner of each class by bitmaps, then whatever is still between components.
+    nearest = close.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("m")).select("a", "m.b")
     links = [stage(same_id), stage(confirm(nearest, sets, percent))]
     found = components(links[0].union(links[1]))
-    between = stage(_across(pairs, found))
+    between = stage(_across(close.select("a", "b").distinct(), found))
     links.append(stage(confirm(between, sets, percent)))
     release(found)
     found = components(links[0].union(links[1]).union(links[2]))
-    dense = stage(sets.join(crowded, "rep", "left_semi"))
+    dense = stage(sets.where("crowded").drop("crowded"))
     more, found = _link_rest(dense, found, links[0].union(links[1]).union(links[2]), percent)
-    for old in (proposed, involved, sets, dense, between, members, *links, *more):
+    for old in (proposed, close, involved, sets, dense, between, members, *links, *more):
         release(old)
 
     roots = classes.join(found, classes["rep"] == found["id"], "left").select(

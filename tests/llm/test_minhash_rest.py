@@ -115,3 +115,39 @@ def test_rest_keeps_sets_of_one_id_apart(spark):
     tokens = stage(minhash._mixed(minhash._rare_tokens(known, 80), none))
     pairs = {tuple(r) for r in minhash._all_left(tokens, known, 80).collect()}
     assert {(6, 5), (7, 5)} <= pairs
+
+
+def test_proposals_are_ruled_out_before_sets_move(spark, monkeypatch):
+    """Texts that share half of their words are proposed, but bitmaps keep them from the full sets; shuffles go step by step."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join(base + [f"x{rng.randrange(1 << 40)}" for _ in range(60)])) for i in range(60)]
+    copy = rows[7][1].split()
+    rows += [(100, " ".join(copy)), (101, " ".join([*copy[:-4], "a", "b", "c", "d"])), (102, " ".join([*copy[:-4], "a", "b", "c", "e"]))]
+    rows += [(101, rows[-2][1]), (103, None), (None, rows[7][1])]
+    proposed, sets, cleaned = [], [], []
+    old_possible, old_sets, old_stage = minhash.possible, minhash.shingle_sets, minhash.stage
+
+    def possible(pairs, bitmaps, percent):
+        proposed.append(pairs.count())
+        return old_possible(pairs, bitmaps, percent)
+
+    def shingle_sets(docs, ids, size, whole=True):
+        if whole:
+            sets.append(ids.where("NOT crowded").count())
+        return old_sets(docs, ids, size, whole)
+
+    def kept(df):
+        cleaned.append(df.sparkSession.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None))
+        return old_stage(df)
+
+    monkeypatch.setattr(minhash, "possible", possible)
+    monkeypatch.setattr(minhash, "shingle_sets", shingle_sets)
+    monkeypatch.setattr(minhash, "stage", kept)
+    monkeypatch.setattr(minhash, "CROWD", 100)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {(r.doc_id, r.component_id) for r in minhash.near_duplicates(docs, 2).collect()}
+    near = {7, 100, 101, 102}
+    assert got == {(i, 7 if i in near else i) for i, _ in rows}
+    assert proposed[0] > 100 and sets[0] < 20
+    assert set(cleaned) == {"true"}
