@@ -7,7 +7,9 @@ classes is trained by stochastic gradient descent in numpy. The model is linear
 so for scoring each bucket needs one number: the table is FEATURES floats (1.5 MB) whatever the corpus.
 
 Training reads at most `sample` labelled documents, those with the smallest hash of their id, each
-reduced on the executors to its bucket weights (at most FEATURES entries). Of rows that share a labelled id
+reduced on the executors to its bucket weights (at most FEATURES entries), which travel compressed, SAMPLE_ROWS
+at a time. The task that learns keeps them in a temporary file and reads one at a time, so its memory is that of
+the bucket vectors, whatever the sample and the length of its texts. Of rows that share a labelled id
 the smallest text teaches. Everything else covers whole texts of all rows. Texts are read in blocks of
 BLOCK_BYTES; a longer one is cut at white space and its sums are carried, so memory does not depend on its
 length and the score not on the cut (a word of more than half a block is read in pieces). Null text is empty text; texts without features get the score of the bias
@@ -17,20 +19,24 @@ are scored one by one; labels that are null or not 0 or 1 teach nothing. Other c
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import tempfile
+import zlib
+from collections.abc import Iterator, Sequence
+from functools import cmp_to_key
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import plain_text
+from .common import batches_of, plain_text
 
 BUCKETS = 1 << 17
 KINDS = 3
 FEATURES = KINDS * BUCKETS
 GRAMS = (3, 4, 5)
 BLOCK_BYTES = 1 << 17
+SAMPLE_ROWS = 16
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -179,8 +185,60 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's buckets and their weights as one compressed record, with their number and the label."""
+    for batch in _small(batches, SAMPLE_ROWS):
+        for sparse in _sparse(iter([batch])):
+            records, sizes = [], []
+            for i in range(sparse.num_rows):
+                ids, weights = sparse.column(0)[i].values.to_numpy(), sparse.column(1)[i].values.to_numpy()
+                # Steps between ascending ids, lowest bytes first: the upper bytes are nearly all zero.
+                steps = np.diff(ids, prepend=np.int32(0)).view(np.uint8).reshape(-1, 4)
+                records.append(zlib.compress(steps.T.tobytes() + weights.tobytes(), 1))
+                sizes.append(len(ids))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(records, pa.binary()), pa.array(sizes, pa.int32()), sparse.column(2)], ["record", "size", "label"]
+            )
+
+
+class _Samples(Sequence):
+    """(ids, weights, label) of records kept in a temporary file, in an order that does not depend on their arrival."""
+
+    def __init__(self, batches: Iterator[pa.RecordBatch]):
+        self.file = tempfile.TemporaryFile()
+        self.places = []
+        for batch in batches:
+            for record, size, label in zip(*(c.to_pylist() for c in batch.columns)):
+                self.places.append((label, size, self.file.tell(), len(record)))
+                self.file.write(record)
+        self.places.sort(key=cmp_to_key(self._compare))
+
+    def _compare(self, a: tuple, b: tuple) -> int:
+        # Only ties of label and size are read.
+        one, other = a[:2], b[:2]
+        if one == other:
+            one, other = ([x.tobytes() for x in self._read(p)] for p in (a, b))
+        return (one > other) - (one < other)
+
+    def _read(self, place: tuple) -> tuple[np.ndarray, np.ndarray]:
+        _, size, at, length = place
+        self.file.seek(at)
+        raw = np.frombuffer(zlib.decompress(self.file.read(length)), np.uint8)
+        steps = np.ascontiguousarray(raw[: 4 * size].reshape(4, -1).T).view(np.int32).ravel()
+        return np.cumsum(steps, dtype=np.int32), raw[4 * size :].view(np.float32)
+
+    def __len__(self) -> int:
+        return len(self.places)
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray, int]:
+        return *self._read(self.places[i]), self.places[i][0]
+
+    def close(self) -> None:
+        self.file.close()
+
+
 def train(
-    samples: list[tuple[np.ndarray, np.ndarray, int]], dim: int = 8, epochs: int = 4, rate: float = 0.5, seed: int = 7
+    samples: Sequence[tuple[np.ndarray, np.ndarray, int]], dim: int = 8, epochs: int = 4, rate: float = 0.5, seed: int = 7
 ) -> tuple[np.ndarray, float]:
     """One number per bucket and the bias of the log-odds of label 1; zeros without samples.
 
@@ -190,7 +248,10 @@ def train(
     if not samples:
         return np.zeros(FEATURES, np.float32), 0.0
     rng = np.random.default_rng(seed)
-    vectors = rng.uniform(-1, 1, (FEATURES, dim)).astype(np.float32) / dim
+    vectors = np.empty((FEATURES, dim), np.float32)
+    for part in np.array_split(vectors, KINDS * 8):
+        part[:] = rng.uniform(-1, 1, part.shape)
+    vectors /= dim
     out = rng.normal(0, 0.3, (dim, 2)).astype(np.float32)
     share = np.clip(np.mean([y for _, _, y in samples]), 1e-3, 1 - 1e-3)
     bias = np.log(np.array([1 - share, share], np.float32))
@@ -225,19 +286,17 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 3000) -> tuple
     # At most `sample` rows of two numbers; one text (the smallest) of rows that share an id.
     chosen = plain_text(docs).join(F.broadcast(usable), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     chosen = chosen.select("text", "label")
-    sparse = chosen.mapInArrow(_sparse, "ids array<int>, weights array<float>, label int")
+    packed = chosen.mapInArrow(_packed, "record binary, size int, label int")
     # One task learns from the sample; its size does not depend on the corpus.
-    learned = sparse.repartition(1).mapInArrow(_learn, "table binary, bias double").first()
+    with batches_of(docs.sparkSession, SAMPLE_ROWS):
+        learned = packed.repartition(1).mapInArrow(_learn, "table binary, bias double").first()
     return (np.frombuffer(bytes(learned[0]), np.float32), learned[1]) if learned else train([])
 
 
 def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    samples = []
-    for batch in batches:
-        labels = batch.column(2).to_pylist()
-        samples += [(batch.column(0)[i].values.to_numpy(), batch.column(1)[i].values.to_numpy(), y) for i, y in enumerate(labels)]
-    samples.sort(key=lambda s: (s[2], len(s[0]), s[0].tobytes()))
+    samples = _Samples(batches)
     table, bias = train(samples)
+    samples.close()
     yield pa.RecordBatch.from_arrays([pa.array([table.tobytes()]), pa.array([bias])], ["table", "bias"])
 
 

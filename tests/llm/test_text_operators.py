@@ -184,6 +184,44 @@ def test_quality_learns_from_one_text_of_an_id(spark):
     assert np.array_equal(model[0], quality.fit_quality(again, labels)[0])
 
 
+def test_quality_learns_from_a_file_with_little_memory():
+    import tracemalloc
+
+    def batch(texts, labels):
+        return pa.RecordBatch.from_arrays([pa.array(texts), pa.array(labels, pa.int32())], ["text", "label"])
+
+    rng = random.Random(9)
+    texts = ["", "", "a b", "a b", "b a", "a b a b"] + [" ".join(rng.choices(["a", "bb", "é", "12"], k=rng.randint(1, 9))) for _ in range(60)]
+    texts += [rng.randbytes(30_000).hex() for _ in range(150)]
+    labels = [i % 2 for i in range(len(texts))]
+    sparse = [s for b in quality._sparse([batch(texts, labels)]) for s in zip(*(c.to_pylist() for c in b.columns))]
+    samples = sorted(((np.array(i, np.int32), np.array(w, np.float32), y) for i, w, y in sparse), key=lambda s: (s[2], len(s[0]), s[0].tobytes(), s[1].tobytes()))
+    del sparse
+    table, bias = quality.train(samples)
+    size = sum(8 * len(i) for i, _, _ in samples)
+    del samples
+    for order in (list(range(len(texts))), rng.sample(range(len(texts)), len(texts))):
+        packed = list(quality._packed([batch([texts[i] for i in order], [labels[i] for i in order])]))
+        tracemalloc.start()
+        (learned,) = quality._learn(iter(packed))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert learned.column(0)[0].as_py() == table.tobytes() and learned.column(1)[0].as_py() == bias
+        # The vectors, their product with the output and one sample; not the sample as a whole.
+        assert size > 50_000_000 and peak < 30_000_000
+
+
+def test_quality_sample_comes_in_small_batches(spark, monkeypatch):
+    def largest(batches):
+        rows = [b.num_rows for b in batches]
+        yield pa.RecordBatch.from_arrays([pa.array([bytes(4)]), pa.array([max(rows) + sum(rows) / 1000])], ["table", "bias"])
+
+    monkeypatch.setattr(quality, "_learn", largest)
+    docs, labels = labelled(spark, 200)
+    usable = sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(200))
+    assert quality.fit_quality(docs.coalesce(1), labels)[1] == 16 + usable / 1000
+
+
 def test_packing(spark, odd_docs, odd_rows, no_docs):
     from tokenizers import Tokenizer
 
